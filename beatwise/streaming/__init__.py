@@ -1,0 +1,8 @@
+"""Streaming surface.
+
+The surveyed analyses are batch-only: no stream source, watermark, window
+or state appears in them, so nothing is offered here.  Every plan in
+``beatwise.plans`` is built from operators that Structured Streaming also
+accepts (filters, projections, grouped counts), except the sort, the
+un-partitioned share window and the iterative nearest-site search.
+"""
