@@ -1,34 +1,50 @@
 """Nearest-site assignment by great-circle distance, without a cross join.
 
-Pairing every point with every site costs points x sites comparisons and
-ships all sites to every task.  Here both sides are placed on a grid over
-the unit sphere (3-D cells of edge ``h`` in chord units) and joined on the
-cell key:
-
-* each site is copied into the 27 cells around its own cell;
-* each point joins the copies in its own cell, i.e. it sees exactly the
-  sites of the 3 x 3 x 3 cube around it, and keeps the closest one;
-* any site outside that cube is more than ``h`` away in chord length, so a
-  point whose best distance is within the arc of ``h`` is settled.
-
-Unsettled points (far from every site) go to another round with ``h``
-doubled.  At ``h >= 2`` the cube spans the whole sphere, so the search is
-exact and always ends.  Ties on distance go to the smaller site id.
-
-Physical plan per round: when 27 x sites fits ``broadcast_entry_limit``
-(checked by counting the sites first), the site copies are grouped per cell
-into a small array table and broadcast; points are then matched in a
-map-only stage with no shuffle.  Above the limit the copies are shuffled
-and joined on the cell key (AQE splits a hot cell), and the per-point
-minimum is a partial + final aggregate.  Settled rows of later rounds are
-written with ``checkpoint()`` to the shared checkpoint folder, which cuts
-the lineage between rounds.
+Pairing every point with every site costs points x sites comparisons.  Here
+both sides are placed on a grid over the unit sphere (3-D cells in chord
+units) and joined on the cell key:
+
+* each site is copied into the 27 cells of the 3 x 3 x 3 cube around its
+  own cell;
+* each point joins the copies in its own cell, i.e. it meets exactly the
+  sites of the cube around it, and keeps the closest one (ties go to the
+  smaller site id);
+* any site outside that cube is more than one cell edge ``h`` away in chord
+  length, so a point whose best distance is within the arc of ``h`` is
+  settled: no other site can be closer.
+
+Levels.  Level ``L`` uses the edge ``h0 * 2**L``; at the top level the edge
+reaches 2 (the sphere's diameter), the cube covers everything and every
+point is settled.  The search is exact at every step.
+
+Rounds.
+
+1. All points at level 0.  ``h0`` is the coarsest power-of-two edge at
+   which occupied cells hold about ``SITES_PER_CELL`` sites (measured with
+   one grouped count over the sites), so cubes hold a handful of sites
+   where there are sites.  Candidates are grouped into one array per cell
+   and broadcast; points take the minimum in place: a map-only pass with
+   no shuffle.  Settled rows stay lazy; only the unsettled ones are written
+   (``checkpoint`` in the shared checkpoint folder).
+2. Each unsettled point gets an upper bound on its nearest distance: the
+   best found so far or the closest of at most 729 representative sites
+   (one per cell of a grid with 8 cells across the sites' extent).  Some
+   site lies at that distance, so at the level whose edge exceeds the
+   bound's chord (by a relative margin of 1e-6, far above floating-point
+   error) that site, and hence the nearest one, is inside the point's
+   cube: one more pass settles every pending point.  It joins row-wise
+   (site copies broadcast when counted small enough, else shuffled on the
+   cell key, where AQE splits a hot cell); the per-point minimum is a
+   partial + final aggregate, and the partial step collapses each point's
+   candidates inside its task.
+
+Sites are counted before anything is broadcast: copies (27 per site and
+level) above ``broadcast_entry_limit`` are never broadcast.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,20 +53,28 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from beatwise.functions.columns import EARTH_RADIUS_KM, haversine_km, to_double, unit_vector
 from beatwise.session import ensure_checkpoint_dir
 
-# Offsets of the 27 cells of a 3 x 3 x 3 cube.
-CUBE_OFFSETS = tuple(product((-1, 0, 1), repeat=3))
 # Largest chord between two points of the unit sphere.
 MAX_CHORD = 2.0
 # Relative safety margin on the settle test (floating-point slack).
 SETTLE_MARGIN = 1e-9
-# Most site copies (27 per site) broadcast to every task.
+# Most site copies (27 per site and level) broadcast to every task.
 BROADCAST_ENTRY_LIMIT = 1_000_000
-# Cell size used when the sites give no spread to measure (a single site).
-FALLBACK_CELL = 1e-3
-MIN_CELL = 1e-7
+# First-level edge candidates are 2**-k for these k (0.5 down to ~40 cm on Earth).
+CELL_EXPONENTS = tuple(range(1, 25))
+# Target mean number of sites per occupied cell at the first level.
+SITES_PER_CELL = 2
+# Smallest first-level edge accepted (keeps the settle margins above rounding).
+MIN_CELL = 2.0 ** -30
+# Representative grid: this many cells across the sites' largest extent.
+REPRESENTATIVE_CELLS = 8
 
 _CELL = ["_cx", "_cy", "_cz"]
+_KEYS = ["_level", *_CELL]
 _POINT = ["_id", "_lat", "_lon"]
+# The 27 neighbouring cells of (_cx, _cy, _cz), as one generator expression.
+_CUBE = "inline(array({}))".format(", ".join(
+    f"named_struct('_cx', _cx + ({dx}), '_cy', _cy + ({dy}), '_cz', _cz + ({dz}))"
+    for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)))
 
 
 def prepare_points(df: DataFrame, id_col: str, lat_col: str, lon_col: str,
@@ -74,63 +98,124 @@ def _with_vector(df: DataFrame) -> DataFrame:
     return df.withColumns({"_x": x, "_y": y, "_z": z})
 
 
-def _with_cell(df: DataFrame, h: float) -> DataFrame:
-    return df.withColumns({
-        "_cx": F.floor(F.col("_x") / h),
-        "_cy": F.floor(F.col("_y") / h),
-        "_cz": F.floor(F.col("_z") / h),
-    })
-
-
-def _site_copies(sites: DataFrame, h: float) -> DataFrame:
-    """Each site once per cell of the cube around its own cell."""
-    cube = F.array(*[
-        F.struct((F.col("_cx") + dx).alias("_cx"), (F.col("_cy") + dy).alias("_cy"),
-                 (F.col("_cz") + dz).alias("_cz"))
-        for dx, dy, dz in CUBE_OFFSETS
-    ])
-    return _with_cell(sites, h).select(F.inline(cube), "_sid", "_slat", "_slon")
-
-
-def settle_distance_km(h: float) -> float:
-    """Arc length (km) below which a best match found with cell size ``h`` is final."""
-    return 2 * EARTH_RADIUS_KM * math.asin(min(1.0, h / 2)) * (1 - SETTLE_MARGIN)
-
-
-def initial_cell(n_sites: int, spans: list[float]) -> float:
-    """Cell edge from the sites' spread: about two typical site spacings."""
-    a, b = sorted(spans, reverse=True)[:2]
-    if a * b > 0:
-        spacing = math.sqrt(a * b / n_sites)
-    elif a > 0:
-        spacing = a / n_sites
-    else:
-        spacing = FALLBACK_CELL / 2
-    return min(MAX_CHORD, max(MIN_CELL, 2 * spacing))
-
-
-def _round_broadcast(pending: DataFrame, sites: DataFrame, h: float) -> DataFrame:
-    table = (_site_copies(sites, h)
-             .groupBy(*_CELL)
-             .agg(F.collect_list(F.struct("_sid", "_slat", "_slon")).alias("_cands")))
-    found = F.array_min(F.transform(
-        "_cands",
-        lambda s: F.struct(haversine_km(F.col("_lat"), F.col("_lon"), s["_slat"], s["_slon"]).alias("d"),
-                           s["_sid"].alias("sid"))))
-    return (_with_cell(pending, h)
-            .join(F.broadcast(table), _CELL, "left")
-            .withColumn("_best", F.least(F.col("_best"), found))
-            .select(*_POINT, "_x", "_y", "_z", "_best"))
-
-
-def _round_shuffle(pending: DataFrame, sites: DataFrame, h: float) -> DataFrame:
-    cands = (_with_cell(pending, h)
-             .join(_site_copies(sites, h), _CELL, "inner")
-             .select(*_POINT, F.struct(haversine_km("_lat", "_lon", "_slat", "_slon").alias("d"),
-                                       F.col("_sid").alias("sid")).alias("_best")))
-    both = pending.select(*_POINT, "_best").unionByName(cands)
-    best = both.groupBy(*_POINT).agg(F.min("_best").alias("_best"))
-    return _with_vector(best).select(*_POINT, "_x", "_y", "_z", "_best")
+def _with_cell(df: DataFrame, h: Column) -> DataFrame:
+    return df.withColumns({c: F.floor(F.col(v) / h) for c, v in zip(_CELL, ("_x", "_y", "_z"))})
+
+
+def _cell_edge(h0: float, level: Column) -> Column:
+    # h0 * 2**level is exact in floating point, so points and sites agree on cells.
+    return F.lit(h0) * F.pow(F.lit(2.0), level.cast("double"))
+
+
+def _site_copies(sites: DataFrame, h0: float, levels: list[int]) -> DataFrame:
+    """Each site once per cell of the cube around its own cell, for every level."""
+    leveled = sites.withColumn("_level", F.explode(F.array(*[F.lit(lv) for lv in levels])))
+    return (_with_cell(leveled, _cell_edge(h0, F.col("_level")))
+            .select("_level", F.expr(_CUBE), "_sid", "_slat", "_slon"))
+
+
+def _settle_distance(h: Column) -> Column:
+    """Arc length (km) within which a best match found with edge ``h`` is final."""
+    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), h / 2)) * (1 - SETTLE_MARGIN)
+
+
+def _top_level(h0: float) -> int:
+    """First level whose edge reaches ``MAX_CHORD`` (the cube then spans the sphere)."""
+    return max(0, math.ceil(math.log2(MAX_CHORD / h0)))
+
+
+def site_stats(sites: DataFrame) -> tuple[int, float, dict[int, int]]:
+    """(site count, largest extent, occupied cells per edge exponent) in one small job.
+
+    Returns at most ``len(CELL_EXPONENTS)`` rows to the driver.
+    """
+    rows = (sites
+            .select(F.explode(F.array(*[F.lit(k) for k in CELL_EXPONENTS])).alias("k"), "_x", "_y", "_z")
+            .select("k", "_x", "_y", "_z", F.expr(
+                "xxhash64(floor(_x * pow(2, k)), floor(_y * pow(2, k)), floor(_z * pow(2, k)))").alias("c"))
+            .groupBy("k")
+            .agg(F.count_distinct("c").alias("occ"), F.count(F.lit(1)).alias("n"),
+                 F.greatest(F.max("_x") - F.min("_x"), F.max("_y") - F.min("_y"),
+                            F.max("_z") - F.min("_z")).alias("span"))
+            .collect())
+    if not rows:
+        return 0, 0.0, {}
+    return rows[0]["n"], rows[0]["span"], {r["k"]: r["occ"] for r in rows}
+
+
+def initial_cell(n_sites: int, occupied: dict[int, int]) -> float:
+    """Coarsest edge 2**-k whose occupied cells hold at most ``SITES_PER_CELL`` sites on average."""
+    for k in CELL_EXPONENTS:
+        if n_sites <= SITES_PER_CELL * max(1, occupied.get(k, 1)):
+            return 2.0 ** -k
+    return 2.0 ** -CELL_EXPONENTS[-1]
+
+
+def _search(pending: DataFrame, sites: DataFrame, n_sites: int, h0: float, levels: list[int],
+            entry_limit: int, arrays: bool) -> DataFrame:
+    """One pass: every pending point meets the sites of the cube at its own level."""
+    copies = _site_copies(sites, h0, levels)
+    points = _with_cell(pending, _cell_edge(h0, F.col("_level")))
+    # Broadcast only what was counted: 27 copies per site and level.
+    small = 27 * len(levels) * n_sites <= entry_limit
+    if arrays and small:
+        table = copies.groupBy(*_KEYS).agg(
+            F.collect_list(F.struct("_sid", "_slat", "_slon")).alias("_cands"))
+        found = F.array_min(F.transform(
+            "_cands",
+            lambda s: F.struct(haversine_km(F.col("_lat"), F.col("_lon"), s["_slat"], s["_slon"]).alias("d"),
+                               s["_sid"].alias("sid"))))
+        return (points.join(F.broadcast(table), _KEYS, "left")
+                .select(*_POINT, "_x", "_y", "_z", "_level", F.least(F.col("_best"), found).alias("_best")))
+    cands = (points.join(F.broadcast(copies) if small else copies, _KEYS, "inner")
+             .select(*_POINT, "_level",
+                     F.struct(haversine_km("_lat", "_lon", "_slat", "_slon").alias("d"),
+                              F.col("_sid").alias("sid")).alias("_best")))
+    both = pending.select(*_POINT, "_level", "_best").unionByName(cands)
+    best = both.groupBy(*_POINT, "_level").agg(F.min("_best").alias("_best"))
+    return _with_vector(best).select(*_POINT, "_x", "_y", "_z", "_level", "_best")
+
+
+def _settled(h0: float, top: int) -> Column:
+    """Best distance within the level's settle distance, or the top level reached."""
+    within = F.col("_best.d") <= _settle_distance(_cell_edge(h0, F.col("_level")))
+    return F.coalesce(within | (F.col("_level") >= top), F.lit(False))
+
+
+def _representatives(sites: DataFrame, span: float) -> DataFrame:
+    """One site per cell of a coarse grid, gathered into a one-row array.
+
+    The sites' bounding box spans at most ``REPRESENTATIVE_CELLS + 1`` cells
+    per axis, so there are at most 729 representatives whatever the number
+    of sites.
+    """
+    hc = F.lit(max(span / REPRESENTATIVE_CELLS, 2.0 ** -40))
+    reps = (_with_cell(sites, hc).groupBy(*_CELL)
+            .agg(F.min(F.struct("_sid", "_slat", "_slon")).alias("r")))
+    return reps.agg(F.collect_list("r").alias("_reps")).withColumn("_one", F.lit(1))
+
+
+def _assign_levels(pending: DataFrame, reps: DataFrame, h0: float, top: int) -> DataFrame:
+    """Level at which each unsettled point's cube surely holds its nearest site.
+
+    ``bound`` is the distance to some site; every site at most that far lies
+    within chord ``2 sin(bound / 2R)``, so an edge at least that long puts
+    the nearest site inside the point's cube.
+    """
+    anchor = F.array_min(F.transform(
+        "_reps", lambda r: haversine_km(F.col("_lat"), F.col("_lon"), r["_slat"], r["_slon"])))
+    bound = F.least(F.col("_best.d"), anchor)
+    chord = 2 * F.sin(bound / (2 * EARTH_RADIUS_KM)) * (1 + 1e-6)
+    level = F.least(F.lit(top), F.greatest(F.col("_level") + 1, F.ceil(F.log2(chord / h0)).cast("int")))
+    return (pending.withColumn("_one", F.lit(1))
+            .join(F.broadcast(reps), "_one", "left")
+            .withColumn("_level", F.coalesce(level, F.lit(top)))
+            .drop("_one", "_reps"))
+
+
+def _levels(pending: DataFrame) -> list[int]:
+    """Distinct levels of the pending points (at most the number of levels; empty when none)."""
+    return sorted(r["_level"] for r in pending.select("_level").distinct().collect())
 
 
 def nearest_site(points: DataFrame, sites: DataFrame, *,
@@ -144,10 +229,11 @@ def nearest_site(points: DataFrame, sites: DataFrame, *,
 
     Returns ``(point_id, site_id, distance_col)``.  With ``per_point_id``
     there is one row per distinct point id (a repeated id keeps its closest
-    point/site pair, all null ids count as one id); otherwise one row per
-    point (identical point rows may be merged).  Points with null, unparsable or zero coordinates are
-    skipped; sites with null or unparsable ones too, and zero ones when
-    ``drop_zero_sites``.
+    point/site pair; all null ids count as one id); otherwise one row per
+    point (identical point rows may be merged).  Points with null,
+    unparsable or zero coordinates are skipped; sites with null or
+    unparsable ones too, and zero ones when ``drop_zero_sites``.
+    ``cell_size`` overrides the first-level edge (chord units).
     """
     spark = points.sparkSession
     pts = _with_vector(prepare_points(points, point_id, point_lat, point_lon, coord_kind, True))
@@ -155,45 +241,28 @@ def nearest_site(points: DataFrame, sites: DataFrame, *,
     sts = sts.select(F.col("_id").alias("_sid"), F.col("_lat").alias("_slat"),
                      F.col("_lon").alias("_slon"), "_x", "_y", "_z")
 
-    stats = sts.agg(F.count(F.lit(1)).alias("n"),
-                    *[(F.max(c) - F.min(c)).alias(f"s{c}") for c in ("_x", "_y", "_z")]).first()
-    id_type = points.schema[point_id].dataType
     sid_type = sites.schema[site_id].dataType
     best_type = StructType([StructField("d", DoubleType()), StructField("sid", sid_type)])
-    n_sites = stats["n"]
+    n_sites, span, occupied = site_stats(sts)
     if n_sites == 0:
-        empty = StructType([StructField(point_id, id_type), StructField(site_id, sid_type),
-                            StructField(distance_col, DoubleType())])
+        empty = StructType([StructField(point_id, points.schema[point_id].dataType),
+                            StructField(site_id, sid_type), StructField(distance_col, DoubleType())])
         return spark.createDataFrame([], empty)
-
-    h = cell_size or initial_cell(n_sites, [stats["s_x"] or 0.0, stats["s_y"] or 0.0, stats["s_z"] or 0.0])
-    search = _round_broadcast if len(CUBE_OFFSETS) * n_sites <= broadcast_entry_limit else _round_shuffle
-
-    pending = pts.withColumn("_best", F.lit(None).cast(best_type))
-    settled: list[DataFrame] = []
-    first = True
-    while True:
-        last = h >= MAX_CHORD
-        found = search(pending, sts, h)
-        done: Column = F.lit(True) if last else F.coalesce(F.col("_best.d") <= settle_distance_km(h), F.lit(False))
-        if last:
-            settled.append(found)
-            break
-        if first:
-            # All points pass through round one: its settled rows stay lazy
-            # (recomputed from the source in the final plan) and only the
-            # few unsettled ones are written out.
-            ensure_checkpoint_dir(spark)
-            settled.append(found.filter(done))
-            pending = found.filter(~done).checkpoint(eager=True)
-            first = False
-        else:
-            found = found.checkpoint(eager=True)
-            settled.append(found.filter(done))
-            pending = found.filter(~done)
-        if pending.isEmpty():
-            break
-        h = min(MAX_CHORD, h * 2)
+    h0 = max(cell_size, MIN_CELL) if cell_size else initial_cell(n_sites, occupied)
+    top = _top_level(h0)
+    done = _settled(h0, top)
+
+    pending = pts.withColumns({"_level": F.lit(0), "_best": F.lit(None).cast(best_type)})
+    found = _search(pending, sts, n_sites, h0, [0], broadcast_entry_limit, arrays=True)
+    settled = [found.filter(done)]
+    if top > 0:
+        ensure_checkpoint_dir(spark)
+        pending = _assign_levels(found.filter(~done).checkpoint(eager=True),
+                                 _representatives(sts, span), h0, top)
+        levels = _levels(pending)
+        if levels:
+            settled.append(_search(pending, sts, n_sites, h0, levels, broadcast_entry_limit,
+                                   arrays=False))
 
     rows = settled[0].select("_id", "_best")
     for part in settled[1:]:
