@@ -192,7 +192,7 @@ def _representatives(sites: DataFrame, span: float) -> DataFrame:
     hc = F.lit(max(span / REPRESENTATIVE_CELLS, 2.0 ** -40))
     reps = (_with_cell(sites, hc).groupBy(*_CELL)
             .agg(F.min(F.struct("_sid", "_slat", "_slon")).alias("r")))
-    return reps.agg(F.collect_list("r").alias("_reps")).withColumn("_one", F.lit(1))
+    return reps.agg(F.collect_list("r").alias("_reps"))
 
 
 def _assign_levels(pending: DataFrame, reps: DataFrame, h0: float, top: int) -> DataFrame:
@@ -202,15 +202,15 @@ def _assign_levels(pending: DataFrame, reps: DataFrame, h0: float, top: int) ->
     within chord ``2 sin(bound / 2R)``, so an edge at least that long puts
     the nearest site inside the point's cube.
     """
+    # The representatives travel as a scalar subquery (one value, no join),
+    # projected into a column first: subqueries may not sit inside lambdas.
+    pending = pending.withColumn("_reps", reps.select("_reps").scalar())
     anchor = F.array_min(F.transform(
         "_reps", lambda r: haversine_km(F.col("_lat"), F.col("_lon"), r["_slat"], r["_slon"])))
     bound = F.least(F.col("_best.d"), anchor)
     chord = 2 * F.sin(bound / (2 * EARTH_RADIUS_KM)) * (1 + 1e-6)
     level = F.least(F.lit(top), F.greatest(F.col("_level") + 1, F.ceil(F.log2(chord / h0)).cast("int")))
-    return (pending.withColumn("_one", F.lit(1))
-            .join(F.broadcast(reps), "_one", "left")
-            .withColumn("_level", F.coalesce(level, F.lit(top)))
-            .drop("_one", "_reps"))
+    return pending.withColumn("_level", F.coalesce(level, F.lit(top))).drop("_reps")
 
 
 def _levels(pending: DataFrame) -> list[int]:
