@@ -24,8 +24,10 @@ Rounds.
    one grouped count over the sites), so cubes hold a handful of sites
    where there are sites.  Candidates are grouped into one array per cell
    and broadcast; points take the minimum in place: a map-only pass with
-   no shuffle.  Settled rows stay lazy; only the unsettled ones are written
-   (``checkpoint`` in the shared checkpoint folder).
+   no shuffle.  The result is written once as a narrow table in the shared
+   checkpoint folder, partitioned by a settled flag; later steps read it
+   (the next round only the unsettled partition), so the source is scanned
+   once and the lineage is cut there.
 2. Each unsettled point gets an upper bound on its nearest distance: the
    best found so far or the closest of at most 729 representative sites
    (one per cell of a grid with 8 cells across the sites' extent).  Some
@@ -51,7 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from beatwise.functions.columns import EARTH_RADIUS_KM, haversine_km, to_double, unit_vector
-from beatwise.session import ensure_checkpoint_dir
+from beatwise.session import staging_path
 
 # Largest chord between two points of the unit sphere.
 MAX_CHORD = 2.0
@@ -253,20 +255,23 @@ def nearest_site(points: DataFrame, sites: DataFrame, *,
     done = _settled(h0, top)
 
     pending = pts.withColumns({"_level": F.lit(0), "_best": F.lit(None).cast(best_type)})
-    found = _search(pending, sts, n_sites, h0, [0], broadcast_entry_limit, arrays=True)
-    settled = [found.filter(done)]
+    first = (_search(pending, sts, n_sites, h0, [0], broadcast_entry_limit, arrays=True)
+             .select(*_POINT, "_best", done.alias("_settled")))
+    # One pass over the points, written once: later steps read this narrow
+    # table (the unsettled partition alone for the next round) instead of
+    # recomputing from the source, and the lineage stops here.
+    path = staging_path(spark, "nearest-first-round")
+    first.write.partitionBy("_settled").parquet(path)
+    table = spark.read.schema(first.schema).parquet(path)
+    rows = table.filter(F.col("_settled")).select("_id", "_best")
     if top > 0:
-        ensure_checkpoint_dir(spark)
-        pending = _assign_levels(found.filter(~done).checkpoint(eager=True),
+        pending = _with_vector(table.filter(~F.col("_settled")).select(*_POINT, "_best"))
+        pending = _assign_levels(pending.withColumn("_level", F.lit(0)),
                                  _representatives(sts, span), h0, top)
         levels = _levels(pending)
         if levels:
-            settled.append(_search(pending, sts, n_sites, h0, levels, broadcast_entry_limit,
-                                   arrays=False))
-
-    rows = settled[0].select("_id", "_best")
-    for part in settled[1:]:
-        rows = rows.unionByName(part.select("_id", "_best"))
+            second = _search(pending, sts, n_sites, h0, levels, broadcast_entry_limit, arrays=False)
+            rows = rows.unionByName(second.select("_id", "_best"))
     if per_point_id:
         rows = rows.groupBy("_id").agg(F.min("_best").alias("_best"))
     return rows.select(F.col("_id").alias(point_id), F.col("_best.sid").alias(site_id),
