@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def explode_features(docs: DataFrame, features_col: str = "features") -> DataFrame:
     """One row per element of the ``features`` array, struct fields as columns."""
-    return docs.select(F.inline(F.col(features_col)))
+    return docs.selectExpr(f"inline(`{features_col}`)")
 
 
 def flatten_properties(features: DataFrame, struct_col: str = "properties",

@@ -8,10 +8,16 @@ from beatwise.sources.readers import (
     read_feature_docs_text,
     read_parquet,
 )
-from beatwise.sources.sinks import collect_then_write, write_csv, write_feature_docs, write_parquet
+from beatwise.sources.sinks import (
+    collect_then_write,
+    formatted_plan,
+    write_csv,
+    write_feature_docs,
+    write_parquet,
+)
 
 __all__ = [
     "read_csv", "read_csv_lines", "read_delimited_fields", "read_feature_docs",
-    "read_feature_docs_text", "read_parquet", "collect_then_write", "write_csv",
+    "read_feature_docs_text", "read_parquet", "collect_then_write", "formatted_plan", "write_csv",
     "write_feature_docs", "write_parquet",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 
 from pyspark import StorageLevel
@@ -59,3 +61,11 @@ def collect_then_write(df: DataFrame, path: str, **csv_options) -> list:
     finally:
         df.unpersist()
     return rows
+
+
+def formatted_plan(df: DataFrame, mode: str = "formatted") -> str:
+    """The text ``df.explain(mode)`` prints, returned as a string."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from beatwise.functions import (
     DAY_PART_DEFAULT, bucket_ranges, clean_money, day_part, day_part_py, day_part_udf,

@@ -2,7 +2,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from beatwise.schemas import CENSUS_DOC_SCHEMA
 from beatwise.sources import (
-    collect_then_write, read_csv, read_csv_lines, read_delimited_fields, read_feature_docs,
+    collect_then_write, formatted_plan, read_csv, read_csv_lines, read_delimited_fields, read_feature_docs,
     read_feature_docs_text, read_parquet, write_csv, write_feature_docs, write_parquet,
 )
 
@@ -54,3 +54,8 @@ def test_parquet_round_trip_and_collect_then_write(spark, tmp_dir):
     rows = collect_then_write(back, f"{tmp_dir}/out", single_file=True)
     assert rows == df.collect()
     assert read_csv(spark, f"{tmp_dir}/out", SCHEMA).collect() == df.collect()
+
+
+def test_formatted_plan(spark):
+    text = formatted_plan(spark.range(10).groupBy("id").count())
+    assert "== Physical Plan ==" in text and "HashAggregate" in text
