@@ -64,7 +64,7 @@ BROADCAST_ENTRY_LIMIT = 1_000_000
 # First-level edge candidates are 2**-k for these k (0.5 down to ~40 cm on Earth).
 CELL_EXPONENTS = tuple(range(1, 25))
 # Target mean number of sites per occupied cell at the first level.
-SITES_PER_CELL = 2
+SITES_PER_CELL = 4
 # Smallest first-level edge accepted (keeps the settle margins above rounding).
 MIN_CELL = 2.0 ** -30
 # Representative grid: this many cells across the sites' largest extent.
