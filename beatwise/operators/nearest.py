@@ -50,6 +50,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from beatwise.functions.columns import EARTH_RADIUS_KM, haversine_km, to_double, unit_vector
@@ -215,6 +216,15 @@ def _assign_levels(pending: DataFrame, reps: DataFrame, h0: float, top: int) ->
     return pending.withColumn("_level", F.coalesce(level, F.lit(top))).drop("_reps")
 
 
+def _exists(spark, path: str, schema: StructType) -> bool:
+    """Whether a written partition folder exists (planning only, no job)."""
+    try:
+        spark.read.schema(schema).parquet(path)
+        return True
+    except AnalysisException:
+        return False
+
+
 def _levels(pending: DataFrame) -> list[int]:
     """Distinct levels of the pending points (at most the number of levels; empty when none)."""
     return sorted(r["_level"] for r in pending.select("_level").distinct().collect())
@@ -262,16 +272,23 @@ def nearest_site(points: DataFrame, sites: DataFrame, *,
     # recomputing from the source, and the lineage stops here.
     path = staging_path(spark, "nearest-first-round")
     first.write.partitionBy("_settled").parquet(path)
-    table = spark.read.schema(first.schema).parquet(path)
-    rows = table.filter(F.col("_settled")).select("_id", "_best")
-    if top > 0:
-        pending = _with_vector(table.filter(~F.col("_settled")).select(*_POINT, "_best"))
+    data_schema = first.drop("_settled").schema
+    part = {flag: f"{path}/_settled={flag}" for flag in ("true", "false")}
+    parts = []
+    if _exists(spark, part["true"], data_schema):
+        parts.append(spark.read.schema(data_schema).parquet(part["true"]).select("_id", "_best"))
+    # No unsettled partition (the usual case): nothing more to run.
+    if top > 0 and _exists(spark, part["false"], data_schema):
+        pending = _with_vector(spark.read.schema(data_schema).parquet(part["false"]))
         pending = _assign_levels(pending.withColumn("_level", F.lit(0)),
                                  _representatives(sts, span), h0, top)
         levels = _levels(pending)
         if levels:
-            second = _search(pending, sts, n_sites, h0, levels, broadcast_entry_limit, arrays=False)
-            rows = rows.unionByName(second.select("_id", "_best"))
+            parts.append(_search(pending, sts, n_sites, h0, levels, broadcast_entry_limit,
+                                 arrays=False).select("_id", "_best"))
+    rows = parts[0] if parts else spark.createDataFrame([], data_schema).select("_id", "_best")
+    for extra in parts[1:]:
+        rows = rows.unionByName(extra)
     if per_point_id:
         rows = rows.groupBy("_id").agg(F.min("_best").alias("_best"))
     return rows.select(F.col("_id").alias(point_id), F.col("_best.sid").alias(site_id),
