@@ -6,6 +6,7 @@ are derived with ``try_cast`` in the plans.
 
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+# --- Fixed values: column names and order of the public input files. ---
 # Incident table: 28 text columns, header skipped (matched by position).
 INCIDENT_COLUMNS = (
     "DR_NO", "Date Rptd", "DATE OCC", "TIME OCC", "AREA", "AREA NAME", "Rpt Dist No",
