@@ -17,13 +17,33 @@ DEFAULT_CONF = {
 }
 
 
+# Additional settings for large clusters (``get_session(cluster=True)``):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each, scan
+# splits of 256 MB, and joins broadcast only from sizes measured at run time
+# (the static, estimate-based broadcast is off).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "beatwise",
-                shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
-    """Build (or reuse) a session with AQE and skew-join handling switched on."""
+                shuffle_partitions: int | None = None, cluster: bool = False,
+                **conf: str) -> SparkSession:
+    """Build (or reuse) a session with AQE and skew-join handling switched on.
+
+    ``cluster=True`` adds ``CLUSTER_CONF``; keyword settings override both.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **conf}.items():
+    base = {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}
+    for key, value in {**base, **conf}.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

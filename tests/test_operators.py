@@ -142,6 +142,11 @@ def test_nearest_without_sites_is_empty(spark):
     assert _run(spark, [(1, 34.0, -118.0)], []) == {}
 
 
+def test_nearest_without_points_is_empty(spark):
+    assert _run(spark, [], [("A", 34.0, -118.0)]) == {}
+    assert _run(spark, [(1, 0.0, 0.0)], [("A", 34.0, -118.0)]) == {}
+
+
 def test_nearest_plan_has_no_pairwise_join(spark):
     p = spark.range(1, 2000).select(F.col("id").alias("DR_NO"), (33.7 + F.rand(1) * 0.7).alias("LAT"),
                                     (-118.7 + F.rand(2) * 0.6).alias("LON"))
