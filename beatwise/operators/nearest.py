@@ -58,8 +58,10 @@ from beatwise.session import staging_path
 
 # Largest chord between two points of the unit sphere.
 MAX_CHORD = 2.0
-# Relative safety margin on the settle test (floating-point slack).
+# Safety margins on the settle test: relative, and absolute in chord units
+# (unit-vector components carry rounding errors near 1e-16).
 SETTLE_MARGIN = 1e-9
+SETTLE_SLACK = 1e-12
 # Most site copies (27 per site and level) broadcast to every task.
 BROADCAST_ENTRY_LIMIT = 1_000_000
 # First-level edge candidates are 2**-k for these k (0.5 down to ~40 cm on Earth).
@@ -67,7 +69,7 @@ CELL_EXPONENTS = tuple(range(1, 25))
 # Target mean number of sites per occupied cell at the first level.
 SITES_PER_CELL = 4
 # Smallest first-level edge accepted (keeps the settle margins above rounding).
-MIN_CELL = 2.0 ** -30
+MIN_CELL = 2.0 ** -24
 # Representative grid: this many cells across the sites' largest extent.
 REPRESENTATIVE_CELLS = 8
 
@@ -119,7 +121,8 @@ def _site_copies(sites: DataFrame, h0: float, levels: list[int]) -> DataFrame:
 
 def _settle_distance(h: Column) -> Column:
     """Arc length (km) within which a best match found with edge ``h`` is final."""
-    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), h / 2)) * (1 - SETTLE_MARGIN)
+    edge = F.greatest(F.lit(0.0), h - SETTLE_SLACK)
+    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), edge / 2)) * (1 - SETTLE_MARGIN)
 
 
 def _top_level(h0: float) -> int:

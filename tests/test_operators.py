@@ -96,7 +96,7 @@ def _check(got, want):
         assert got[k][0] == pytest.approx(d, rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("layout", ["spread", "line", "cluster_far", "single", "global"])
+@pytest.mark.parametrize("layout", ["spread", "line", "cluster_far", "single", "global", "dense"])
 @pytest.mark.parametrize("limit", [1_000_000, 0])
 def test_nearest_matches_brute_force(spark, layout, limit):
     rnd = random.Random(hash((layout, limit)) & 0xFFFF)
@@ -109,6 +109,10 @@ def test_nearest_matches_brute_force(spark, layout, limit):
         sites = [(f"s{i:03d}", 40.0 + rnd.random() * 0.01, -74.0 + rnd.random() * 0.01) for i in range(30)]
     elif layout == "single":
         sites = [("only", 34.05, -118.25)]
+    elif layout == "dense":
+        # Sites a few metres apart, points among them: the smallest cells.
+        sites = [(f"s{i:03d}", 34.0 + rnd.random() * 1e-4, -118.0 + rnd.random() * 1e-4) for i in range(80)]
+        points = [(i, 34.0 + rnd.random() * 1.2e-4, -118.0 + rnd.random() * 1.2e-4) for i in range(1, 300)]
     else:
         sites = [(f"s{i:03d}", rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(60)]
         points += [(1000 + i, rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(200)]
