@@ -34,11 +34,13 @@ Rounds.
    site lies at that distance, so at the level whose edge exceeds the
    bound's chord (by a relative margin of 1e-6, far above floating-point
    error) that site, and hence the nearest one, is inside the point's
-   cube: one more pass settles every pending point.  It joins row-wise
-   (site copies broadcast when counted small enough, else shuffled on the
-   cell key, where AQE splits a hot cell); the per-point minimum is a
-   partial + final aggregate, and the partial step collapses each point's
-   candidates inside its task.
+   cube: one more pass settles every pending point, the same way as round
+   one (candidate arrays keyed by level and cell).
+
+Above the broadcast limit both rounds join the site copies row-wise on the
+shuffled cell key (AQE splits a hot cell) and keep each point's minimum
+with a partial + final aggregate; the partial step collapses a point's
+candidates inside its task.
 
 Sites are counted before anything is broadcast: copies (27 per site and
 level) above ``broadcast_entry_limit`` are never broadcast.
@@ -158,13 +160,20 @@ def initial_cell(n_sites: int, occupied: dict[int, int]) -> float:
 
 
 def _search(pending: DataFrame, sites: DataFrame, n_sites: int, h0: float, levels: list[int],
-            entry_limit: int, arrays: bool) -> DataFrame:
-    """One pass: every pending point meets the sites of the cube at its own level."""
+            entry_limit: int) -> DataFrame:
+    """One pass: every pending point meets the sites of the cube at its own level.
+
+    Within ``entry_limit`` the site copies become one candidate array per
+    (level, cell), broadcast; each point takes the minimum of its array in
+    place (map-only, no sort, no shuffle).  Above it the copies are joined
+    row-wise on the shuffled cell key and a partial + final aggregate keeps
+    each point's minimum.
+    """
     copies = _site_copies(sites, h0, levels)
     points = _with_cell(pending, _cell_edge(h0, F.col("_level")))
     # Broadcast only what was counted: 27 copies per site and level.
     small = 27 * len(levels) * n_sites <= entry_limit
-    if arrays and small:
+    if small:
         table = copies.groupBy(*_KEYS).agg(
             F.collect_list(F.struct("_sid", "_slat", "_slon")).alias("_cands"))
         found = F.array_min(F.transform(
@@ -173,7 +182,7 @@ def _search(pending: DataFrame, sites: DataFrame, n_sites: int, h0: float, level
                                s["_sid"].alias("sid"))))
         return (points.join(F.broadcast(table), _KEYS, "left")
                 .select(*_POINT, "_x", "_y", "_z", "_level", F.least(F.col("_best"), found).alias("_best")))
-    cands = (points.join(F.broadcast(copies) if small else copies, _KEYS, "inner")
+    cands = (points.join(copies, _KEYS, "inner")
              .select(*_POINT, "_level",
                      F.struct(haversine_km("_lat", "_lon", "_slat", "_slon").alias("d"),
                               F.col("_sid").alias("sid")).alias("_best")))
@@ -268,7 +277,7 @@ def nearest_site(points: DataFrame, sites: DataFrame, *,
     done = _settled(h0, top)
 
     pending = pts.withColumns({"_level": F.lit(0), "_best": F.lit(None).cast(best_type)})
-    first = (_search(pending, sts, n_sites, h0, [0], broadcast_entry_limit, arrays=True)
+    first = (_search(pending, sts, n_sites, h0, [0], broadcast_entry_limit)
              .select(*_POINT, "_best", done.alias("_settled")))
     # One pass over the points, written once: later steps read this narrow
     # table (the unsettled partition alone for the next round) instead of
@@ -287,8 +296,8 @@ def nearest_site(points: DataFrame, sites: DataFrame, *,
                                  _representatives(sts, span), h0, top)
         levels = _levels(pending)
         if levels:
-            parts.append(_search(pending, sts, n_sites, h0, levels, broadcast_entry_limit,
-                                 arrays=False).select("_id", "_best"))
+            parts.append(_search(pending, sts, n_sites, h0, levels, broadcast_entry_limit)
+                         .select("_id", "_best"))
     rows = parts[0] if parts else spark.createDataFrame([], data_schema).select("_id", "_best")
     for extra in parts[1:]:
         rows = rows.unionByName(extra)
