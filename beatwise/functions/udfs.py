@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -34,7 +35,33 @@ def day_part_py(value) -> str:
     return DAY_PART_DEFAULT
 
 
+# Text that int() reads the same as a plain base-10 number of at most 15 digits.
+_PLAIN_INT = r"[+-]?[0-9]{1,15}"
+
+
+def _labels(t: np.ndarray) -> np.ndarray:
+    conds = [(t >= low) & (t <= high) for _, low, high in DAY_PARTS]
+    return np.select(conds, [label for label, _, _ in DAY_PARTS], default=DAY_PART_DEFAULT)
+
+
 @F.pandas_udf(StringType())
 def day_part_udf(values: pd.Series) -> pd.Series:
-    """Vectorised wrapper: one call per Arrow batch."""
-    return values.map(day_part_py)
+    """Vectorised per Arrow batch.
+
+    Plain integers (the usual case) are parsed and bucketed with pandas /
+    numpy; anything else that is not null (underscores, other digit
+    scripts, junk) goes through ``day_part_py`` one value at a time.
+    """
+    out = pd.Series(DAY_PART_DEFAULT, index=values.index, dtype=object)
+    if not (pd.api.types.is_object_dtype(values) or pd.api.types.is_string_dtype(values)):
+        known = values.notna()
+        out[known] = _labels(values[known].to_numpy())
+        return out
+    stripped = values.str.strip()
+    fast = stripped.str.fullmatch(_PLAIN_INT).fillna(False).astype(bool)
+    if fast.any():
+        out[fast] = _labels(pd.to_numeric(stripped[fast]).to_numpy())
+    slow = values.notna() & ~fast
+    if slow.any():
+        out[slow] = values[slow].map(day_part_py)
+    return out

@@ -25,7 +25,8 @@ def test_day_part_unparsable_is_default(spark):
 
 
 def test_udf_variant_keeps_python_int_rules(spark):
-    values = ["0459", "0500", "1200", "1700", "2100", None, "abc", "12.5", "1_200", " 1200 "]
+    values = ["0459", "0500", "1200", "1700", "2100", None, "abc", "12.5", "1_200", " 1200 ",
+              "+0600", "-5", "\u0661\u0663\u0660\u0660", "99999999999999999999", "1160", ""]
     df = _one_col(spark, values)
     native = [r[0] for r in df.select(day_part("v")).collect()]
     udf = [r[0] for r in df.select(day_part_udf("v")).collect()]
@@ -33,6 +34,8 @@ def test_udf_variant_keeps_python_int_rules(spark):
     # Python's int() accepts '1_200'; the native cast does not.
     assert native[8] == DAY_PART_DEFAULT and udf[8] == "Afternoon"
     assert native[:8] == udf[:8]
+    # Arabic-Indic digits: int() reads 1300.
+    assert udf[12] == "Afternoon"
 
 
 def test_bucket_ranges_generic(spark):
@@ -67,3 +70,9 @@ def test_haversine_clamps_rounding(spark):
     df = spark.createDataFrame([(45.0, 10.0, -45.0, -170.0)], "a double, b double, c double, d double")
     got = df.select(haversine_km("a", "b", "c", "d")).first()[0]
     assert not math.isnan(got) and got == pytest.approx(math.pi * 6371, rel=1e-9)
+
+
+def test_udf_variant_on_numbers(spark):
+    df = spark.createDataFrame([(459,), (600,), (1300,), (1800,), (None,)], "v int")
+    got = [r[0] for r in df.select(day_part_udf("v")).collect()]
+    assert got == ["LateNight", "Morning", "Afternoon", "Night", "LateNight"]
