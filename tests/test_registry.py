@@ -45,3 +45,13 @@ def test_plan_shapes(spark):
     for name in ("station_load", "station_load_sql", "station_load_suppliers"):
         text = plan_text(q[name](spark, SF))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", ["daypart_share", "daypart_share_csv", "top_months_parsed", "top_months_sql"])
+def test_time_queries_do_not_depend_on_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(spark, con, name, SF)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r["match"], (r["only_spark"], r["only_oracle"])
