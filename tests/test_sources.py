@@ -59,3 +59,13 @@ def test_parquet_round_trip_and_collect_then_write(spark, tmp_dir):
 def test_formatted_plan(spark):
     text = formatted_plan(spark.range(10).groupBy("id").count())
     assert "== Physical Plan ==" in text and "HashAggregate" in text
+
+
+def test_quoted_line_break_splits_a_record(spark, tmp_dir):
+    # Like the surveyed readers, no multiLine option: each physical line is a record.
+    path = f"{tmp_dir}/broken.csv"
+    with open(path, "w") as f:
+        f.write('id,TIME OCC\n"1","06\n00"\n"2","1300"\n')
+    rows = read_csv(spark, path, SCHEMA).collect()
+    assert len(rows) == 3
+    assert rows[-1] == ("2", "1300")
