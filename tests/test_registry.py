@@ -55,3 +55,11 @@ def test_time_queries_do_not_depend_on_session_time_zone(spark, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert r["match"], (r["only_spark"], r["only_oracle"])
+
+
+def test_global_total_reuses_the_grouped_shuffle(spark):
+    # The scalar-subquery total reads the same grouped exchange as the main
+    # query, so the source is scanned once.
+    df = entry.queries()["daypart_total"](spark, SF)
+    df.collect()
+    assert "ReusedExchange" in plan_text(df)
