@@ -105,6 +105,17 @@ def income_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def balance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Income-table-shaped text rows that grow with the data: each customer's
+    account balance as money text (``'$1,234.56'``, ``'$-846.69'``)."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("Zip_Code"),
+        F.col("c_name").alias("Community"),
+        F.concat(F.lit("$"), F.format_number("c_acctbal", 2)).alias("Estimated_Median_Income"),
+    )
+
+
 def incident_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as located incidents: ``DR_NO``, ``LAT``, ``LON``."""
     c = table(spark, sf_dir, "customer")
