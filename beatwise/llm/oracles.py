@@ -31,4 +31,23 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM g LEFT JOIN verdict USING (source)
 """
 
-ORACLES = {"op5_host_quality": HOST_QUALITY}
+#: Every window of 50 words as a list; a word goes if one of its windows has a smaller first document.
+BLOCK_ANCHORS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+win AS (
+  SELECT r, doc_id, i, list_slice(words, i, i + 49) AS gram
+  FROM d, LATERAL (SELECT unnest(range(1, len(words) - 48)) AS i)),
+gone AS (SELECT r, i FROM win QUALIFY doc_id > min(doc_id) OVER (PARTITION BY gram)),
+cov AS (SELECT DISTINCT r, i + k AS p FROM gone, range(0, 50) AS t(k)),
+w AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS body FROM w ANTI JOIN cov USING (r, p) GROUP BY r),
+lost AS (SELECT r, count(*) AS n FROM cov GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLES = {"op5_host_quality": HOST_QUALITY, "op8_block_anchors": BLOCK_ANCHORS}
