@@ -50,4 +50,25 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_remove
 FROM d LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
 """
 
-ORACLES = {"op5_host_quality": HOST_QUALITY, "op8_block_anchors": BLOCK_ANCHORS}
+#: Every string of 50 bytes (100 hex digits); runs of removed bytes are gaps and islands.
+SUFFIX_DEDUP = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (
+  SELECT r, doc_id, i, substr(h, 2 * i - 1, 100) AS gram
+  FROM d, LATERAL (SELECT unnest(range(1, length(h) // 2 - 48)) AS i)),
+gone AS (SELECT r, i FROM win QUALIFY doc_id > min(doc_id) OVER (PARTITION BY gram)),
+step AS (SELECT r, i, coalesce(i > 50 + lag(i) OVER (PARTITION BY r ORDER BY i), true) AS fresh FROM gone),
+part AS (SELECT r, i, sum(fresh::INT) OVER (PARTITION BY r ORDER BY i) AS run FROM step),
+span AS (SELECT r, run, min(i) AS a, max(i) + 50 AS b FROM part GROUP BY r, run),
+gap AS (
+  SELECT r, run, substr(h, 2 * b - 1, 2 * (coalesce(lead(a) OVER w, length(h) // 2 + 1) - b)) AS piece
+  FROM (SELECT r, run, a, b FROM span UNION ALL SELECT r, 0, 1, 1 FROM d) JOIN d USING (r)
+  WINDOW w AS (PARTITION BY r ORDER BY run)),
+kept AS (SELECT r, string_agg(piece, '' ORDER BY run) AS body FROM gap GROUP BY r),
+lost AS (SELECT r, sum(b - a) AS n, count(*) AS spans FROM span GROUP BY r)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed,
+       coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(body, ''))) AS kept_sha256
+FROM d LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLES = {"op5_host_quality": HOST_QUALITY, "op8_block_anchors": BLOCK_ANCHORS, "op9_suffix_dedup": SUFFIX_DEDUP}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .block_repeats import remove_repeats
+from . import block_repeats, suffix_repeats
 from .decontaminate import find_leaks
 from .host_quality import judge_hosts
 from .pieces import encode_decode
@@ -55,17 +55,26 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words removed from every document, digest of what is left."""
-    cut = remove_repeats(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+    cut = block_repeats.remove_repeats(_read(spark, sf_dir, "documents"), keep=["doc_id"])
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s.end - s.start)
     return cut.select("row.doc_id", "n_words", removed.alias("n_removed"),
                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes removed from every document, digest of what is left."""
+    cut = suffix_repeats.remove_repeats(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s.end - s.start)
+    return cut.select("row.doc_id", "n_bytes", removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op4_decontaminate": decontaminate,
     "op5_host_quality": host_quality,
     "op6_sentencepiece": sentencepiece,
     "op7_simhash": simhash,
     "op8_block_anchors": block_anchors,
+    "op9_suffix_dedup": suffix_dedup,
     "op10_secret_scan": secret_scan,
 }
