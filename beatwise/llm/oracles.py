@@ -71,4 +71,29 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_
 FROM d LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
 """
 
-ORACLES = {"op5_host_quality": HOST_QUALITY, "op8_block_anchors": BLOCK_ANCHORS, "op9_suffix_dedup": SUFFIX_DEDUP}
+WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+d AS (SELECT page_id, n, sha1(body) AS digest FROM p),
+r AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest, n) END AS last FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN last IS DISTINCT FROM page_id AND last IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last IS DISTINCT FROM page_id THEN last END AS refers_to, true AS digest_ok
+FROM r
+"""
+
+#: Bytes of every prefix of every row; the shortest that fits is the shard.
+SHARDING = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(strlen(text), 0) AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
+  FROM documents),
+lv AS (
+  SELECT r, doc_id, k, h >> (60 - k) AS place, sum(size) OVER (PARTITION BY k, h >> (60 - k)) AS bytes
+  FROM d, range(0, 61) AS t(k)),
+pick AS (SELECT * FROM lv WHERE bytes <= 1048576 OR k = 60 QUALIFY k = min(k) OVER (PARTITION BY r))
+SELECT doc_id, CASE WHEN k = 0 THEN '' ELSE lpad(bin(place), k::INT, '0') END AS shard, k::INT AS depth,
+       bytes::BIGINT AS shard_bytes
+FROM pick
+"""
+
+ORACLES = {"op1_warc": WARC, "op3_sharding": SHARDING, "op5_host_quality": HOST_QUALITY, "op8_block_anchors": BLOCK_ANCHORS, "op9_suffix_dedup": SUFFIX_DEDUP}

@@ -11,7 +11,9 @@ from .decontaminate import find_leaks
 from .host_quality import judge_hosts
 from .pieces import encode_decode
 from .secrets import scan
+from .shards import assign_shards
 from .simhash import near_duplicates
+from .warc import archive_folder, mark_revisits, read_archives, write_archives
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -20,6 +22,23 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through an archive and back."""
+    records = mark_revisits(_read(spark, sf_dir, "pages"))
+    back = read_archives(write_archives(records, archive_folder(spark)), payload=False)
+    page = lambda c: F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1)
+    number = lambda c: F.when(page(c) != "", page(c).cast("long"))
+    return back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       number("refers_to").alias("refers_to"), "digest_ok")
+
+
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    assigned = assign_shards(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return assigned.select("doc_id", F.col("shard.name").alias("shard"), F.col("shard.depth").alias("depth"),
+                           F.col("shard.bytes").alias("shard_bytes"))
+
+
 def host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdict of every document."""
     judged = judge_hosts(_read(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -70,6 +89,8 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": warc,
+    "op3_sharding": sharding,
     "op4_decontaminate": decontaminate,
     "op5_host_quality": host_quality,
     "op6_sentencepiece": sentencepiece,
