@@ -42,6 +42,8 @@ THRESHOLD, OVERLAP, GRAM = 0.5, 0.5, 3
 ITEMS_PER_BLOCK, ITEMS_PER_GROUP, STRIDE = 8, 512, 32
 #: Bytes of item text in one broadcast index.
 INDEX_BYTES = 16 << 20
+#: Characters of documents searched in one step.
+SEARCH_CHARS = 1 << 20
 
 _PUNCTUATION = bytes(32 if chr(i) in string.punctuation or i < 32 else i for i in range(256))
 LEAK_TYPE = ("array<struct<item_id:bigint,passage_start:int,score:double,"
@@ -210,7 +212,14 @@ def _blocks(items: DataFrame, item_id: str, text: str):
 def _search_udf(index, threshold: float, overlap: float):
     @F.arrow_udf(LEAK_TYPE)
     def find(texts: pa.Array) -> pa.Array:
-        return pa.array(search(index.value, texts.to_pylist(), threshold, overlap), _ARROW)
+        found, part, size = [], [], 0
+        for text in texts:  # a batch may hold thousands of texts: arrays of a bounded part at a time
+            part.append(text.as_py())
+            size += len(part[-1] or "")
+            if size >= SEARCH_CHARS:
+                found += search(index.value, part, threshold, overlap)
+                part, size = [], 0
+        return pa.array(found + search(index.value, part, threshold, overlap), _ARROW)
 
     return find
 

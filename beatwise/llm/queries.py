@@ -10,6 +10,7 @@ from . import block_repeats, suffix_repeats
 from .decontaminate import find_leaks
 from .host_quality import judge_hosts
 from .pieces import encode_decode
+from .pseudo_likelihood import score_documents
 from .secrets import scan
 from .shards import assign_shards
 from .simhash import near_duplicates
@@ -32,6 +33,13 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        number("refers_to").alias("refers_to"), "digest_ok")
 
 
+def pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summed log-probability of every document under a network trained on all of them."""
+    scored = score_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", F.col("score.tokens").alias("n_tokens"),
+                         F.round("score.log_probability", 3).alias("log_probability"))
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document."""
     assigned = assign_shards(_read(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -90,6 +98,7 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": warc,
+    "op2_pseudo_likelihood": pseudo_likelihood,
     "op3_sharding": sharding,
     "op4_decontaminate": decontaminate,
     "op5_host_quality": host_quality,
