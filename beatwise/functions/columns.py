@@ -78,13 +78,16 @@ def haversine_km(lat1: Column | str, lon1: Column | str,
     """Great-circle distance in km between two points given in degrees.
 
     The arcsine argument is clamped to 1: rounding can push it just above,
-    which would otherwise give NaN for (nearly) antipodal points.
+    which would otherwise give NaN for (nearly) antipodal points.  A NaN
+    coordinate stays NaN (Spark orders NaN above every number, so a plain
+    ``least`` would turn it into half the Earth's circumference).
     """
     p1, l1 = F.radians(_col(lat1)), F.radians(_col(lon1))
     p2, l2 = F.radians(_col(lat2)), F.radians(_col(lon2))
     a = (F.pow(F.sin((p2 - p1) / 2), 2)
          + F.cos(p1) * F.cos(p2) * F.pow(F.sin((l2 - l1) / 2), 2))
-    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    half = F.sqrt(a)
+    return 2 * EARTH_RADIUS_KM * F.asin(F.when((half > 1) & ~F.isnan(half), F.lit(1.0)).otherwise(half))
 
 
 def unit_vector(lat: Column | str, lon: Column | str) -> tuple[Column, Column, Column]:

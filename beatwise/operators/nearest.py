@@ -1,306 +1,226 @@
-"""Nearest-site assignment by great-circle distance, without a cross join.
-
-Pairing every point with every site costs points x sites comparisons.  Here
-both sides are placed on a grid over the unit sphere (3-D cells in chord
-units) and joined on the cell key:
-
-* each site is copied into the 27 cells of the 3 x 3 x 3 cube around its
-  own cell;
-* each point joins the copies in its own cell, i.e. it meets exactly the
-  sites of the cube around it, and keeps the closest one (ties go to the
-  smaller site id);
-* any site outside that cube is more than one cell edge ``h`` away in chord
-  length, so a point whose best distance is within the arc of ``h`` is
-  settled: no other site can be closer.
-
-Levels.  Level ``L`` uses the edge ``h0 * 2**L``; at the top level the edge
-reaches 2 (the sphere's diameter), the cube covers everything and every
-point is settled.  The search is exact at every step.
-
-Rounds.
-
-1. All points at level 0.  ``h0`` is the coarsest power-of-two edge at
-   which occupied cells hold about ``SITES_PER_CELL`` sites (measured with
-   one grouped count over the sites), so cubes hold a handful of sites
-   where there are sites.  Candidates are grouped into one array per cell
-   and broadcast; points take the minimum in place: a map-only pass with
-   no shuffle.  The result is written once as a narrow table in the shared
-   checkpoint folder, partitioned by a settled flag; later steps read it
-   (the next round only the unsettled partition), so the source is scanned
-   once and the lineage is cut there.
-2. Each unsettled point gets an upper bound on its nearest distance: the
-   best found so far or the closest of at most 729 representative sites
-   (one per cell of a grid with 8 cells across the sites' extent).  Some
-   site lies at that distance, so at the level whose edge exceeds the
-   bound's chord (by a relative margin of 1e-6, far above floating-point
-   error) that site, and hence the nearest one, is inside the point's
-   cube: one more pass settles every pending point, the same way as round
-   one (candidate arrays keyed by level and cell).
-
-Above the broadcast limit both rounds join the site copies row-wise on the
-shuffled cell key (AQE splits a hot cell) and keep each point's minimum
-with a partial + final aggregate; the partial step collapses a point's
-candidates inside its task.
-
-Sites are counted before anything is broadcast: copies (27 per site and
-level) above ``broadcast_entry_limit`` are never broadcast.
+"""Nearest-site assignment by great-circle distance, without a join.
+
+The sites are packed into search trees over the unit sphere and broadcast;
+every point descends the tree inside an Arrow-batched function, so the plan is
+map-only and lazy: no shuffle, no staged table, one answer whatever the sizes.
+
+A tree halves its sites again and again and keeps the bounding box of every
+half.  A point first takes the closest site of the leaf its way down ends in;
+that distance prunes every box that lies farther.  The work per point grows
+with the logarithm of the number of sites n for spread or clustered sites; for
+sites on a line seen from aside, whose distances hardly differ, about with the
+square root of n (21 leaves of 16 among 10,000 sites).
+
+Trees are bounded: above ``block_sites`` sites, the table is split by position
+into blocks of at most that many, each its own broadcast tree.  A point asks
+the blocks one after the other and passes its best distance on, so a block
+that lies farther costs one box test.
+
+Chord lengths only select; the distance reported and compared (ties go to the
+smaller site id) is the haversine of the candidates within rounding of the
+shortest chord.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from beatwise.functions.columns import EARTH_RADIUS_KM, haversine_km, to_double, unit_vector
-from beatwise.session import staging_path
-
-# Largest chord between two points of the unit sphere.
-MAX_CHORD = 2.0
-# Safety margins on the settle test: relative, and absolute in chord units
-# (unit-vector components carry rounding errors near 1e-16).
-SETTLE_MARGIN = 1e-9
-SETTLE_SLACK = 1e-12
-# Most site copies (27 per site and level) broadcast to every task.
-BROADCAST_ENTRY_LIMIT = 1_000_000
-# First-level edge candidates are 2**-k for these k (0.5 down to ~40 cm on Earth).
-CELL_EXPONENTS = tuple(range(1, 25))
-# Target mean number of sites per occupied cell at the first level.
-SITES_PER_CELL = 4
-# Smallest first-level edge accepted (keeps the settle margins above rounding).
-MIN_CELL = 2.0 ** -24
-# Representative grid: this many cells across the sites' largest extent.
-REPRESENTATIVE_CELLS = 8
-
-_CELL = ["_cx", "_cy", "_cz"]
-_KEYS = ["_level", *_CELL]
+from beatwise.functions.columns import EARTH_RADIUS_KM, to_double, unit_vector
+
+# Most sites in one broadcast tree (about 100 bytes each).
+BLOCK_SITES = 500_000
+# Sites of a leaf, and points searched together.
+LEAF = 16
+POINTS_AT_ONCE = 2048
+# Relative and absolute room for rounding in squared chords.
+MARGIN, SLACK = 1e-9, 1e-18
+
 _POINT = ["_id", "_lat", "_lon"]
-# The 27 neighbouring cells of (_cx, _cy, _cz), as one generator expression.
-_CUBE = "inline(array({}))".format(", ".join(
-    f"named_struct('_cx', _cx + ({dx}), '_cy', _cy + ({dy}), '_cz', _cz + ({dz}))"
-    for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)))
 
 
 def prepare_points(df: DataFrame, id_col: str, lat_col: str, lon_col: str,
                    coord_kind: str = "double", drop_zero: bool = True) -> DataFrame:
-    """``(_id, _lat, _lon)`` with unparsable, null and (optionally) zero coordinates removed.
+    """``(_id, _lat, _lon)`` without unparsable, null, non-finite and (optionally) zero coordinates.
 
-    ``coord_kind='float'`` rounds the coordinates to single precision first
-    (the SQL variant of the reference casts to FLOAT).
+    ``coord_kind='float'`` rounds the coordinates to single precision first.
     """
     lat = to_double(lat_col, coord_kind).cast("double")
     lon = to_double(lon_col, coord_kind).cast("double")
     out = df.select(F.col(id_col).alias("_id"), lat.alias("_lat"), lon.alias("_lon"))
-    keep = F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
+    # NaN is the largest double in Spark, so this also drops it.
+    keep = (F.abs("_lat") < float("inf")) & (F.abs("_lon") < float("inf"))
     if drop_zero:
         keep = keep & (F.col("_lat") != 0) & (F.col("_lon") != 0)
     return out.filter(keep)
 
 
-def _with_vector(df: DataFrame) -> DataFrame:
+def _sphere(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    p, l = np.radians(lat), np.radians(lon)
+    return np.stack((np.cos(p) * np.cos(l), np.cos(p) * np.sin(l), np.sin(p)), axis=1)
+
+
+def _arc_km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    p1, l1, p2, l2 = map(np.radians, (lat1, lon1, lat2, lon2))
+    a = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin((l2 - l1) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * np.arcsin(np.minimum(1.0, np.sqrt(a)))
+
+
+class SiteTree:
+    """Sites in a balanced tree of bounding boxes; the index of a site is its rank by id."""
+
+    def __init__(self, ids: pa.Array, lat: np.ndarray, lon: np.ndarray):
+        order = pc.sort_indices(ids, null_placement="at_start").to_numpy()
+        self.ids, self.lat, self.lon = ids.take(pa.array(order)), lat[order], lon[order]
+        # of sites at one place only the smallest id can be the answer
+        _, keep = np.unique(np.stack((self.lat, self.lon)), axis=1, return_index=True)
+        keep.sort()
+        xyz = _sphere(self.lat[keep], self.lon[keep])
+        self.depth = max(0, int(np.ceil(np.log2(len(keep) / LEAF))))
+        first_leaf = 2 ** self.depth - 1
+        self.low, self.high = np.full((2 * first_leaf + 1, 3), np.inf), np.full((2 * first_leaf + 1, 3), -np.inf)
+        self.leaf = np.full((first_leaf + 1, LEAF), -1, np.int64)
+        self.place = np.full((first_leaf + 1, LEAF, 3), np.inf)
+        waiting = [(0, np.arange(len(keep)))]
+        while waiting:
+            node, own = waiting.pop()
+            self.low[node], self.high[node] = xyz[own].min(axis=0), xyz[own].max(axis=0)
+            if node >= first_leaf:
+                self.leaf[node - first_leaf, :len(own)] = keep[own]
+                self.place[node - first_leaf, :len(own)] = xyz[own]
+                continue
+            axis, half = int(np.argmax(self.high[node] - self.low[node])), len(own) // 2
+            own = own[np.argpartition(xyz[own, axis], half)]
+            waiting += [(2 * node + 1, own[:half]), (2 * node + 2, own[half:])]
+
+    def _gap(self, spot: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Squared distance from points to boxes."""
+        off = np.maximum(np.maximum(self.low[node] - spot, spot - self.high[node]), 0.0)
+        return np.einsum("ij,ij->i", off, off)
+
+    def _chords(self, spot: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        off = self.place[leaf] - spot[:, None, :]
+        return np.einsum("ijk,ijk->ij", off, off)
+
+    def nearest(self, lat: np.ndarray, lon: np.ndarray, within: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the nearest site and its distance; rank -1 where all are farther than ``within`` km."""
+        rank, km = np.full(len(lat), -1, np.int64), np.full(len(lat), np.nan)
+        for at in range(0, len(lat), POINTS_AT_ONCE):
+            part = slice(at, at + POINTS_AT_ONCE)
+            rank[part], km[part] = self._nearest(lat[part], lon[part], within[part])
+        return rank, km
+
+    def _nearest(self, lat, lon, within):
+        first_leaf, spot = 2 ** self.depth - 1, _sphere(lat, lon)
+        best = (2 * np.sin(np.minimum(within / (2 * EARTH_RADIUS_KM), np.pi / 2))) ** 2
+        room = lambda: best * (1 + MARGIN) + SLACK
+        node = np.zeros(len(lat), np.int64)
+        for _ in range(self.depth):
+            left = 2 * node + 1
+            node = np.where(self._gap(spot, left) <= self._gap(spot, left + 1), left, left + 1)
+        best = np.minimum(best, self._chords(spot, node - first_leaf).min(axis=1))
+        point, node = np.arange(len(lat)), np.zeros(len(lat), np.int64)
+        limit = room()
+        for level in range(self.depth + 1):
+            near = self._gap(spot[point], node) <= limit[point]
+            point, node = point[near], node[near]
+            if level < self.depth:
+                point, node = np.repeat(point, 2), np.stack((2 * node + 1, 2 * node + 2), axis=1).ravel()
+        chord = self._chords(spot[point], node - first_leaf)
+        np.minimum.at(best, point, chord.min(axis=1))
+        row, slot = np.nonzero(chord <= room()[point][:, None])
+        point, site = point[row], self.leaf[node[row] - first_leaf, slot]
+        km = _arc_km(lat[point], lon[point], self.lat[site], self.lon[site])
+        order = np.lexsort((site, km, point))
+        point, site, km = point[order], site[order], km[order]
+        first = np.flatnonzero(np.concatenate(([True], point[1:] != point[:-1]))) if len(point) else np.zeros(0, np.int64)
+        rank, found = np.full(len(lat), -1, np.int64), np.full(len(lat), np.nan)
+        rank[point[first]], found[point[first]] = site[first], km[first]
+        return rank, found
+
+
+def _blocks(sites: DataFrame, block_sites: int) -> Iterator[pa.Table]:
+    """Sites in tables of at most ``block_sites`` rows; usually one, read in one small job."""
+    table = sites.select(*_POINT).limit(block_sites + 1).toArrow()
+    if table.num_rows <= block_sites:
+        yield table
+        return
     x, y, z = unit_vector("_lat", "_lon")
-    return df.withColumns({"_x": x, "_y": y, "_z": z})
-
-
-def _with_cell(df: DataFrame, h: Column) -> DataFrame:
-    return df.withColumns({c: F.floor(F.col(v) / h) for c, v in zip(_CELL, ("_x", "_y", "_z"))})
-
-
-def _cell_edge(h0: float, level: Column) -> Column:
-    # h0 * 2**level is exact in floating point, so points and sites agree on cells.
-    return F.lit(h0) * F.pow(F.lit(2.0), level.cast("double"))
-
-
-def _site_copies(sites: DataFrame, h0: float, levels: list[int]) -> DataFrame:
-    """Each site once per cell of the cube around its own cell, for every level."""
-    leveled = sites.withColumn("_level", F.explode(F.array(*[F.lit(lv) for lv in levels])))
-    return (_with_cell(leveled, _cell_edge(h0, F.col("_level")))
-            .select("_level", F.expr(_CUBE), "_sid", "_slat", "_slon"))
-
-
-def _settle_distance(h: Column) -> Column:
-    """Arc length (km) within which a best match found with edge ``h`` is final."""
-    edge = F.greatest(F.lit(0.0), h - SETTLE_SLACK)
-    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), edge / 2)) * (1 - SETTLE_MARGIN)
-
-
-def _top_level(h0: float) -> int:
-    """First level whose edge reaches ``MAX_CHORD`` (the cube then spans the sphere)."""
-    return max(0, math.ceil(math.log2(MAX_CHORD / h0)))
-
-
-def site_stats(sites: DataFrame) -> tuple[int, float, dict[int, int]]:
-    """(site count, largest extent, occupied cells per edge exponent) in one small job.
-
-    Returns at most ``len(CELL_EXPONENTS)`` rows to the driver.
-    """
-    rows = (sites
-            .select(F.explode(F.array(*[F.lit(k) for k in CELL_EXPONENTS])).alias("k"), "_x", "_y", "_z")
-            .select("k", "_x", "_y", "_z", F.expr(
-                "xxhash64(floor(_x * pow(2, k)), floor(_y * pow(2, k)), floor(_z * pow(2, k)))").alias("c"))
-            .groupBy("k")
-            .agg(F.count_distinct("c").alias("occ"), F.count(F.lit(1)).alias("n"),
-                 F.greatest(F.max("_x") - F.min("_x"), F.max("_y") - F.min("_y"),
-                            F.max("_z") - F.min("_z")).alias("span"))
-            .collect())
-    if not rows:
-        return 0, 0.0, {}
-    return rows[0]["n"], rows[0]["span"], {r["k"]: r["occ"] for r in rows}
-
-
-def initial_cell(n_sites: int, occupied: dict[int, int]) -> float:
-    """Coarsest edge 2**-k whose occupied cells hold at most ``SITES_PER_CELL`` sites on average."""
-    for k in CELL_EXPONENTS:
-        if n_sites <= SITES_PER_CELL * max(1, occupied.get(k, 1)):
-            return 2.0 ** -k
-    return 2.0 ** -CELL_EXPONENTS[-1]
-
-
-def _search(pending: DataFrame, sites: DataFrame, n_sites: int, h0: float, levels: list[int],
-            entry_limit: int) -> DataFrame:
-    """One pass: every pending point meets the sites of the cube at its own level.
-
-    Within ``entry_limit`` the site copies become one candidate array per
-    (level, cell), broadcast; each point takes the minimum of its array in
-    place (map-only, no sort, no shuffle).  Above it the copies are joined
-    row-wise on the shuffled cell key and a partial + final aggregate keeps
-    each point's minimum.
-    """
-    copies = _site_copies(sites, h0, levels)
-    points = _with_cell(pending, _cell_edge(h0, F.col("_level")))
-    # Broadcast only what was counted: 27 copies per site and level.
-    small = 27 * len(levels) * n_sites <= entry_limit
-    if small:
-        table = copies.groupBy(*_KEYS).agg(
-            F.collect_list(F.struct("_sid", "_slat", "_slon")).alias("_cands"))
-        found = F.array_min(F.transform(
-            "_cands",
-            lambda s: F.struct(haversine_km(F.col("_lat"), F.col("_lon"), s["_slat"], s["_slon"]).alias("d"),
-                               s["_sid"].alias("sid"))))
-        return (points.join(F.broadcast(table), _KEYS, "left")
-                .select(*_POINT, "_x", "_y", "_z", "_level", F.least(F.col("_best"), found).alias("_best")))
-    cands = (points.join(copies, _KEYS, "inner")
-             .select(*_POINT, "_level",
-                     F.struct(haversine_km("_lat", "_lon", "_slat", "_slon").alias("d"),
-                              F.col("_sid").alias("sid")).alias("_best")))
-    both = pending.select(*_POINT, "_level", "_best").unionByName(cands)
-    best = both.groupBy(*_POINT, "_level").agg(F.min("_best").alias("_best"))
-    return _with_vector(best).select(*_POINT, "_x", "_y", "_z", "_level", "_best")
-
-
-def _settled(h0: float, top: int) -> Column:
-    """Best distance within the level's settle distance, or the top level reached."""
-    within = F.col("_best.d") <= _settle_distance(_cell_edge(h0, F.col("_level")))
-    return F.coalesce(within | (F.col("_level") >= top), F.lit(False))
-
-
-def _representatives(sites: DataFrame, span: float) -> DataFrame:
-    """One site per cell of a coarse grid, gathered into a one-row array.
-
-    The sites' bounding box spans at most ``REPRESENTATIVE_CELLS + 1`` cells
-    per axis, so there are at most 729 representatives whatever the number
-    of sites.
-    """
-    hc = F.lit(max(span / REPRESENTATIVE_CELLS, 2.0 ** -40))
-    reps = (_with_cell(sites, hc).groupBy(*_CELL)
-            .agg(F.min(F.struct("_sid", "_slat", "_slon")).alias("r")))
-    return reps.agg(F.collect_list("r").alias("_reps"))
-
-
-def _assign_levels(pending: DataFrame, reps: DataFrame, h0: float, top: int) -> DataFrame:
-    """Level at which each unsettled point's cube surely holds its nearest site.
-
-    ``bound`` is the distance to some site; every site at most that far lies
-    within chord ``2 sin(bound / 2R)``, so an edge at least that long puts
-    the nearest site inside the point's cube.
-    """
-    # The representatives travel as a scalar subquery (one value, no join),
-    # projected into a column first: subqueries may not sit inside lambdas.
-    pending = pending.withColumn("_reps", reps.select("_reps").scalar())
-    anchor = F.array_min(F.transform(
-        "_reps", lambda r: haversine_km(F.col("_lat"), F.col("_lon"), r["_slat"], r["_slon"])))
-    bound = F.least(F.col("_best.d"), anchor)
-    chord = 2 * F.sin(bound / (2 * EARTH_RADIUS_KM)) * (1 + 1e-6)
-    level = F.least(F.lit(top), F.greatest(F.col("_level") + 1, F.ceil(F.log2(chord / h0)).cast("int")))
-    return pending.withColumn("_level", F.coalesce(level, F.lit(top))).drop("_reps")
-
-
-def _exists(spark, path: str, schema: StructType) -> bool:
-    """Whether a written partition folder exists (planning only, no job)."""
-    try:
-        spark.read.schema(schema).parquet(path)
-        return True
-    except AnalysisException:
-        return False
-
-
-def _levels(pending: DataFrame) -> list[int]:
-    """Distinct levels of the pending points (at most the number of levels; empty when none)."""
-    return sorted(r["_level"] for r in pending.select("_level").distinct().collect())
+    placed = sites.groupBy("_lat", "_lon").agg(F.min("_id").alias("_id")).withColumns({"_x": x, "_y": y, "_z": z})
+    waiting = [(placed, placed.count())]
+    while waiting:
+        part, n = waiting.pop()
+        if n <= block_sites:
+            yield part.select(*_POINT).toArrow()
+            continue
+        span = part.agg(*[(F.max(c) - F.min(c)).alias(c) for c in ("_x", "_y", "_z")]).first().asDict()
+        axis = max(span, key=span.get)
+        cut = part.approxQuantile(axis, [0.5], 0.02)[0]
+        below = part.filter(F.col(axis) < cut)
+        m = below.count()
+        if not 0 < m < n:  # the median is the smallest value
+            below = part.filter(F.col(axis) <= cut)
+            m = below.count()
+            above = part.filter(F.col(axis) > cut)
+        else:
+            above = part.filter(F.col(axis) >= cut)
+        if not 0 < m < n:
+            raise ValueError(f"cannot split {n} sites that share one place on the sphere")
+        waiting += [(below, m), (above, n - m)]
+
+
+def _search_udf(tree, kind: str):
+    @F.arrow_udf(kind)
+    def search(lat: pa.Array, lon: pa.Array, within: pa.Array) -> pa.Array:
+        sites = tree.value
+        far = within.fill_null(np.inf).to_numpy(zero_copy_only=False)
+        rank, km = sites.nearest(lat.to_numpy(zero_copy_only=False), lon.to_numpy(zero_copy_only=False), far)
+        index = pa.array(np.maximum(rank, 0), mask=rank < 0)
+        return pa.StructArray.from_arrays([pa.array(km), sites.ids.take(index)], ["d", "sid"], mask=pa.array(rank < 0))
+
+    return search
 
 
 def nearest_site(points: DataFrame, sites: DataFrame, *,
                  point_id: str, point_lat: str, point_lon: str,
                  site_id: str, site_lat: str, site_lon: str,
                  coord_kind: str = "double", drop_zero_sites: bool = False,
-                 per_point_id: bool = True, cell_size: float | None = None,
-                 broadcast_entry_limit: int = BROADCAST_ENTRY_LIMIT,
+                 per_point_id: bool = True, block_sites: int = BLOCK_SITES,
                  distance_col: str = "distance") -> DataFrame:
     """Closest site of every point by great-circle distance (km).
 
     Returns ``(point_id, site_id, distance_col)``.  With ``per_point_id``
     there is one row per distinct point id (a repeated id keeps its closest
     point/site pair; all null ids count as one id); otherwise one row per
-    point (identical point rows may be merged).  Points with null,
-    unparsable or zero coordinates are skipped; sites with null or
-    unparsable ones too, and zero ones when ``drop_zero_sites``.
-    ``cell_size`` overrides the first-level edge (chord units).
+    point row, repeated ones included.  Points with null, unparsable,
+    non-finite or zero coordinates are skipped; sites too, but zero ones only
+    with ``drop_zero_sites``.
+
+    Building reads the sites (a job over the site table); the points are read
+    when the result is.
     """
+    if block_sites < 1:
+        raise ValueError("block_sites must be positive")
     spark = points.sparkSession
-    pts = _with_vector(prepare_points(points, point_id, point_lat, point_lon, coord_kind, True))
-    sts = _with_vector(prepare_points(sites, site_id, site_lat, site_lon, coord_kind, drop_zero_sites))
-    sts = sts.select(F.col("_id").alias("_sid"), F.col("_lat").alias("_slat"),
-                     F.col("_lon").alias("_slon"), "_x", "_y", "_z")
-
+    found = prepare_points(points, point_id, point_lat, point_lon, coord_kind, True)
+    located = prepare_points(sites, site_id, site_lat, site_lon, coord_kind, drop_zero_sites)
     sid_type = sites.schema[site_id].dataType
     best_type = StructType([StructField("d", DoubleType()), StructField("sid", sid_type)])
-    n_sites, span, occupied = site_stats(sts)
-    if n_sites == 0:
-        empty = StructType([StructField(point_id, points.schema[point_id].dataType),
-                            StructField(site_id, sid_type), StructField(distance_col, DoubleType())])
-        return spark.createDataFrame([], empty)
-    h0 = max(cell_size, MIN_CELL) if cell_size else initial_cell(n_sites, occupied)
-    top = _top_level(h0)
-    done = _settled(h0, top)
-
-    pending = pts.withColumns({"_level": F.lit(0), "_best": F.lit(None).cast(best_type)})
-    first = (_search(pending, sts, n_sites, h0, [0], broadcast_entry_limit)
-             .select(*_POINT, "_best", done.alias("_settled")))
-    # One pass over the points, written once: later steps read this narrow
-    # table (the unsettled partition alone for the next round) instead of
-    # recomputing from the source, and the lineage stops here.
-    path = staging_path(spark, "nearest-first-round")
-    first.write.partitionBy("_settled").parquet(path)
-    data_schema = first.drop("_settled").schema
-    part = {flag: f"{path}/_settled={flag}" for flag in ("true", "false")}
-    parts = []
-    if _exists(spark, part["true"], data_schema):
-        parts.append(spark.read.schema(data_schema).parquet(part["true"]).select("_id", "_best"))
-    # No unsettled partition (the usual case): nothing more to run.
-    if top > 0 and _exists(spark, part["false"], data_schema):
-        pending = _with_vector(spark.read.schema(data_schema).parquet(part["false"]))
-        pending = _assign_levels(pending.withColumn("_level", F.lit(0)),
-                                 _representatives(sts, span), h0, top)
-        levels = _levels(pending)
-        if levels:
-            parts.append(_search(pending, sts, n_sites, h0, levels, broadcast_entry_limit)
-                         .select("_id", "_best"))
-    rows = parts[0] if parts else spark.createDataFrame([], data_schema).select("_id", "_best")
-    for extra in parts[1:]:
-        rows = rows.unionByName(extra)
+    best: Column = F.lit(None).cast(best_type)
+    found = found.withColumn("_best", best)
+    for table in _blocks(located, block_sites):
+        if table.num_rows:
+            ids = table["_id"].combine_chunks()
+            tree = spark.sparkContext.broadcast(SiteTree(ids, table["_lat"].to_numpy(), table["_lon"].to_numpy()))
+            search = _search_udf(tree, best_type.simpleString())
+            found = found.withColumn("_best", F.least("_best", search("_lat", "_lon", F.col("_best.d"))))
+    rows = found.filter("_best IS NOT NULL").select("_id", "_best")
     if per_point_id:
         rows = rows.groupBy("_id").agg(F.min("_best").alias("_best"))
     return rows.select(F.col("_id").alias(point_id), F.col("_best.sid").alias(site_id),

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 
 def share_of_total(counts: DataFrame, count_col: str, out_col: str = "percentage",
-                   *, bounded: bool = True, scale_first: bool = False) -> DataFrame:
+                   *, bounded: bool = False, scale_first: bool = False) -> DataFrame:
     """Add ``out_col`` = ``count_col`` / sum(``count_col``) * 100.
 
-    ``counts`` is an aggregate (one row per group).  With ``bounded=True``
-    the key domain is a small fixed set (e.g. four day parts), so an
-    un-partitioned window over those few rows is the cheapest form.  With
-    ``bounded=False`` the total is a scalar subquery instead, which keeps
-    every row where it is and only ships one number.
+    ``counts`` is an aggregate (one row per group).  The total is a scalar
+    subquery, which keeps every row where it is and only ships one number.
+    Callers whose keys are a small fixed set (e.g. four day parts) may say
+    ``bounded=True``: an un-partitioned window over those few rows, which
+    meet in one task, is then the cheapest form.
 
     ``scale_first`` computes ``100 * c / total`` (multiplication first), the
     text-variant order, which may differ from ``c / total * 100`` in the last

@@ -1,7 +1,7 @@
 """Incident load per nearest police station.
 
 Each located incident is assigned to its closest station by great-circle
-distance (``operators.nearest.nearest_site``: grid equi-join, no cross
+distance (``operators.nearest.nearest_site``: broadcast search trees, no
 join), repeated incident numbers keep their closest pair, and the stations
 are summarised by mean distance and incident count.
 """
@@ -35,46 +35,25 @@ def station_load(points: DataFrame, stations: DataFrame, *, coord_kind: str = "d
 
 
 def station_load_sql(spark: SparkSession, points: DataFrame, stations: DataFrame,
-                     coord_type: str = "DOUBLE", prefix: str = "bw") -> DataFrame:
-    """SQL form: casts, filters, the per-incident pick and the summary are SQL.
+                     coord_type: str = "DOUBLE") -> DataFrame:
+    """SQL form: the inputs, the pick per incident number and the summary are SQL.
 
-    The candidate search between incidents and stations is the grid
-    operator; SQL then keeps ``ROW_NUMBER() = 1`` per incident number
-    (Spark plans this as a partial ``WindowGroupLimit`` before the shuffle).
+    The search between incidents and stations is the operator, one row per
+    incident row; views only exist while a statement is analysed.
     """
-    points.createOrReplaceTempView(f"{prefix}_crime")
-    spark.sql(f"""
-        SELECT DR_NO, try_cast(LAT AS {coord_type}) AS LAT, try_cast(LON AS {coord_type}) AS LON
-        FROM {prefix}_crime
-    """).createOrReplaceTempView(f"{prefix}_crime")
-    spark.sql(f"""
-        SELECT * FROM {prefix}_crime
-        WHERE LAT IS NOT NULL AND LON IS NOT NULL AND LAT != 0 AND LON != 0
-    """).createOrReplaceTempView(f"{prefix}_crime")
-    stations.createOrReplaceTempView(f"{prefix}_stations")
-    spark.sql(f"""
-        SELECT DIVISION, try_cast(X AS {coord_type}) AS X, try_cast(Y AS {coord_type}) AS Y
-        FROM {prefix}_stations
-        WHERE try_cast(X AS DOUBLE) != 0 AND try_cast(Y AS DOUBLE) != 0
-    """).createOrReplaceTempView(f"{prefix}_stations")
-
-    candidates = nearest_site(spark.table(f"{prefix}_crime"), spark.table(f"{prefix}_stations"),
-                              point_id="DR_NO", point_lat="LAT", point_lon="LON",
-                              site_id="DIVISION", site_lat="Y", site_lon="X",
-                              per_point_id=False)
-    candidates.createOrReplaceTempView(f"{prefix}_closest_candidates")
-    spark.sql(f"""
-        SELECT DR_NO, distance, DIVISION
-        FROM (
-            SELECT DR_NO, distance, DIVISION,
-                   ROW_NUMBER() OVER (PARTITION BY DR_NO ORDER BY distance ASC, DIVISION ASC) AS ranking
-            FROM {prefix}_closest_candidates
-        )
-        WHERE ranking = 1
-    """).createOrReplaceTempView(f"{prefix}_closest_station")
-    return spark.sql(f"""
-        SELECT DIVISION, AVG(distance) AS average_distance, COUNT(*) AS num_of_crimes
-        FROM {prefix}_closest_station
-        GROUP BY DIVISION
-        ORDER BY num_of_crimes DESC, DIVISION ASC
-    """)
+    if coord_type not in ("DOUBLE", "FLOAT"):
+        raise ValueError("coord_type must be DOUBLE or FLOAT")
+    located = spark.sql(f"""
+        SELECT * FROM (SELECT DR_NO, try_cast(LAT AS {coord_type}) AS LAT, try_cast(LON AS {coord_type}) AS LON
+                       FROM {{points}})
+        WHERE LAT <> 0 AND LON <> 0
+    """, points=points)
+    nearest = nearest_site(located, stations, point_id="DR_NO", point_lat="LAT", point_lon="LON",
+                           site_id="DIVISION", site_lat="Y", site_lon="X", coord_kind=coord_type.lower(),
+                           drop_zero_sites=True, per_point_id=False)
+    return spark.sql("""
+        WITH closest AS (SELECT min(struct(distance, DIVISION)) AS pick FROM {nearest} GROUP BY DR_NO)
+        SELECT pick.DIVISION, avg(pick.distance) AS average_distance, count(*) AS num_of_crimes
+        FROM closest GROUP BY pick.DIVISION
+        ORDER BY num_of_crimes DESC, DIVISION
+    """, nearest=nearest)

@@ -1,12 +1,16 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from beatwise.functions.columns import haversine_km
 from beatwise.operators import (
     explode_features, flatten_properties, join_by_key, nearest_site, share_of_total, top_k_per_group,
 )
+from beatwise.operators.nearest import SiteTree
 from tests.conftest import plan_text
 
 
@@ -96,10 +100,13 @@ def _check(got, want):
         assert got[k][0] == pytest.approx(d, rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("layout", ["spread", "line", "cluster_far", "single", "global", "dense"])
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_nearest_matches_brute_force(spark, layout, limit):
-    rnd = random.Random(hash((layout, limit)) & 0xFFFF)
+LAYOUTS = ["spread", "line", "cluster_far", "single", "global", "dense", "uneven"]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+@pytest.mark.parametrize("block", [500_000, 25])
+def test_nearest_matches_brute_force(spark, layout, block):
+    rnd = random.Random(1000 * LAYOUTS.index(layout) + block % 1000)
     points = [(i, 33.7 + rnd.random() * 0.7, -118.7 + rnd.random() * 0.6) for i in range(1, 400)]
     if layout == "spread":
         sites = [(f"s{i:03d}", 33.7 + rnd.random() * 0.7, -118.7 + rnd.random() * 0.6) for i in range(40)]
@@ -113,10 +120,15 @@ def test_nearest_matches_brute_force(spark, layout, limit):
         # Sites a few metres apart, points among them: the smallest cells.
         sites = [(f"s{i:03d}", 34.0 + rnd.random() * 1e-4, -118.0 + rnd.random() * 1e-4) for i in range(80)]
         points = [(i, 34.0 + rnd.random() * 1.2e-4, -118.0 + rnd.random() * 1.2e-4) for i in range(1, 300)]
+    elif layout == "uneven":
+        # As many sites over the globe as in one city, and points in both.
+        sites = [(f"g{i:03d}", rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(80)]
+        sites += [(f"c{i:03d}", 34.0 + rnd.random() * 0.01, -118.0 + rnd.random() * 0.01) for i in range(80)]
+        points += [(1000 + i, 34.0 + rnd.random() * 0.01, -118.0 + rnd.random() * 0.01) for i in range(200)]
     else:
         sites = [(f"s{i:03d}", rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(60)]
         points += [(1000 + i, rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(200)]
-    _check(_run(spark, points, sites, broadcast_entry_limit=limit), _brute(points, sites))
+    _check(_run(spark, points, sites, block_sites=block), _brute(points, sites))
 
 
 def test_nearest_skips_bad_coordinates(spark):
@@ -151,13 +163,77 @@ def test_nearest_without_points_is_empty(spark):
     assert _run(spark, [(1, 0.0, 0.0)], [("A", 34.0, -118.0)]) == {}
 
 
-def test_nearest_plan_has_no_pairwise_join(spark):
+@pytest.mark.parametrize("block", [500_000, 2])
+def test_nearest_keeps_repeated_points(spark, block):
+    p = spark.createDataFrame([(1, 34.0, -118.0)] * 3 + [(2, 34.2, -118.2)], "DR_NO long, LAT double, LON double")
+    s = spark.createDataFrame([("A", 34.0, -118.0), ("B", 34.2, -118.2), ("C", 40.0, -100.0)],
+                              "DIVISION string, Y double, X double")
+    args = dict(point_id="DR_NO", point_lat="LAT", point_lon="LON", site_id="DIVISION", site_lat="Y", site_lon="X")
+    rows = nearest_site(p, s, per_point_id=False, block_sites=block, **args).collect()
+    assert sorted((r.DR_NO, r.DIVISION) for r in rows) == [(1, "A")] * 3 + [(2, "B")]
+    assert nearest_site(p, s, block_sites=block, **args).count() == 2
+
+
+@pytest.mark.parametrize("bad", ["NaN", "Infinity", "-Infinity"])
+def test_nearest_drops_non_finite_coordinates(spark, bad):
+    p = spark.createDataFrame([(1, "34.0", "-118.0"), (2, bad, "-118.0"), (3, "34.0", bad)],
+                              "DR_NO long, LAT string, LON string")
+    s = spark.createDataFrame([("0", bad, "-118.0"), ("A", "34.0", "-118.1"), ("B", "34.0", bad)],
+                              "DIVISION string, Y string, X string")
+    out = nearest_site(p, s, point_id="DR_NO", point_lat="LAT", point_lon="LON",
+                       site_id="DIVISION", site_lat="Y", site_lon="X")
+    assert [(r.DR_NO, r.DIVISION) for r in out.collect()] == [(1, "A")]
+
+
+def test_nearest_many_sites_at_one_place(spark):
+    got = _run(spark, [(1, 34.0, -118.0), (2, 35.0, -118.0)],
+               [(f"s{i:04d}", 34.0, -118.0) for i in range(300)] + [("far", 35.0, -118.0)], block_sites=100)
+    assert got[1][1] == "s0000" and got[2][1] == "far"
+
+
+def test_nearest_work_per_point_grows_slowly():
+    """Leaves opened per point stay few when sites on a line grow tenfold, for near and far points."""
+    rng = np.random.default_rng(1)
+
+    def opened(n, lat):
+        tree = SiteTree(pa.array(range(n)), 33.7 + 0.7 * np.arange(n) / n, -118.7 + 0.6 * np.arange(n) / n)
+        seen, chords = [], tree._chords
+        tree._chords = lambda spot, leaf: (seen.append(len(leaf)), chords(spot, leaf))[1]
+        tree.nearest(lat + rng.random(500) * 0.6, -118.7 + rng.random(500) * 0.6, np.full(500, np.inf))
+        return sum(seen) / 500
+
+    for lat in (33.7, 50.0):
+        few, many = opened(1000, lat), opened(10_000, lat)
+        assert many <= 4 * few and many < 40  # a tenth of the pairs' growth at most: 16 sites in each leaf
+
+
+def test_nearest_is_one_lazy_map_only_plan(spark):
     p = spark.range(1, 2000).select(F.col("id").alias("DR_NO"), (33.7 + F.rand(1) * 0.7).alias("LAT"),
                                     (-118.7 + F.rand(2) * 0.6).alias("LON"))
     s = spark.range(25).select(F.col("id").cast("string").alias("DIVISION"), (33.7 + F.rand(3) * 0.7).alias("Y"),
                                (-118.7 + F.rand(4) * 0.6).alias("X"))
-    out = nearest_site(p, s, point_id="DR_NO", point_lat="LAT", point_lon="LON",
-                       site_id="DIVISION", site_lat="Y", site_lon="X")
-    assert out.count() == 1999
+    args = dict(point_id="DR_NO", point_lat="LAT", point_lon="LON", site_id="DIVISION", site_lat="Y", site_lon="X")
+    out = nearest_site(p, s, per_point_id=False, **args)
     text = plan_text(out)
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "Exchange" not in text and "Join" not in text and "FileScan" not in text and "ArrowEvalPython" in text
+    assert out.count() == 1999
+    # with the pick per id: one partial aggregate before its shuffle
+    assert plan_text(nearest_site(p, s, **args)).count("Exchange") == 1
+
+
+def test_haversine_keeps_nan(spark):
+    df = spark.createDataFrame([(float("nan"), 0.0), (0.0, 180.0)], "lat double, lon double")
+    a, b = (r[0] for r in df.select(haversine_km(F.lit(0.0), F.lit(0.0), "lat", "lon")).collect())
+    assert math.isnan(a) and b == pytest.approx(math.pi * 6371)
+
+
+def test_broadcast_above_the_limit_is_refused(spark):
+    df = spark.range(1000)
+    with pytest.raises(ValueError, match="broadcast limit"):
+        join_by_key(df, df.select(F.col("id").alias("k")), "id", "k", "broadcast", broadcast_bytes=100)
+
+
+def test_share_defaults_to_a_scalar_total(spark):
+    counts = spark.createDataFrame([("a", 3), ("b", 1)], "k string, n long")
+    assert "Window" not in plan_text(share_of_total(counts, "n"))
+    assert "Window" in plan_text(share_of_total(counts, "n", bounded=True))
