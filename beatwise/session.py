@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,6 +33,10 @@ CLUSTER_CONF = {
 }
 
 
+# Temporary folders of local sessions, by application.
+_local_folders: dict[str, str] = {}
+
+
 def get_session(master: str | None = None, app_name: str = "beatwise",
                 shuffle_partitions: int | None = None, cluster: bool = False,
                 **conf: str) -> SparkSession:
@@ -47,26 +52,27 @@ def get_session(master: str | None = None, app_name: str = "beatwise",
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when unset.
+    """Return the shared checkpoint folder of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is.  Only a bare local session (tests) gets a private temporary folder.
+    On a cluster ``spark.checkpoint.dir`` must name shared storage; it is used
+    as is.  Only a session whose executors live in this process (master
+    ``local`` or ``local[n]``) gets a private temporary folder when it is
+    unset; any other raises, since a folder of one machine is not seen by the
+    others.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="beatwise-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.applicationId not in _local_folders:
+        _local_folders[sc.applicationId] = tempfile.mkdtemp(prefix="beatwise-ckpt-")
+    return _local_folders[sc.applicationId]
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
