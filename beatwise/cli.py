@@ -7,10 +7,14 @@
     python -m beatwise.cli stations   --incidents a.csv b.csv --stations stations.csv --output out
                                       [--sql] [--float]
     python -m beatwise.cli convert    --incidents a.csv b.csv --output parquet_dir
+    python -m beatwise.cli convert    --census blocks.geojson --output parquet_dir
 
 ``--incidents`` also takes a Parquet folder written by ``convert``
-(``--incident-format parquet``).  Results are printed and written as CSV with
-a header; ``--single-file`` merges the (small) result into one part file.
+(``--incident-format parquet``), and ``--census`` one from ``convert --census``
+(``--census-format parquet``).  Results are written as CSV with a header; those
+with few rows by nature are printed whole, of the income per postal area only
+the first rows.  ``--single-file`` merges the (small) result into one part
+file; ``--cluster`` uses the session settings for large clusters.
 """
 
 from __future__ import annotations
@@ -27,6 +31,10 @@ from beatwise.session import get_session
 from beatwise.sources import readers, sinks
 
 
+# Rows of a result per postal area that are printed.
+PRINTED_ROWS = 20
+
+
 def _incidents(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.incident_format == "parquet":
         return readers.read_parquet(spark, *args.incidents)
@@ -47,8 +55,8 @@ def _daypart(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def _top_months(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     inc = _incidents(spark, args)
     if args.sql:
-        return months.top_months_sql(spark, inc, "DATE OCC", args.date_format)
-    return months.top_months_from_text(inc, "DATE OCC", args.date_format)
+        return months.top_months_sql(spark, inc, "DATE OCC", args.date_format, drop_unparsed=args.drop_unparsed)
+    return months.top_months_from_text(inc, "DATE OCC", args.date_format, drop_unparsed=args.drop_unparsed)
 
 
 def _income(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -57,8 +65,10 @@ def _income(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         fields = readers.read_delimited_fields(spark, args.income, INCOME_SCHEMA.fieldNames(), sep=";",
                                                header_first_field=args.income_header)
         return income.income_per_person_lenient(docs, fields)
-    docs = readers.read_feature_docs(spark, args.census, CENSUS_DOC_SCHEMA)
     inc = readers.read_csv(spark, args.income, INCOME_SCHEMA, sep=";")
+    if args.census_format == "parquet":
+        return income.income_per_person_flat(readers.read_parquet(spark, args.census), inc, args.join)
+    docs = readers.read_feature_docs(spark, args.census, CENSUS_DOC_SCHEMA)
     return income.income_per_person(docs, inc, args.join)
 
 
@@ -79,8 +89,9 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--output", required=True)
         c.add_argument("--single-file", action="store_true")
         c.add_argument("--master", default=None)
+        c.add_argument("--cluster", action="store_true")
         if incidents:
-            c.add_argument("--incidents", nargs="+", required=True)
+            c.add_argument("--incidents", nargs="+", required=name != "convert")
             c.add_argument("--incident-format", choices=("csv", "text", "parquet"), default="csv")
         return c
 
@@ -90,29 +101,44 @@ def _parser() -> argparse.ArgumentParser:
     t = command("top-months")
     t.add_argument("--sql", action="store_true")
     t.add_argument("--date-format", default=WHEN_TEXT_FORMAT)
+    t.add_argument("--drop-unparsed", action="store_true")
     i = command("income", incidents=False)
     i.add_argument("--census", required=True)
     i.add_argument("--income", required=True)
     i.add_argument("--join", choices=("merge", "shuffle_hash", "broadcast"), default=None)
     i.add_argument("--text", action="store_true")
+    i.add_argument("--census-format", choices=("geojson", "parquet"), default="geojson")
     i.add_argument("--income-header", default="Zip Code")
     s = command("stations")
     s.add_argument("--stations", required=True)
     s.add_argument("--sql", action="store_true")
     s.add_argument("--float", action="store_true")
-    command("convert")
+    v = command("convert")
+    v.add_argument("--census", default=None)
     return p
 
 
 def main(argv: Sequence[str] | None = None) -> list:
-    """Run one command; returns the collected result rows ([] for ``convert``)."""
-    args = _parser().parse_args(argv)
-    spark = get_session(args.master, app_name=f"beatwise-{args.command}")
+    """Run one command; returns the rows printed ([] for ``convert``)."""
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.command == "convert" and bool(args.incidents) == bool(args.census):
+        parser.error("convert takes either --incidents or --census")
+    spark = get_session(args.master, app_name=f"beatwise-{args.command}", cluster=args.cluster)
     if args.command == "convert":
-        sinks.write_parquet(_incidents(spark, args), args.output)
+        if args.census:
+            readers.ingest_census(spark, args.census, CENSUS_DOC_SCHEMA, args.output)
+        else:
+            sinks.write_parquet(_incidents(spark, args), args.output)
         return []
-    build = {"daypart": _daypart, "top-months": _top_months, "income": _income,
-             "stations": _stations}[args.command]
+    if args.command == "income":  # a row per postal area: as many as the data has
+        sinks.write_csv(_income(spark, args), args.output, single_file=args.single_file)
+        rows = spark.read.schema("Zip_Code string, per_person_income double").option("header", True).csv(
+            args.output).limit(PRINTED_ROWS).collect()
+        for row in rows:
+            print(", ".join(f"{k}={v}" for k, v in row.asDict().items()))
+        return rows
+    build = {"daypart": _daypart, "top-months": _top_months, "stations": _stations}[args.command]
     rows = sinks.collect_then_write(build(spark, args), args.output, single_file=args.single_file)
     for row in rows:
         print(", ".join(f"{k}={v}" for k, v in row.asDict().items()))

@@ -58,7 +58,12 @@ def per_person(census: DataFrame, income: DataFrame, strategy: str | None = None
 def income_per_person(docs: DataFrame, income_text: DataFrame,
                       strategy: str | None = None) -> DataFrame:
     """The DataFrame form: parsed documents + income CSV rows -> per-person income."""
-    return per_person(census_by_zip(census_from_docs(docs)), clean_income(income_text), strategy)
+    return income_per_person_flat(census_from_docs(docs), income_text, strategy)
+
+
+def income_per_person_flat(features: DataFrame, income_text: DataFrame, strategy: str | None = None) -> DataFrame:
+    """The same from flat feature rows, such as ``ingest_census`` writes."""
+    return per_person(census_by_zip(features), clean_income(income_text), strategy)
 
 
 def income_per_person_lenient(docs: DataFrame, income_fields: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Sources and sinks."""
 
 from beatwise.sources.readers import (
+    ingest_census,
     read_csv,
     read_csv_lines,
     read_delimited_fields,
@@ -17,6 +18,7 @@ from beatwise.sources.sinks import (
 )
 
 __all__ = [
+    "ingest_census",
     "read_csv", "read_csv_lines", "read_delimited_fields", "read_feature_docs",
     "read_feature_docs_text", "read_parquet", "collect_then_write", "formatted_plan", "write_csv",
     "write_feature_docs", "write_parquet",

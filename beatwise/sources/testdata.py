@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatwise.functions.columns import WHEN_TEXT_FORMAT
+from beatwise.schemas import INCIDENT_COLUMNS
 
 # --- Fixed mapping values (the fixture contract shared with the SQL oracle). ---
 # Events whose type is this value play the role of incidents on a street.
@@ -65,6 +66,18 @@ def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_incidents(rows: DataFrame) -> DataFrame:
+    """Incident rows in all 28 columns of the published table, as text.
+
+    Columns that ``rows`` lacks hold filler text that depends on the row, so a
+    CSV of them has the width that a reader must skip.
+    """
+    have = set(rows.columns)
+    filler = lambda name: F.concat(F.lit(f"{name} "), F.pmod(F.xxhash64("DR_NO", F.lit(name)), F.lit(1000)))
+    return rows.select(*[(F.col(name) if name in have else filler(name)).cast("string").alias(name)
+                         for name in INCIDENT_COLUMNS])
+
+
 def census_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One census feature per customer: postal area = nation key,
     population = the customer's orders, housing units = 1.

@@ -68,6 +68,24 @@ def test_cli_income(spark, files):
         assert [tuple(r) for r in cli.main([*base, *extra, "--output", f"{files}/q3x"])] == rows
 
 
+def test_cli_census_convert(spark, files):
+    cli.main(["convert", "--census", f"{files}/blocks.geojson", "--output", f"{files}/census"])
+    rows = cli.main(["income", "--census", f"{files}/census", "--census-format", "parquet",
+                     "--income", f"{files}/income.csv", "--output", f"{files}/q3p"])
+    assert [tuple(r) for r in rows] == [("90001", 25000.0)]
+    with pytest.raises(SystemExit):
+        cli.main(["convert", "--output", f"{files}/x"])
+
+
+def test_cli_drop_unparsed(spark, files):
+    with open(f"{files}/a.csv", "a") as f:
+        f.write(_incident_line("9", "never", "0600", "STREET", "34", "-118") + "\n")
+    base = ["top-months", "--incidents", f"{files}/a.csv", "--output", f"{files}/q2d"]
+    for form in ([], ["--sql"]):
+        assert None in {r.year for r in cli.main([*base, *form])}
+        assert None not in {r.year for r in cli.main([*base, *form, "--drop-unparsed"])}
+
+
 def test_cli_stations_and_convert(spark, files):
     base = ["stations", "--incidents", f"{files}/a.csv", f"{files}/b.csv", "--stations", f"{files}/stations.csv"]
     rows = {r.DIVISION: r.num_of_crimes for r in cli.main([*base, "--output", f"{files}/q4"])}

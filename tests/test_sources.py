@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from beatwise.schemas import CENSUS_DOC_SCHEMA
 from beatwise.sources import (
-    collect_then_write, formatted_plan, read_csv, read_csv_lines, read_delimited_fields, read_feature_docs,
+    collect_then_write, formatted_plan, ingest_census, read_csv, read_csv_lines, read_delimited_fields, read_feature_docs,
     read_feature_docs_text, read_parquet, write_csv, write_feature_docs, write_parquet,
 )
 
@@ -69,3 +70,49 @@ def test_quoted_line_break_splits_a_record(spark, tmp_dir):
     rows = read_csv(spark, path, SCHEMA).collect()
     assert len(rows) == 3
     assert rows[-1] == ("2", "1300")
+
+
+TEXT = 'id,TIME OCC\n"1","0600"\n\n   \n2\n"id","TIME OCC"\n3,1300\n'
+
+
+def test_text_lines_follow_the_csv_reader(spark, tmp_dir):
+    path = f"{tmp_dir}/odd.csv"
+    with open(path, "w") as f:
+        f.write(TEXT)
+    lines = sorted(map(tuple, read_csv_lines(spark, path, SCHEMA).collect()))
+    assert lines == [("1", "0600"), ("2", None), ("3", "1300")]
+    by_csv = sorted(map(tuple, read_csv(spark, path, SCHEMA).filter("id != 'id'").collect()))
+    assert [r for r in by_csv if r[0].strip()] == lines
+
+
+def test_a_quoted_header_is_no_record(spark, tmp_dir):
+    path = f"{tmp_dir}/quoted.csv"
+    with open(path, "w") as f:
+        f.write('"id","TIME OCC"\n1,0600\n')
+    assert read_csv_lines(spark, path, SCHEMA).collect() == read_csv(spark, path, SCHEMA).collect()
+    typed = StructType([StructField("id", LongType()), StructField("TIME OCC", LongType())])
+    assert [tuple(r) for r in read_csv_lines(spark, path, typed).collect()] == [(1, 600)]
+
+
+def test_split_lines_with_blank_and_short_lines(spark, tmp_dir):
+    path = f"{tmp_dir}/short.txt"
+    with open(path, "w") as f:
+        f.write("Zip_Code;Community;Income\n\n90001;A;$1\n90002\n  \n;B;$2\n")
+    rows = read_delimited_fields(spark, path, ["Zip_Code", "Community", "Income"], header_first_field="Zip_Code")
+    assert sorted(map(tuple, rows.collect())) == [("", "B", "$2"), ("90001", "A", "$1"), ("90002", None, None)]
+
+
+def test_only_small_results_are_collected(spark, tmp_dir):
+    with pytest.raises(ValueError, match="more than 5 rows"):
+        collect_then_write(spark.range(10), f"{tmp_dir}/out", max_rows=5)
+
+
+def test_census_ingest_writes_many_files(spark, tmp_dir):
+    rows = [(i, "Feature", (str(90000 + i % 3), i, 1)) for i in range(40)]
+    feats = spark.createDataFrame(
+        rows, "key long, type string, properties struct<ZCTA20:string, POP20:long, HOUSING20:long>")
+    write_feature_docs(feats, f"{tmp_dir}/docs", key_col="key", rows=40)
+    out = ingest_census(spark, f"{tmp_dir}/docs", CENSUS_DOC_SCHEMA, f"{tmp_dir}/flat", files=4)
+    back = read_parquet(spark, out)
+    assert back.columns == ["ZCTA20", "POP20", "HOUSING20"] and len(back.inputFiles()) == 4
+    assert sorted(map(tuple, back.collect())) == sorted(p for _, _, p in rows)
