@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def explode_features(docs: DataFrame, features_col: str = "features") -> DataFrame:
@@ -17,11 +16,8 @@ def flatten_properties(features: DataFrame, struct_col: str = "properties",
                        keep: Sequence[str] = ()) -> DataFrame:
     """Promote every field of ``struct_col`` to a top-level column.
 
-    The field list is read from the schema at analysis time, so new
-    properties appear without code changes.  ``keep`` names other top-level
-    columns to carry along; everything else (``type``, ``geometry``, ...)
-    is dropped and therefore never read.
+    New properties appear without code changes.  ``keep`` names other
+    top-level columns to carry along; everything else (``type``,
+    ``geometry``, ...) is dropped and therefore never read.
     """
-    fields = features.schema[struct_col].dataType.fieldNames()
-    cols = [F.col(f"{struct_col}.`{name}`").alias(name) for name in fields]
-    return features.select(*cols, *keep)
+    return features.select(f"{struct_col}.*", *keep)

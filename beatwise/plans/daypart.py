@@ -36,7 +36,7 @@ def daypart_share(incidents: DataFrame, premise: str, **kw) -> DataFrame:
     """``(day_part, crime_count, percentage)``, largest share first."""
     counts = daypart_counts(incidents, premise, **kw)
     return (share_of_total(counts, "crime_count", "percentage", bounded=True)
-            .orderBy(F.col("percentage").desc()))
+            .orderBy(F.col("percentage").desc(), "day_part"))
 
 
 def daypart_share_udf(incidents: DataFrame, premise: str, **kw) -> DataFrame:
@@ -53,4 +53,4 @@ def daypart_share_scaled(incidents: DataFrame, premise: str, **kw) -> DataFrame:
     counts = daypart_counts(incidents, premise, **kw)
     return (share_of_total(counts, "crime_count", "percentage", bounded=False, scale_first=True)
             .select("day_part", "percentage")
-            .orderBy(F.col("percentage").desc()))
+            .orderBy(F.col("percentage").desc(), "day_part"))

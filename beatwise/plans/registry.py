@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from beatwise.functions.columns import haversine_km
 from beatwise.plans import daypart, income, months, stations
-from beatwise.schemas import CENSUS_DOC_SCHEMA, INCOME_SCHEMA
+from beatwise.schemas import CENSUS_DOC_SCHEMA, INCIDENT_SCHEMA, INCOME_SCHEMA
 from beatwise.session import staging_path
 from beatwise.sources import readers, sinks, testdata
 
@@ -56,6 +56,24 @@ def _incident_csv_files(spark: SparkSession, sf_dir: str) -> list[str]:
     return [f"{base}/first", f"{base}/second"]
 
 
+def _full_csv(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """Incidents staged as a CSV of all 28 columns, read with the published schema."""
+    path = _stage(spark, sf_dir, f"{name}-28-columns", lambda p: sinks.write_csv(testdata.full_incidents(rows()), p))
+    return readers.read_csv(spark, path, INCIDENT_SCHEMA)
+
+
+def _events_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_csv(spark, sf_dir, "events", lambda: testdata.incidents_from_events(spark, sf_dir))
+
+
+def _orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_csv(spark, sf_dir, "orders", lambda: testdata.dated_orders(spark, sf_dir).drop("occurred"))
+
+
+def _points_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_csv(spark, sf_dir, "points", lambda: testdata.incident_points(spark, sf_dir))
+
+
 def daypart_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daypart.daypart_share(testdata.incidents_from_events(spark, sf_dir), STREET)
 
@@ -64,6 +82,10 @@ def daypart_share_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daypart.daypart_share_udf(testdata.incidents_from_events(spark, sf_dir), STREET)
 
 
+def daypart_share_udf_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daypart.daypart_share_udf(_events_csv(spark, sf_dir), STREET)
+
+
 def daypart_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daypart.daypart_share_scaled(testdata.incidents_from_events(spark, sf_dir), STREET)
 
@@ -106,11 +128,20 @@ def top_months_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return months.top_months_sql(spark, testdata.dated_orders(spark, sf_dir), "DATE OCC")
 
 
+def top_months_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return months.top_months_from_text(_orders_csv(spark, sf_dir), "DATE OCC")
+
+
+def top_months_sql_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return months.top_months_sql(spark, _orders_csv(spark, sf_dir), "DATE OCC")
+
+
 # ------------------------------------------------------------------ income
 
 def _census_docs(spark: SparkSession, sf_dir: str) -> str:
     return _stage(spark, sf_dir, "census-docs", lambda p: sinks.write_feature_docs(
-        testdata.census_features(spark, sf_dir), p, key_col="key"))
+        testdata.census_features(spark, sf_dir), p, key_col="key",
+        rows=testdata.table(spark, sf_dir, "customer").count()))
 
 
 def _income_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -134,6 +165,15 @@ def income_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return income.income_per_person_lenient(docs, fields)
 
 
+def income_per_person_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census documents ingested once to Parquet, then queried."""
+    docs = _census_docs(spark, sf_dir)
+    path = _stage(spark, sf_dir, "census-parquet",
+                  lambda p: readers.ingest_census(spark, docs, CENSUS_DOC_SCHEMA, p))
+    inc = readers.read_csv(spark, _income_csv(spark, sf_dir), INCOME_SCHEMA, sep=";")
+    return income.income_per_person_flat(readers.read_parquet(spark, path), inc)
+
+
 def income_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``;`` money-table reader and cleaning, on customer balances (grows with the data)."""
     path = _stage(spark, sf_dir, "balances-csv", lambda p: sinks.write_csv(
@@ -162,6 +202,15 @@ def station_load_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               testdata.station_sites(spark, sf_dir)))
 
 
+def station_load_sql_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(stations.station_load_sql(spark, testdata.incident_points(spark, sf_dir),
+                                              testdata.station_sites(spark, sf_dir), coord_type="FLOAT"))
+
+
+def station_load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(stations.station_load(_points_csv(spark, sf_dir), testdata.station_sites(spark, sf_dir)))
+
+
 def station_load_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(stations.station_load(testdata.incident_points(spark, sf_dir),
                                           testdata.supplier_sites(spark, sf_dir)))
@@ -182,6 +231,7 @@ def haversine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "daypart_share": daypart_share,
     "daypart_share_udf": daypart_share_udf,
+    "daypart_share_udf_csv": daypart_share_udf_csv,
     "daypart_total": daypart_total,
     "daypart_share_csv": daypart_share_csv,
     "daypart_share_text": daypart_share_text,
@@ -190,15 +240,20 @@ QUERIES: dict[str, Query] = {
     "top_months": top_months,
     "top_months_parsed": top_months_parsed,
     "top_months_sql": top_months_sql,
+    "top_months_csv": top_months_csv,
+    "top_months_sql_csv": top_months_sql_csv,
     "income_per_person": _income_query(None),
     "income_join_merge": _income_query("merge"),
     "income_join_shuffle_hash": _income_query("shuffle_hash"),
     "income_join_broadcast": _income_query("broadcast"),
+    "income_per_person_parquet": income_per_person_parquet,
     "income_from_text": income_from_text,
     "income_csv_semicolon": income_csv_semicolon,
     "station_load": station_load,
     "station_load_float": station_load_float,
     "station_load_sql": station_load_sql,
+    "station_load_sql_float": station_load_sql_float,
+    "station_load_csv": station_load_csv,
     "station_load_suppliers": station_load_suppliers,
     "haversine_pairs": haversine_pairs,
 }
@@ -233,17 +288,17 @@ _DAYPART_SCALED = f"""
     FROM g ORDER BY percentage DESC
 """
 
+# A month's rank is one more than the number of months of its year that beat it.
 _TOP_MONTHS = """
-    SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, crime_total,
-           CAST(ranking AS INTEGER) AS ranking
-    FROM (
-        SELECT year, month, crime_total,
-               ROW_NUMBER() OVER (PARTITION BY year ORDER BY crime_total DESC, month ASC) AS ranking
-        FROM (SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, COUNT(*) AS crime_total
-              FROM orders GROUP BY 1, 2)
-    )
-    WHERE ranking <= 3
-    ORDER BY year, crime_total DESC, month
+    WITH m AS (
+        SELECT date_part('year', o_orderdate)::INTEGER AS year, date_part('month', o_orderdate)::INTEGER AS month,
+               COUNT(*) AS crime_total
+        FROM orders GROUP BY ALL)
+    SELECT m.year, m.month, m.crime_total, (1 + COUNT(b.month))::INTEGER AS ranking
+    FROM m LEFT JOIN m AS b
+      ON b.year = m.year AND (b.crime_total > m.crime_total
+                              OR (b.crime_total = m.crime_total AND b.month < m.month))
+    GROUP BY ALL HAVING COUNT(b.month) < 3
 """
 
 _INCOME = """
@@ -325,6 +380,7 @@ _HAVERSINE_PAIRS = f"""
 ORACLE_SQL: dict[str, str] = {
     "daypart_share": _DAYPART_SHARE,
     "daypart_share_udf": _DAYPART_SHARE,
+    "daypart_share_udf_csv": _DAYPART_SHARE,
     "daypart_total": _DAYPART_SCALED,
     "daypart_share_csv": _DAYPART_SHARE,
     "daypart_share_text": _DAYPART_SCALED,
@@ -333,15 +389,20 @@ ORACLE_SQL: dict[str, str] = {
     "top_months": _TOP_MONTHS,
     "top_months_parsed": _TOP_MONTHS,
     "top_months_sql": _TOP_MONTHS,
+    "top_months_csv": _TOP_MONTHS,
+    "top_months_sql_csv": _TOP_MONTHS,
     "income_per_person": _INCOME,
     "income_join_merge": _INCOME,
     "income_join_shuffle_hash": _INCOME,
     "income_join_broadcast": _INCOME,
+    "income_per_person_parquet": _INCOME,
     "income_from_text": _INCOME,
     "income_csv_semicolon": _INCOME_TABLE,
     "station_load": _station_oracle(_NATION_SITES),
     "station_load_float": _station_oracle(_NATION_SITES, "FLOAT"),
     "station_load_sql": _station_oracle(_NATION_SITES),
+    "station_load_sql_float": _station_oracle(_NATION_SITES, "FLOAT"),
+    "station_load_csv": _station_oracle(_NATION_SITES),
     "station_load_suppliers": _station_oracle(_SUPPLIER_SITES),
     "haversine_pairs": _HAVERSINE_PAIRS,
 }

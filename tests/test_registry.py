@@ -1,6 +1,9 @@
+import re
+
 import pytest
 
 import __spark_entry__ as entry
+from beatwise.plans.registry import ORACLE_SQL, QUERIES
 from tests.conftest import plan_text
 from tools.oracle_check import compare, duckdb_views
 
@@ -13,10 +16,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, SF)
     assert "CartesianProduct" not in r["plan"] and "BroadcastNestedLoopJoin" not in r["plan"]
@@ -44,7 +48,22 @@ def test_plan_shapes(spark):
         assert text.count("Exchange hashpartitioning") == 2
     for name in ("station_load", "station_load_sql", "station_load_suppliers"):
         text = plan_text(q[name](spark, SF))
-        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+        assert "Join" not in text and "CartesianProduct" not in text  # the search itself is in this plan
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("daypart_share_udf_csv", ["TIME OCC", "Premis Desc"]), ("top_months_csv", ["DATE OCC"]),
+    ("top_months_sql_csv", ["DATE OCC"]), ("station_load_csv", ["DR_NO", "LAT", "LON"])])
+def test_csv_scans_read_few_of_28_columns(spark, name, columns):
+    text = plan_text(QUERIES[name](spark, SF))
+    schemas = re.findall(r"FileScan csv .*?ReadSchema: struct<(.*?)>", text)
+    assert schemas and all([c.split(":")[0] for c in x.split(",")] == columns for x in schemas)
+
+
+def test_sql_forms_leave_no_views(spark):
+    QUERIES["top_months_sql"](spark, SF)
+    QUERIES["station_load_sql"](spark, SF)
+    assert not [t for t in spark.catalog.listTables() if t.isTemporary]
 
 
 @pytest.mark.parametrize("name", ["daypart_share", "daypart_share_csv", "top_months_parsed", "top_months_sql"])
