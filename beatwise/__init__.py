@@ -10,7 +10,6 @@ Sub-packages:
 * ``sources`` – readers and writers for CSV, text, multi-line JSON and
   Parquet, plus adapters from the bundled test tables.
 * ``plans`` – the four analyses, each in DataFrame and SQL form.
-* ``streaming`` – note on the (absent) streaming surface.
 """
 
 from beatwise.session import get_session, staging_path
