@@ -13,7 +13,8 @@ Defined results:
 * null or empty text: no words, empty kept text;
 * texts shorter than the window lose nothing;
 * repeated rows (the same id) do not count as earlier for each other; a null
-  id counts as larger than any id;
+  id is neither smaller nor larger than another, so such rows lose nothing
+  and take nothing from others;
 * repeats inside one document stay, unless an earlier document has them;
 * windows are judged on the input, so order and partitions do not matter.
 """
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .chunks import (ASK_TYPE, BASES, BYTE_VALUES, Rolling, Texts, answer, asked, bits_of, bucket_cuts, deal,
+from .chunks import (ASK_TYPE, BASES, BYTE_VALUES, NO_ID, Rolling, Texts, answer, asked, bits_of, bucket_cuts, deal,
                      groups_of, mix)
 
 WINDOW = 50
@@ -98,7 +99,8 @@ class WordChunk:
         """Words covered by a window that an earlier document has."""
         size = np.diff(np.append(self.w_runs, len(self.w_order)))
         at = self.at[self.w_order]
-        gone = np.repeat(earlier, size) | (np.repeat(self.w_least, size) < self.texts.rank[self.doc[at]])
+        rank = self.texts.rank[self.doc[at]]
+        gone = (np.repeat(earlier, size) | (np.repeat(self.w_least, size) < rank)) & (rank != NO_ID)
         step = np.zeros(len(self.start) + 1, np.int64)
         np.add.at(step, at[gone], 1)
         np.add.at(step, at[gone] + self.window, -1)
