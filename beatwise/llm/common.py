@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,17 +15,42 @@ from beatwise.session import staging_path
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Paths of the tables staged, by application.
+_staged: dict[str, list[str]] = {}
+
+
+def materialize(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write ``df`` to a fresh table in the shared checkpoint folder and read it back.
 
     Cuts the lineage without ``localCheckpoint``: a lost executor only costs
-    the tasks that were running on it.
+    the tasks that were running on it.  ``files`` bounds the number of files
+    of a table known to be small.  ``staged_tables_removed`` cleans up.
     """
     path = staging_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def staged_tables_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end the tables staged inside: results that read them must be written by then."""
+    staged = _staged.setdefault(spark.sparkContext.applicationId, [])
+    before = len(staged)
+    try:
+        yield
+    finally:
+        for path in staged[before:]:
+            remove(spark, path)
+        del staged[before:]
+
+
 def pack(df: DataFrame, keep: list[str] | None = None, **columns: Column) -> DataFrame:
     """Columns of ``df`` (all, or those in ``keep``) as one struct ``row`` beside computed ``columns``.
 

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+#: Edges of one file of a round's table.
+FILE_EDGES = 200_000
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connect every neighbour above a node to the node's smallest neighbour."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -30,11 +34,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Both stars only use combinable minima, equi-joins and ``distinct``; the
     edge table is written to shared storage each round and shrinks to stars in
     a number of rounds that grows with the logarithm of the longest path.
-    No rows: no rows.
+    Stars never have more rows than the edges, so their count bounds the files
+    of a round.  No rows: no rows.
     """
+    files = edges.count() // FILE_EDGES + 1
     current, mark = edges, None
     while True:
-        current = materialize(_small_star(_large_star(current)), "stars")
+        current = materialize(_small_star(_large_star(current)), "stars", files)
         seen = current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h"),
                            F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         if tuple(seen) == mark:

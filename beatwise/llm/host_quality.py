@@ -29,6 +29,8 @@ MAX_REPEAT_PERCENT = 30
 MAX_SYMBOL_PERCENT = 50
 MAX_DUP_LINE_PERCENT = 50
 MAX_HOST_RATE = 0.5
+#: Hosts (of 256 bytes at most) whose verdicts are broadcast.
+BROADCAST_HOSTS = 100_000
 
 
 def _repeat_windows(df: DataFrame) -> DataFrame:
@@ -65,15 +67,16 @@ def document_rules(df: DataFrame, text: str = "text", host: str = "source",
     packed = pack(df, keep, host=F.col(host), body=body, words=words_of(F.col(text)))
     packed = _repeat_windows(packed)
     lines = F.filter(F.split("body", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    return packed.withColumn("lines", lines).select(
-        "row", "host",
+    counts = F.struct(
         F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("body", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").cast("long").alias("n_lines"),
-        "n_repeat_words",
-    ).withColumn(
+        "n_repeat_words")
+    # one row per row: a generator's output is not replaced by its expression, so
+    # that a filter on a count, moved down by the optimizer, does not count again
+    return packed.withColumn("lines", lines).select("row", "host", F.inline(F.array(counts))).withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
     ).withColumn(
@@ -91,6 +94,7 @@ def host_rates(rules: DataFrame) -> DataFrame:
     hosts = rules.filter(F.col("host").isNotNull()).groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("rule_failed").cast("long")).alias("failed"))
     rate = F.col("failed") / F.col("n")
+    hosts = materialize(hosts, "host-sums")
     m = hosts.agg(F.avg(rate).alias("mean"), F.var_pop(rate).alias("var")).first()
     mean, var = m["mean"] or 0.0, m["var"] or 0.0
     # hosts that all agree leave no variance: then the prior is as strong as allowed
@@ -102,14 +106,20 @@ def judge_hosts(df: DataFrame, text: str = "text", host: str = "source", out: st
                 max_host_rate: float = MAX_HOST_RATE, keep: list[str] | None = None) -> DataFrame:
     """Columns of ``df`` (or those in ``keep``) plus the struct ``out``: rule counts, ``host_rate``, ``kept``.
 
-    The rules run once into a staged table; hosts are summed with partial
-    aggregation and their few verdicts join back (a hot host is split by
-    Spark's skew handling, or the small side is broadcast by its size).
+    Hosts are summed with partial aggregation.  With ``keep`` the rules run
+    once, into a staged table of those columns; with whole documents they run
+    a second time, which costs less than writing every text again.  Up to
+    ``BROADCAST_HOSTS`` verdicts (they are counted) are broadcast; more are
+    joined by a shuffle, where Spark splits hot hosts.
     """
+    narrow = keep is not None
     keep = [c for c in keep or df.columns if c.lower() != out.lower()]
-    rules = materialize(document_rules(df, text, host, keep), "rules")
-    verdicts = host_rates(rules).select("host", "host_rate")
-    joined = rules.join(verdicts, "host", "left").withColumn(
+    rules = document_rules(df, text, host, keep)
+    if narrow:
+        rules = materialize(rules, "rules")
+    verdicts = materialize(host_rates(rules).select("host", "host_rate"), "hosts")
+    small = verdicts.filter(F.octet_length("host") <= 256).count() == verdicts.count() <= BROADCAST_HOSTS
+    joined = rules.join(F.broadcast(verdicts) if small else verdicts, "host", "left").withColumn(
         "kept", ~F.col("base_failed") & (F.coalesce(F.col("host_rate"), F.lit(0.0)) <= max_host_rate))
     return joined.select(
         *[F.col("row").getField(c).alias(c) for c in keep],

@@ -9,7 +9,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from beatwise.llm.common import remove, staged_tables_removed
 from beatwise.llm.decontaminate import remove_leaked
 from beatwise.llm.host_quality import judge_hosts
 from beatwise.llm.pieces import encode_decode
@@ -28,14 +30,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: a row with the group's smallest id.
 
-    Rows without an id stay; of rows that repeat the smallest id the one with the least text does.
+    Groups are found on ids and text hashes; the texts are shuffled once, to
+    keep the chosen rows.  Of rows that repeat the smallest id one stays, by
+    the hash of its columns.  A group without any id keeps all its rows.
     """
-    marked = near_duplicates(docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), "text"), id_col="id",
-                             shingle=3, max_bits=2, keep=["doc", "id"])
-    first = marked.filter("component_id IS NULL OR id = component_id")
-    own = first.filter("id IS NULL").select("doc.*")
-    named = first.filter("id IS NOT NULL").groupBy("id").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
-    return own.unionByName(named.select("doc.*")).select(*docs.columns)
+    mark = F.xxhash64("text")
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), mark.alias("mark"), "text")
+    classes = near_duplicates(rows.select("id", "mark", "text"), id_col="id", shingle=3, max_bits=2, keep=["id", "mark"])
+    named = classes.filter("id = component_id").groupBy("id").agg(F.min("mark").alias("mark"))
+    nameless = classes.filter("id IS NULL AND component_id IS NULL").select("id", "mark").distinct()
+    place = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("none")), "mark").alias("place")
+    stay = named.unionByName(nameless).select(place)
+    chosen = rows.select("doc", "id", place).join(stay, "place")
+    turn = F.row_number().over(Window.partitionBy("place").orderBy(F.xxhash64("doc")))
+    return chosen.withColumn("turn", turn).filter("turn = 1 OR id IS NULL").select("doc.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,10 +78,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``; each writes Parquet that the next reads."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the table ``documents``; each writes Parquet that the next reads, then goes."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = staging_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with staged_tables_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            remove(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs
