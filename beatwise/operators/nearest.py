@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -212,15 +212,17 @@ def nearest_site(points: DataFrame, sites: DataFrame, *,
     located = prepare_points(sites, site_id, site_lat, site_lon, coord_kind, drop_zero_sites)
     sid_type = sites.schema[site_id].dataType
     best_type = StructType([StructField("d", DoubleType()), StructField("sid", sid_type)])
-    best: Column = F.lit(None).cast(best_type)
-    found = found.withColumn("_best", best)
+    found = found.withColumn("_best", F.lit(None).cast(best_type))
+    any_site = False
     for table in _blocks(located, block_sites):
         if table.num_rows:
+            any_site = True
             ids = table["_id"].combine_chunks()
             tree = spark.sparkContext.broadcast(SiteTree(ids, table["_lat"].to_numpy(), table["_lon"].to_numpy()))
             search = _search_udf(tree, best_type.simpleString())
             found = found.withColumn("_best", F.least("_best", search("_lat", "_lon", F.col("_best.d"))))
-    rows = found.filter("_best IS NOT NULL").select("_id", "_best")
+    # every point has a nearest site unless there is none (a filter on the result would search twice)
+    rows = (found if any_site else found.limit(0)).select("_id", "_best")
     if per_point_id:
         rows = rows.groupBy("_id").agg(F.min("_best").alias("_best"))
     return rows.select(F.col("_id").alias(point_id), F.col("_best.sid").alias(site_id),

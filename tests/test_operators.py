@@ -218,7 +218,8 @@ def test_nearest_is_one_lazy_map_only_plan(spark):
     assert "Exchange" not in text and "Join" not in text and "FileScan" not in text and "ArrowEvalPython" in text
     assert out.count() == 1999
     # with the pick per id: one partial aggregate before its shuffle
-    assert plan_text(nearest_site(p, s, **args)).count("Exchange") == 1
+    picked = plan_text(nearest_site(p, s, **args))
+    assert picked.count("Exchange") == 1 and picked.count("ArrowEvalPython") == text.count("ArrowEvalPython") == 1
 
 
 def test_haversine_keeps_nan(spark):
