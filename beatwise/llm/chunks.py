@@ -15,7 +15,6 @@ modulo 2^64, then a bijective mixer.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +23,15 @@ from pyspark.sql import functions as F
 
 from .common import parts_for, text_bytes
 
-#: Text bytes a chunk holds on average.
-CHUNK_BYTES = 4 << 20
+#: Text bytes a chunk holds, and those whose keys a bucket holds, on average (arrays take up to 100 times a chunk's bytes).
+CHUNK_BYTES, BUCKET_BYTES = 1 << 20, 4 << 20
+#: Powers are worked out for multiples of this many positions.
+POWER_STEP = 1 << 18
 ASK_TYPE = "bucket int, chunk int, body binary"
 REPLY_TYPE = "chunk int, step int, bucket int, bits binary"
 _REPLY = pa.schema([("chunk", pa.int32()), ("step", pa.int32()), ("bucket", pa.int32()), ("bits", pa.binary())])
 _ASK = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("body", pa.binary())])
-#: Rank of rows without an id: behind every id.
+#: Rank of rows without an id: it is never the smaller one, and the operators leave such rows whole.
 NO_ID = np.iinfo(np.int64).max
 #: Two odd bases and the mixer's constants.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -47,25 +48,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse modulo 2^64, for 2^bits positions."""
-    inverse = pow(base, -1, 1 << 64)
-    both = []
-    for b in (base, inverse):
-        run = np.full(1 << bits, b, np.uint64)
+_kept_powers: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of a base modulo 2^64; a worker keeps the longest run it needed."""
+    run = _kept_powers.get(base)
+    if run is None or len(run) < n:
+        run = np.full(-(-n // POWER_STEP) * POWER_STEP, base, np.uint64)
         run[0] = 1
-        both.append(np.cumprod(run))
-    return both[0], both[1]
+        _kept_powers[base] = np.cumprod(run, out=run)
+    return run[:n]
 
 
 class Rolling:
     """Hash of any substring of ``values`` (uint64) in constant time."""
 
     def __init__(self, values: np.ndarray, base: int):
-        forth, self.back = _powers(base, max(16, int(len(values)).bit_length()))
+        self.back = _powers(pow(base, -1, 1 << 64), len(values) + 1)
         self.sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * forth[: len(values)], out=self.sums[1:])
+        np.multiply(values, _powers(base, len(values) + 1)[:-1], out=self.sums[1:])
+        np.cumsum(self.sums, out=self.sums)
 
     def raw(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         return (self.sums[start + length] - self.sums[start]) * self.back[start]
@@ -115,11 +118,12 @@ def groups_of(sorted_keys: np.ndarray) -> np.ndarray:
 
 def deal(df: DataFrame, row: Column, id_col: Column, text: Column, text_name: str) -> tuple[DataFrame, int]:
     """``(chunk, id, text, row)`` of every row, and the number of buckets, which follows the input's bytes."""
-    n = parts_for(df.sparkSession, text_bytes(df, text_name), CHUNK_BYTES)
+    size = text_bytes(df, text_name)
+    n_chunks, n_buckets = (parts_for(df.sparkSession, size, x) for x in (CHUNK_BYTES, BUCKET_BYTES))
     body = F.coalesce(text, F.lit("")).cast("binary")
     ids = id_col.cast("long")
-    return df.select(F.pmod(F.xxhash64(ids, body), F.lit(2 * n)).cast("int").alias("chunk"),
-                     ids.alias("id"), body.alias("text"), row.alias("row")), n
+    return df.select(F.pmod(F.xxhash64(ids, body), F.lit(n_chunks)).cast("int").alias("chunk"),
+                     ids.alias("id"), body.alias("text"), row.alias("row")), n_buckets
 
 
 def asked(cuts: tuple[np.ndarray, np.ndarray], chunk: int, body: Callable[[int, int], bytes]) -> pa.Table:

@@ -20,8 +20,9 @@ be equal if their anchor lies at the same offset, so the sort runs within
 
 Defined results: null and empty text have no bytes; texts shorter than
 ``length`` lose nothing; repeated rows (the same id) do not count as earlier
-for each other; a null id counts as larger than any; strings never cross
-documents and are judged on the input.
+for each other; a null id is neither smaller nor larger than another, so such
+rows lose nothing and take nothing from others; strings never cross documents
+and are judged on the input.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .chunks import (ASK_TYPE, BASES, BYTE_VALUES, Rolling, Texts, answer, asked, bits_of, bucket_cuts, deal,
+from .chunks import (ASK_TYPE, BASES, BYTE_VALUES, NO_ID, Rolling, Texts, answer, asked, bits_of, bucket_cuts, deal,
                      groups_of, mix)
 
 LENGTH, GRAM = 50, 24
@@ -62,18 +63,21 @@ class ByteChunk:
             grams = self.rolling.windows(gram)
             # the upper hash half decides, of equal ones the leftmost
             packed = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
-            least = sliding_minimum(packed, length - gram + 1).astype(np.uint32).astype(np.int64)
+            least = sliding_minimum(packed, length - gram + 1).astype(np.uint32)
+            del packed
             inside = np.ones(len(least), bool)  # windows that do not cross into the next text
             for a, b in zip(np.maximum(t.last - length + 1, t.first).tolist(), t.last.tolist(), strict=True):
                 inside[a:b] = False
             at = np.flatnonzero(inside)
             if len(at):
-                anchor = least[at]
+                anchor = least[at].astype(np.int64)
+                del least, inside
                 new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)))
                 first = np.flatnonzero(new)
                 self.start, self.anchor = at[first], anchor[first]
                 self.stop = np.append(at[first[1:] - 1], at[-1]) + 1  # one behind the last window start
-                self.key = grams[self.anchor]
+                # minima are small by choice: mixed again, they spread over the buckets
+                self.key = mix(grams[self.anchor] ^ np.uint64(BASES[1]))
         self.doc = t.owner(self.start)
         self.rank = t.rank[self.doc] if len(self.start) else none
         self.order = np.argsort(self.key, kind="stable")
@@ -111,7 +115,9 @@ class ByteChunk:
         behind = np.cumsum(count) - count
         inner = np.arange(count.sum()) - np.repeat(behind, count)
         bit_from = (np.cumsum(self.c_windows) - self.c_windows)[context]
-        gone = earlier[np.repeat(bit_from, count) + inner] | np.repeat(self.c_least[context] < self.rank[self.picked], count)
+        rank = self.rank[self.picked]
+        gone = earlier[np.repeat(bit_from, count) + inner] | np.repeat(self.c_least[context] < rank, count)
+        gone &= np.repeat(rank != NO_ID, count)
         at = (np.repeat(self.start[self.picked], count) + inner)[gone]
         step = np.bincount(at, minlength=len(self.texts.data) + 1)[: len(self.texts.data) + 1].astype(np.int64)
         step -= np.bincount(at + self.length, minlength=len(self.texts.data) + 1)[: len(self.texts.data) + 1]
