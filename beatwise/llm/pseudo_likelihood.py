@@ -12,14 +12,23 @@ per slice of the parameters and in two levels, so no task and not the driver
 sees more than a model's size per group of tasks.  Every text of the corpus is
 counted and trained on.
 
+Words outside the vocabulary share hashed tokens.  Inside its token each of
+them has its own share: P(word) = P(token | context) x P(word | token), the
+latter from the counts of every word of the corpus, smoothed towards a spelling
+of uniform bytes with as much weight as the token has distinct words.  Counts
+stay a table; words meet them in a join.  An unseen word has only its spelling.
+
 Defined results: null and empty text: no tokens, score 0; beyond a text's ends
-stands a padding token; words outside the vocabulary share hashed tokens;
-repeated rows are scored each; an empty corpus leaves the initial network.
+stands a padding token; repeated rows are scored each; an empty corpus leaves
+the initial network; a model of two parts, without shares, scores tokens only.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import materialize, pack
 
 #: Model bounds: digits of a token code, own tokens of frequent words, context on each side, hidden units.
 DIGIT = 32
@@ -42,21 +51,92 @@ PAD = TOKENS
 OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
 
 
-def vocabulary(docs: DataFrame, text: str = "text", size: int = FREQUENT) -> dict[bytes, int]:
-    """The ``size`` most frequent words of all texts (ties by word): a bounded number reaches the driver."""
-    counted = docs.select(F.explode(words_of(F.lower(F.col(text)))).alias("word")).groupBy("word").count()
+def split(text: str | None) -> list[bytes]:
+    """Words of a whole text, in lower case."""
+    return (text or "").lower().encode("utf-8", "replace").split()
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every word of all texts and how often it occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = Counter()
+            for t in batch["text"]:
+                found.update(split(t.as_py()))
+            yield pa.RecordBatch.from_pydict({"word": pa.array(found.keys(), pa.binary()),
+                                              "count": pa.array(found.values(), pa.int64())})
+
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "word binary, count bigint")
+    return counted.groupBy("word").agg(F.sum("count").alias("count"))
+
+
+def vocabulary(counted: DataFrame, size: int = FREQUENT) -> dict[bytes, int]:
+    """The ``size`` most frequent words (ties by word): a bounded number reaches the driver."""
     rows = counted.orderBy(F.desc("count"), "word").limit(size).collect()
-    return {r["word"].encode(): i for i, r in enumerate(rows)}
+    return {bytes(r["word"]): i for i, r in enumerate(rows)}
 
 
 def encode(text: str | None, words: dict[bytes, int], spare: int | None = None) -> np.ndarray:
     """Token of every word of a whole text."""
+    return _encode(split(text), words, spare)
+
+
+def _encode(found: list[bytes], words: dict[bytes, int], spare: int | None = None) -> np.ndarray:
     first = len(words) if spare is None else spare
-    found, room = [], TOKENS - first
-    for w in (text or "").lower().encode("utf-8", "replace").split():
+    tokens, room = [], TOKENS - first
+    for w in found:
         token = words.get(w)
-        found.append(first + xxhash.xxh64_intdigest(w) % room if token is None else token)
-    return np.array(found, np.int64)
+        tokens.append(first + xxhash.xxh64_intdigest(w) % room if token is None else token)
+    return np.array(tokens, np.int64)
+
+
+#: Shares are added as whole numbers of this unit, so that sums do not depend on the order.
+UNIT = 1e-9
+#: Uniform spelling: one of 256 bytes or the end of the word.
+SPELL = math.log(257)
+
+
+class Shares(NamedTuple):
+    """P(word | shared token): ``floor`` is the log of an unseen word's share for each token, less ``SPELL``
+    a byte; ``gains`` (word, gain in ``UNIT``) is what each counted word has above that."""
+
+    floor: np.ndarray
+    gains: DataFrame
+
+
+def word_shares(counted: DataFrame, words: dict[bytes, int]) -> Shares:
+    """Shares of all words outside the vocabulary; two numbers a token reach the driver."""
+    first = len(words)
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        running, distinct = np.zeros(TOKENS, np.int64), np.zeros(TOKENS, np.int64)
+        for batch in batches:
+            tokens = _encode(batch["word"].to_pylist(), words)
+            np.add.at(running, tokens, batch["count"].to_numpy())
+            np.add.at(distinct, tokens, 1)
+        at = np.flatnonzero(distinct[first:]) + first
+        yield pa.RecordBatch.from_pydict({"token": at, "running": running[at], "distinct": distinct[at]})
+
+    found = counted.mapInArrow(totals, "token bigint, running bigint, distinct bigint").groupBy("token").agg(
+        F.sum("running").alias("running"), F.sum("distinct").alias("distinct")).collect()
+    weight, running = np.ones(TOKENS), np.zeros(TOKENS)
+    for r in found:
+        weight[r["token"]] += r["distinct"]
+        running[r["token"]] = r["running"]
+    prior = np.log(weight) + math.log(TOKENS - first) - SPELL
+    floor = prior - np.log(running + weight)
+
+    def gain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch["word"].to_pylist()
+            tokens, size = _encode(found, words), np.fromiter(map(len, found), np.int64, len(found))
+            above = np.logaddexp(0, np.log(batch["count"].to_numpy()) - prior[tokens] + SPELL * size)
+            tail = tokens >= first
+            yield pa.RecordBatch.from_pydict({"word": batch["word"].filter(pa.array(tail)),
+                                              "gain": np.rint(above[tail] / UNIT).astype(np.int64)})
+
+    return Shares(floor, materialize(counted.mapInArrow(gain, "word binary, gain bigint"), "shares"))
 
 
 class WindowNet:
@@ -193,39 +273,78 @@ def train_round(docs: DataFrame, text: str, words: dict[bytes, int], vector: np.
     return np.concatenate([np.frombuffer(r["part"], np.float64) / r["tokens"] for r in rows]).astype(np.float32)
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[dict[bytes, int], np.ndarray]:
-    """Vocabulary and parameters from all texts: each is in exactly one round."""
-    words = vocabulary(docs, text)
+def train(docs: DataFrame, text: str, words: dict[bytes, int], rounds: int = ROUNDS) -> np.ndarray:
+    """Parameters from all texts: each is in exactly one round."""
     vector = WindowNet().vector
     for k in range(rounds):
         part = docs.filter(F.pmod(F.xxhash64(F.col(text)), F.lit(rounds)) == k)
         vector = train_round(part, text, words, vector)
-    return words, vector
+    return vector
+
+
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[dict[bytes, int], np.ndarray]:
+    """Vocabulary and parameters from all texts."""
+    words = vocabulary(word_counts(docs, text))
+    return words, train(docs, text, words, rounds)
+
+
+def fit_words(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[dict[bytes, int], np.ndarray, Shares]:
+    """As ``fit``, with the shares of the words outside the vocabulary."""
+    counted = materialize(word_counts(docs, text), "words")
+    words = vocabulary(counted)
+    return words, train(docs, text, words, rounds), word_shares(counted, words)
 
 
-def score(text: Column, words: dict[bytes, int], vector: np.ndarray, spark) -> Column:
-    """Struct ``tokens`` and ``log_probability`` of each whole text."""
-    shared = spark.sparkContext.broadcast((words, vector))
+def score(text: Column, words: dict[bytes, int], vector: np.ndarray, spark, floor: np.ndarray | None = None) -> Column:
+    """Struct ``tokens`` and ``log_probability`` of each whole text; with ``floor`` every word counts as
+    unseen inside its token, and ``tail`` lists the words outside the vocabulary."""
+    shared = spark.sparkContext.broadcast((words, vector, floor))
+    kind = "tokens:bigint,log_probability:double" + (",tail:array<binary>" if floor is not None else "")
 
-    @F.arrow_udf("struct<tokens:bigint,log_probability:double>")
+    @F.arrow_udf(f"struct<{kind}>")
     def run(texts: pa.Array) -> pa.Array:
-        known, parameters = shared.value
-        net, counts, sums = WindowNet(parameters), [], []
+        known, parameters, unseen = shared.value
+        net, counts, sums, tails = WindowNet(parameters), [], [], []
         for t in texts:
-            tokens = encode(t.as_py(), known)
+            found = split(t.as_py())
+            tokens = _encode(found, known)
             context, total = WindowNet.contexts(tokens), 0.0
             for at in range(0, len(tokens), BATCH):
                 total += float(net.log_probabilities(context[:, at:at + BATCH], tokens[at:at + BATCH]).sum(dtype=np.float64))
+            if unseen is not None:
+                outside = np.flatnonzero(tokens >= len(known))
+                tails.append([found[i] for i in outside.tolist()])
+                total += float(unseen[tokens[outside]].sum()) - SPELL * sum(map(len, tails[-1]))
             counts.append(len(tokens))
             sums.append(total)
-        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(sums, pa.float64())],
-                                          ["tokens", "log_probability"])
+        columns = {"tokens": pa.array(counts, pa.int64()), "log_probability": pa.array(sums, pa.float64())}
+        if unseen is not None:
+            columns["tail"] = pa.array(tails, pa.list_(pa.binary()))
+        return pa.StructArray.from_arrays(list(columns.values()), list(columns))
 
     return run(text)
 
 
-def score_documents(docs: DataFrame, text: str = "text", out: str = "score",
-                    model: tuple[dict[bytes, int], np.ndarray] | None = None) -> DataFrame:
-    """``docs`` with the struct ``out`` (replaced if there); without ``model`` one is fitted to all of ``docs``."""
-    words, vector = model or fit(docs, text)
-    return docs.withColumn(out, score(F.col(text), words, vector, docs.sparkSession))
+def score_documents(docs: DataFrame, text: str = "text", out: str = "score", model: tuple | None = None,
+                    keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with the struct ``out`` (replaced if there).
+
+    ``model`` is what ``fit_words`` returns, or ``fit`` for the score of the
+    tokens; without it ``fit_words`` runs on all of ``docs``.  The words joined
+    are the rare ones, outside the vocabulary, so no key of the join is hot.
+    """
+    words, vector, *shares = model or fit_words(docs, text)
+    names = keep or docs.columns
+    if not shares:
+        return docs.withColumn(out, score(F.col(text), words, vector, docs.sparkSession)).select(
+            *dict.fromkeys([*names, out]))
+    floor, gains = shares[0]
+    rows = pack(docs, keep, score=score(F.col(text), words, vector, docs.sparkSession, floor),
+                id=F.monotonically_increasing_id())
+    rows = materialize(rows, "scored")
+    asked = rows.select("id", F.explode("score.tail").alias("word"))
+    found = asked.join(gains.hint("shuffle_hash"), "word").groupBy("id").agg(F.sum("gain").alias("gain"))
+    joined = rows.select("row", "id", "score.tokens", "score.log_probability").join(found, "id", "left")
+    total = F.col("log_probability") + F.coalesce("gain", F.lit(0)) * F.lit(UNIT)
+    scored = F.struct(F.col("tokens"), total.alias("log_probability"))
+    return joined.select(*[F.col("row").getField(c).alias(c) for c in names if c != out], scored.alias(out))

@@ -143,3 +143,44 @@ def test_every_text_is_trained_on(spark):
     parts = [docs.filter(F.pmod(F.xxhash64("text"), F.lit(lm.ROUNDS)) == k) for k in range(lm.ROUNDS)]
     assert sum(p.count() for p in parts) == docs.count()
     assert sum(r["score"]["tokens"] for r in lm.score_documents(docs, model=({}, lm.WindowNet().vector)).collect()) == total
+
+
+def test_words_outside_the_vocabulary_are_scored_themselves(spark):
+    """More words than own tokens: rare known words beat unseen garbage, in the sum that plain counts give."""
+    rng = random.Random(9)
+    spell = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    common, rare = [spell(6) for _ in range(lm.FREQUENT)], sorted({spell(7) for _ in range(3000)})
+    texts = [" ".join(common) for _ in range(12)] + [" ".join(rng.sample(rare, 600)) for _ in range(20)]
+    junk = [" ".join(spell(7) for _ in range(60)) for _ in range(10)]
+    rows = list(enumerate(texts + junk))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    model = lm.fit_words(docs)
+    words, vector, _ = model
+    counts = {}
+    for w in " ".join(texts + junk).split():
+        counts[w] = counts.get(w, 0) + 1
+    bucket = {}
+    for w in counts:
+        if w.encode() not in words:
+            bucket.setdefault(int(lm.encode(w, words)[0]), []).append(w)
+
+    def share(w):
+        token, room = int(lm.encode(w, words)[0]), lm.TOKENS - len(words)
+        inside = bucket.get(token, [])
+        weight = len(inside) + 1
+        return math.log((counts.get(w, 0) + weight * room * 257.0 ** -(len(w) + 1)) / (sum(counts[x] for x in inside) + weight))
+
+    seen = [w for w in rare if counts.get(w, 0) >= 2][:50]
+    held = [(1, " ".join(seen)), (2, " ".join(spell(7) for _ in seen)), (3, None), (4, ""), (4, common[0] + " " + rare[0])]
+    asked = spark.createDataFrame([(*r, "x") for r in held], "doc_id bigint, text string, id string")
+    got = lm.score_documents(asked, model=model)
+    assert got.columns == ["doc_id", "text", "id", "score"]
+    for r in got.collect():
+        n, want = slow_score(r["text"], words, vector)
+        want += sum(share(w) for w in (r["text"] or "").split() if w.encode() not in words)
+        assert r["score"]["tokens"] == n and abs(r["score"]["log_probability"] - want) <= 1e-3 * max(1, n)
+    by_id = {r["doc_id"]: r["score"]["log_probability"] for r in got.collect()}
+    assert by_id[2] < by_id[1] - 50 * math.log(20)
+    whole = {r["doc_id"]: r["score"] for r in lm.score_documents(docs, keep=["doc_id"]).collect()}
+    mean = lambda ids: sum(whole[i]["log_probability"] for i in ids) / sum(whole[i]["tokens"] for i in ids)
+    assert mean(range(32, 42)) < mean(range(12, 32)) - 1
