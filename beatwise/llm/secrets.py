@@ -27,10 +27,22 @@ from pyspark.sql import functions as F
 from .common import materialize, pack
 
 #: Candidate form, words that name a credential, words of sample paths.
-CANDIDATE = r"[A-Za-z0-9+/_-]{12,}"
-CREDENTIAL_WORDS = "password passwd pwd secret token apikey api_key access_key auth credential bearer"
+RUN = "[A-Za-z0-9+/_-]"
+CREDENTIAL_WORDS = ("password passwd passphrase pwd secret token api[_-]?key access[_-]?key private[_-]?key authorization auth "
+                    "credential bearer")
+#: A credential word with its suffix, and what stands between it and its value.
+_NAME = "(?i:" + "|".join(CREDENTIAL_WORDS.split()) + ")(?:[0-9]+|(?i:s))?(?:[_-][A-Za-z0-9_-]*)?"
+_ASSIGN = _NAME + r"[\"']?\s*(?:=>|:=|==?|:)\s*"
+_SCHEME = r"(?:(?i:bearer|basic|token)\s+)?"
+CANDIDATE = rf"{RUN}{{12,}}"
 SAMPLE_WORDS = "test tests example examples sample mock fixture fixtures docs dummy"
-KEY_FORM = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|xox[abp]-[A-Za-z0-9-]{10,})$"
+KEY_FORM = (r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}|"
+            r"sk-[A-Za-z0-9]{20,}|[sr]k_(live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|xox[abp]-[A-Za-z0-9-]{10,}|"
+            r"eyJ[A-Za-z0-9_-]{6,}(\.[A-Za-z0-9_-]{6,}){2,})$")
+#: Values that only stand for a secret.
+REFERENCE = r"(?i)^(true|false|null|none|undefined|required|optional|[$%]?[{<(].*)$"
+#: Characters that an assigned value beyond doubt has at least.
+LONG = 8
 #: Characters of context kept on each side of a candidate.
 CONTEXT = 48
 #: Bounds of what is trained on (labelled findings of each kind) and of the dictionary.
@@ -74,6 +86,10 @@ def frequent_words(df: DataFrame, text: str = "text", size: int = DICTIONARY_WOR
     return counted.orderBy(F.desc("n"), "word").limit(size).select("word")
 
 
+#: A credential word, assigned or a scheme, right before; or the user of a URL.
+NAMED = rf"({_ASSIGN}{_SCHEME}[\"']?|(?i:bearer)\s+|://[^\s/:@]*:)$"
+
+
 def _share(pattern: str) -> Column:
     return F.regexp_count("candidate", F.lit(pattern)) / F.char_length("candidate")
 
@@ -100,7 +116,7 @@ def with_features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
         (F.coalesce("chars", F.lit(0)) / F.char_length("candidate")).alias("covered"),
         F.regexp_count(path, F.lit("/")).cast("double").alias("path_depth"),
         path.rlike(any_of(SAMPLE_WORDS)).cast("double").alias("path_sample"),
-        F.col("before").rlike(any_of(CREDENTIAL_WORDS) + r"[\"']?\s*[=:]*\s*[\"']?$").cast("double").alias("credential_before"),
+        F.col("before").rlike(NAMED).cast("double").alias("credential_before"),
         F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double").alias("assigned"),
         F.col("before").rlike("[\"']$").cast("double").alias("quoted"),
         F.char_length(before_words).cast("double").alias("word_before"),
@@ -108,18 +124,23 @@ def with_features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """Label findings whose kind is beyond doubt: published key forms and assignments to credential words
-    are secrets; digits only, and candidates without any assignment or quote, are not."""
-    named = F.col("before").rlike("(?i)(" + "|".join(CREDENTIAL_WORDS.split()) + r")[\"']?\s*[=:]\s*[\"']?$")
-    secret = (named & ~F.col("candidate").rlike("^[0-9]{12,19}$")) | F.col("candidate").rlike(KEY_FORM)
-    return found.withColumn("label", F.when(secret, 1.0).otherwise(0.0))
+    """Label findings whose kind is beyond doubt, all others null: published key forms and assignments of long
+    values with a digit to credential words are secrets; digits only, references to a secret kept elsewhere, and
+    candidates without any assignment, quote or credential word, are not."""
+    c, named = F.col("candidate"), F.col("before").rlike(NAMED)
+    digits = c.rlike("^[0-9]+$")
+    secret = named & ~digits & c.rlike("[0-9]") & (F.char_length(c) >= LONG) & ~c.rlike(REFERENCE)
+    beside = F.col("before").rlike(r"[=:\"'][ \t]*$") | F.col("after").rlike("^[\"']")
+    other = (digits & ~named) | (named & c.rlike(REFERENCE)) | ~(named | beside | F.col("before").rlike(f"{_NAME}\\W*$"))
+    return found.withColumn("label", F.when(c.rlike(KEY_FORM) | secret, 1.0).when(other, 0.0))
 
 
 def labelled_sample(labelled: DataFrame, per_kind: int = LABELLED_PER_KIND) -> DataFrame:
-    """At most ``per_kind`` findings of each label, drawn by the hash of the finding: the same at every run."""
-    draw = F.xxhash64("candidate", "before", "after")
-    kinds = [labelled.filter(F.col("label") == k).orderBy(draw, "candidate", "before", "after", *FEATURES).limit(per_kind)
-             for k in (0.0, 1.0)]
+    """At most ``per_kind`` different findings of each label, drawn by the hash of the finding: the same at every run."""
+    finding = ["candidate", "before", "after"]
+    once = labelled.filter("label IS NOT NULL").groupBy("label", *finding).agg(F.min(F.struct(*FEATURES)).alias("least"))
+    once = once.select("label", *finding, "least.*")
+    kinds = [once.filter(F.col("label") == k).orderBy(F.xxhash64(*finding), *finding).limit(per_kind) for k in (0.0, 1.0)]
     return kinds[0].union(kinds[1])
 
 
