@@ -1,6 +1,8 @@
 """Secret scans with a random forest against false positives (DataFrame functions only).
 
-Candidates are runs of token characters with a digit.  Features: length, class
+Candidates are runs of token characters with a digit, dotted tokens, passwords
+in URLs, and whatever is assigned to a credential word (any length and
+characters but white space; of a quoted value the part to the first space).  Features: length, class
 transitions between characters, dictionary coverage, the document's path and
 the words beside the candidate.  A random forest, trained on labelled
 findings, tells secrets from card numbers, digests, identifiers and the like.
@@ -9,7 +11,9 @@ Defined results:
 
 * null or empty text: no candidates; null path: no path words;
 * a candidate that occurs twice in one text is one finding per place (a
-  finding carries its offset) and all places are masked;
+  finding carries its offset) and all places are masked; a secret shorter than
+  ``LONG`` characters or without a digit is masked where it was found only;
+* trailing punctuation is not part of a value without quotes;
 * repeated rows: each row has its own findings;
 * no labelled findings, or labels of one kind only: that kind is the verdict
   (none at all: no candidate is a secret);
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, pack
 
-#: Candidate form, words that name a credential, words of sample paths.
+#: Candidate forms, words that name a credential, words of sample paths.
 RUN = "[A-Za-z0-9+/_-]"
 CREDENTIAL_WORDS = ("password passwd passphrase pwd secret token api[_-]?key access[_-]?key private[_-]?key authorization auth "
                     "credential bearer")
@@ -34,14 +38,23 @@ CREDENTIAL_WORDS = ("password passwd passphrase pwd secret token api[_-]?key acc
 _NAME = "(?i:" + "|".join(CREDENTIAL_WORDS.split()) + ")(?:[0-9]+|(?i:s))?(?:[_-][A-Za-z0-9_-]*)?"
 _ASSIGN = _NAME + r"[\"']?\s*(?:=>|:=|==?|:)\s*"
 _SCHEME = r"(?:(?i:bearer|basic|token)\s+)?"
-CANDIDATE = rf"{RUN}{{12,}}"
+_VALUE = r"(?:\"[^\s\"]+|'[^\s']+|[^\s\"']\S*(?<![,;.)\]}>\"']))"
+#: What stands before a value inside its match; the rest is the candidate.
+PREFIX = rf"^(?:{_ASSIGN}{_SCHEME}[\"']?|(?i:bearer)[ \t]+|://[^\s/:@]*:)"
+DOTTED = r"[A-Za-z0-9_-]{2,}(?:\.[A-Za-z0-9_-]{6,}){2,}"
+CANDIDATE = "|".join([
+    rf"(?=[paPAsStTcCbB]){_ASSIGN}{_SCHEME}{_VALUE}",
+    rf"(?i:bearer)[ \t]+(?=[^\s0-9]*[0-9]){RUN}[A-Za-z0-9+/_.=~-]*",
+    r"://[^\s/:@]*:[^\s\"'<>]+(?=@)",
+    rf"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z._-]*[0-9]){DOTTED}",
+    rf"(?<!{RUN})(?=[A-Za-z+/_-]*[0-9])(?!{RUN}*{_ASSIGN}){RUN}{{12,}}"])
 SAMPLE_WORDS = "test tests example examples sample mock fixture fixtures docs dummy"
 KEY_FORM = (r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}|"
             r"sk-[A-Za-z0-9]{20,}|[sr]k_(live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|xox[abp]-[A-Za-z0-9-]{10,}|"
             r"eyJ[A-Za-z0-9_-]{6,}(\.[A-Za-z0-9_-]{6,}){2,})$")
 #: Values that only stand for a secret.
 REFERENCE = r"(?i)^(true|false|null|none|undefined|required|optional|[$%]?[{<(].*)$"
-#: Characters that an assigned value beyond doubt has at least.
+#: Characters from which a secret with a digit is masked at all its places in a text.
 LONG = 8
 #: Characters of context kept on each side of a candidate.
 CONTEXT = 48
@@ -62,21 +75,23 @@ def candidates(df: DataFrame, text: str = "text", path: str = "source") -> DataF
     each piece knows its neighbours; whole texts are read, never prefixes.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    found = F.filter(F.regexp_extract_all(body, F.lit(f"({CANDIDATE})"), 1), lambda c: c.rlike("[0-9]"))
-    hits = df.select("key", F.col(path).alias("path"), body.alias("body"), F.array_distinct(found).alias("found"))
-    hits = hits.filter(F.size("found") > 0).select("key", "path", "body", F.explode("found").alias("candidate"))
-    # places: split at the candidate itself, with the token characters around it ruled out
-    exact = F.concat(F.lit(r"(?<![A-Za-z0-9+/_-])\Q"), F.col("candidate"), F.lit(r"\E(?![A-Za-z0-9+/_-])"))
-    placed = hits.select("key", "path", "candidate", F.split("body", exact).alias("parts"))
-    starts = F.transform(F.slice("parts", 1, F.size("parts") - 1), lambda p, i: F.struct(
-        i.alias("nth"), F.char_length(p).alias("chars"),
-        F.substring(F.get("parts", i), -CONTEXT, CONTEXT).alias("before"),
-        F.substring(F.get("parts", i + 1), 1, CONTEXT).alias("after")))
-    ends = F.transform("places", lambda x, i: F.struct(
-        (F.aggregate(F.slice("places", 1, i + 1), F.lit(0), lambda a, y: a + y.chars)
-         + i * F.char_length("candidate")).alias("offset"), x.before.alias("before"), x.after.alias("after")))
-    return placed.withColumn("places", starts).select("key", "path", "candidate", F.explode(ends).alias("place")).select(
-        "key", "path", "candidate", "place.*")
+    cut = df.select("key", F.col(path).alias("path"), body.alias("body"),
+                    F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)).alias("found"))
+    cut = cut.filter(F.size("found") > 0).select("key", "path", "found", F.split("body", CANDIDATE).alias("parts"))
+    before = lambda i: F.concat(F.when(i > 0, F.get("found", i - 1)).otherwise(""), F.get("parts", i))
+    places = F.transform("found", lambda m, i: F.struct(
+        m.alias("match"), F.char_length(F.regexp_extract(m, PREFIX, 0)).alias("skip"),
+        F.substring(before(i), -CONTEXT, CONTEXT).alias("before"),
+        F.substring(F.concat(F.get("parts", i + 1), F.coalesce(F.get("found", i + 1), F.lit(""))), 1, CONTEXT).alias("after"),
+        (F.char_length(F.get("parts", i)) + F.char_length(m)).alias("chars")))
+    cut = cut.select("key", "path", places.alias("places"))
+    ends = F.aggregate("places", F.array(F.lit(0)), lambda a, y: F.concat(a, F.array(F.element_at(a, -1) + y.chars)))
+    placed = cut.withColumn("ends", ends).select("key", "path", F.explode(F.transform("places", lambda x, i: F.struct(
+        (F.get("ends", i + 1) - F.char_length(x.match) + x.skip).alias("offset"),
+        F.substr(x.match, x.skip + 1).alias("candidate"),
+        F.substring(F.concat(x.before, F.substr(x.match, F.lit(1), x.skip)), -CONTEXT, CONTEXT).alias("before"),
+        x.after.alias("after")))).alias("place"))
+    return placed.select("key", "path", "place.candidate", "place.offset", "place.before", "place.after")
 
 
 def frequent_words(df: DataFrame, text: str = "text", size: int = DICTIONARY_WORDS) -> DataFrame:
@@ -194,11 +209,15 @@ def mask_secrets(df: DataFrame, text: str = "text", path: str = "source", mask:
     """
     packed = pack(df, key=F.xxhash64(F.col(text), F.col(path)), text=F.col(text), path=F.col(path))
     verdicts = scan(packed.select("key", "text", "path"), "text", "path", labelled).filter("is_secret")
-    secrets = verdicts.groupBy("key").agg(F.collect_set("candidate").alias("found"))
-    secrets = secrets.select("key", F.sort_array(F.transform(
-        "found", lambda c: F.struct(-F.char_length(c), c.alias("c")))).alias("found"))
-    masked = F.aggregate("found", F.col("text"), lambda t, s: F.regexp_replace(
-        t, F.concat(F.lit(r"(?<![A-Za-z0-9+/_-])\Q"), s.c, F.lit(r"\E(?![A-Za-z0-9+/_-])")), F.lit(mask)))
+    # short ones where they were found, the last place first; then long ones at all places, the longest first
+    everywhere = (F.char_length("candidate") >= LONG) & F.col("candidate").rlike("[0-9]")
+    literal = lambda c: F.concat(F.lit("\\Q"), F.replace(c, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    form = F.when(everywhere, F.concat(F.lit(f"(?<!{RUN})"), literal(F.col("candidate")), F.lit(f"(?!{RUN})"))).otherwise(
+        F.concat(F.lit("(?<="), literal(F.col("before")), F.lit(")"), literal(F.col("candidate"))))
+    turn = F.when(everywhere, -F.char_length("candidate")).otherwise(-F.col("offset"))
+    secrets = verdicts.groupBy("key").agg(F.sort_array(F.collect_set(F.struct(
+        everywhere.alias("long"), turn.alias("turn"), form.alias("form")))).alias("found"))
+    masked = F.aggregate("found", F.col("text"), lambda t, s: F.regexp_replace(t, s.form, F.lit(mask)))
     joined = packed.join(secrets, "key", "left").withColumn(
         "text", F.when(F.col("found").isNotNull(), masked).otherwise(F.col("text")))
     return joined.select(*[(F.col("text") if c == text else F.col("row").getField(c)).alias(c) for c in df.columns])

@@ -89,14 +89,37 @@ def test_labels_are_left_open_where_there_is_doubt(spark):
     key = hashlib.sha1(b"y").hexdigest()
     cases = {f"X-API-Key: {key}": 1, f'SECRET_KEY = "{key}"': 1, f"Authorization: Bearer {key}": 1, f'private_key = "{key}"': 1,
              "at github_pat_" + key[:30]: 1, "at glpat-" + key[:20]: 1, "at sk_live_" + key[:24]: 1, "at AIza" + key[:35]: 1,
-             f'etag = "{key}"': None, f"digest: {key}": None, f"commit {key} merged": 0,
-             "see 4111111111111111 there": 0}
+             f'etag = "{key}"': None, f"digest: {key}": None, "pwd: swordfish": None, f"commit {key} merged": 0,
+             "see 4111111111111111 there": 0, "token: ${API_TOKEN}": 0}
     found = secrets.candidates(held(cases, spark))
     got = {r["key"]: r["label"] for r in secrets.weak_labels(found).collect()}
     assert got == dict(enumerate(cases.values()))
     rows = secrets.with_features(secrets.weak_labels(found.union(found)), spark.createDataFrame([], "word string"))
     sample = secrets.labelled_sample(rows)
-    assert sorted(r["label"] for r in sample.collect()) == [0.0] * 2 + [1.0] * 8
+    assert sorted(r["label"] for r in sample.collect()) == [0.0] * 3 + [1.0] * 8
+
+
+def test_values_of_any_form_are_candidates_and_masked(spark):
+    key, jwt = hashlib.sha1(b"z").hexdigest(), "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dozjgNryP4J3jVmNHl0w5N"
+    forms = {'password = "Tr0ub4dor&3"': "Tr0ub4dor&3", "passwd: correct-horse-battery,": "correct-horse-battery",
+             "postgres://me:p4ss!w#rd@db:5432/x": "p4ss!w#rd", f"sent {jwt} on": jwt, f"token = {jwt}": jwt,
+             "my_password2024 = 'ab\\E$1'": "ab\\E$1", "pwd=ab token: cd": "cd"}
+    texts = [*forms, *[f'é api_key = "{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in range(40)],
+             *[f"commit {hashlib.sha1(str(-1 - i).encode()).hexdigest()} merged" for i in range(40)]]
+    docs = held(texts, spark)
+    found = {}
+    for r in secrets.candidates(docs).collect():
+        assert texts[r["key"]][r["offset"]:].startswith(r["candidate"])
+        assert texts[r["key"]][:r["offset"]].endswith(r["before"])
+        assert texts[r["key"]][r["offset"] + len(r["candidate"]):].startswith(r["after"])
+        found.setdefault(r["key"], []).append(r["candidate"])
+    for i, secret in enumerate(forms.values()):
+        assert secret in found[i]
+    assert all(len(found[i]) == 1 for i in range(len(forms) - 1)) and found[len(forms) - 1] == ["ab", "cd"]
+    masked = {r["key"]: r["text"] for r in secrets.mask_secrets(docs).collect()}
+    for i, (text, secret) in enumerate(forms.items()):
+        assert masked[i] == ("pwd=[SECRET] token: [SECRET]" if secret == "cd" else text.replace(secret, "[SECRET]"))
+    assert all(masked[i] == t for i, t in enumerate(texts) if t.startswith("commit"))
 
 
 def slow_score(text, words, vector):
