@@ -1,4 +1,7 @@
-"""Benchmark decontamination: block-max WAND over a BM25 index of test items.
+"""Benchmark decontamination: a dense block-max filter over a BM25 index of test items.
+
+The filter stands in for WAND: no cursors, pivots or skips, each passage sums
+its terms' bounds for all blocks.  Its results are complete.
 
 Test items are the indexed side, training passages the queries.  An impact is
 a term's BM25 share of its item's full score, so one threshold fits items of
