@@ -41,7 +41,8 @@ _SCHEME = r"(?:(?i:bearer|basic|token)\s+)?"
 _VALUE = r"(?:\"[^\s\"]+|'[^\s']+|[^\s\"']\S*(?<![,;.)\]}>\"']))"
 #: What stands before a value inside its match; the rest is the candidate.
 PREFIX = rf"^(?:{_ASSIGN}{_SCHEME}[\"']?|(?i:bearer)[ \t]+|://[^\s/:@]*:)"
-DOTTED = r"[A-Za-z0-9_-]{2,}(?:\.[A-Za-z0-9_-]{6,}){2,}"
+#: No repeated group: Java's would recurse once a part.
+DOTTED = r"[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{6,}[A-Za-z0-9_.-]*(?<!\.)"
 CANDIDATE = "|".join([
     rf"(?=[paPAsStTcCbB]){_ASSIGN}{_SCHEME}{_VALUE}",
     rf"(?i:bearer)[ \t]+(?=[^\s0-9]*[0-9]){RUN}[A-Za-z0-9+/_.=~-]*",
@@ -51,7 +52,7 @@ CANDIDATE = "|".join([
 SAMPLE_WORDS = "test tests example examples sample mock fixture fixtures docs dummy"
 KEY_FORM = (r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}|"
             r"sk-[A-Za-z0-9]{20,}|[sr]k_(live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|xox[abp]-[A-Za-z0-9-]{10,}|"
-            r"eyJ[A-Za-z0-9_-]{6,}(\.[A-Za-z0-9_-]{6,}){2,})$")
+            r"eyJ[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_.-]{6,})$")
 #: Values that only stand for a secret.
 REFERENCE = r"(?i)^(true|false|null|none|undefined|required|optional|[$%]?[{<(].*)$"
 #: Characters from which a secret with a digit is masked at all its places in a text.

@@ -105,7 +105,8 @@ def test_values_of_any_form_are_candidates_and_masked(spark):
              "postgres://me:p4ss!w#rd@db:5432/x": "p4ss!w#rd", f"sent {jwt} on": jwt, f"token = {jwt}": jwt,
              "my_password2024 = 'ab\\E$1'": "ab\\E$1", "pwd=ab token: cd": "cd"}
     texts = [*forms, *[f'é api_key = "{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in range(40)],
-             *[f"commit {hashlib.sha1(str(-1 - i).encode()).hexdigest()} merged" for i in range(40)]]
+             *[f"commit {hashlib.sha1(str(-1 - i).encode()).hexdigest()} merged" for i in range(40)],
+             "abcdef1." * 20000, "eyJhbGci." * 20000]
     docs = held(texts, spark)
     found = {}
     for r in secrets.candidates(docs).collect():
