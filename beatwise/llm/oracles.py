@@ -96,4 +96,93 @@ SELECT doc_id, CASE WHEN k = 0 THEN '' ELSE lpad(bin(place), k::INT, '0') END AS
 FROM pick
 """
 
-ORACLES = {"op1_warc": WARC, "op3_sharding": SHARDING, "op5_host_quality": HOST_QUALITY, "op8_block_anchors": BLOCK_ANCHORS, "op9_suffix_dedup": SUFFIX_DEDUP}
+#: Centroids as rows (c, i, v); each round unrolled: all distances, the nearest, floors of the means.
+_CLUSTER_ROUND = """
+d{r} AS (SELECT v.r, c.c, sum((v.x - c.v) * (v.x - c.v)) AS d FROM x v JOIN c{r} c USING (i) GROUP BY v.r, c.c),
+a{r} AS (SELECT r, c, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+_CLUSTER_MEANS = """,
+m{r} AS (SELECT a.c, x.i, sum(x.x) AS s, count(*) AS n FROM a{r} a JOIN x USING (r) GROUP BY a.c, x.i),
+c{next} AS (SELECT c.c, c.i, CASE WHEN n IS NULL THEN v WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END AS v
+            FROM c{r} c LEFT JOIN m{r} USING (c, i))"""
+
+CENTROID_CLUSTERS = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda y: floor(256 * y::DOUBLE)) AS vec FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NOT NULL AND abs(256 * y::DOUBLE) < 134217728)) = 64),
+x AS (SELECT r, unnest(range(64)) AS i, unnest(vec)::HUGEINT AS x FROM e),
+f AS (SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, vec) - 1 AS c FROM e
+      QUALIFY c < 40),
+c0 AS (SELECT c, i, x AS v FROM f JOIN x USING (r)),""" + ",".join(
+    _CLUSTER_ROUND.format(r=r) + (_CLUSTER_MEANS.format(r=r, next=r + 1) if r < 5 else "") for r in range(6)) + """,
+g AS (SELECT c, sha256(string_agg(v::BIGINT::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c5 GROUP BY c)
+SELECT vec_id, c::INT AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM e JOIN a5 USING (r) JOIN g USING (c)
+"""
+
+#: CRC-32 from its bits; near words share a pattern with one letter masked or taken out; roots by recursion.
+SPELLING_GROUPS = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, z: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS t),
+run AS (
+  SELECT id, run, count(*) AS n FROM (
+    SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM (
+      SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run
+      FROM documents) WHERE length(run) >= 6) GROUP BY ALL),
+code AS (SELECT *, hex(encode(id || ':' || run)) AS x FROM run),
+mark AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295] || list_transform(range(length(x) // 2),
+    lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+  FROM code, crc),
+occ AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM mark),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM occ WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+p AS (SELECT word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS mask,
+             substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM p a JOIN p b ON a.mask = b.mask AND a.word <> b.word
+  UNION SELECT p.word, w.word, w.n FROM p JOIN w ON p.cut = w.word
+  UNION SELECT w.word, p.word, p.n FROM p JOIN w ON p.cut = w.word),
+top AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS m FROM near GROUP BY word),
+f AS (SELECT w.word, CASE WHEN m >= 5 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN m >= 5 * n THEN m END AS form_n FROM w LEFT JOIN top USING (word)),
+up AS (SELECT word, word AS root FROM f UNION ALL
+       SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n FROM f JOIN up USING (word)
+WHERE root IN (SELECT word FROM f WHERE form IS NULL)
+"""
+
+#: Targets in closed form: by cap over weight, a source is full if its share of what is left would exceed its cap.
+SOURCE_MIX = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, md5(concat(coalesce(doc_id::VARCHAR, ''), '|', md5(coalesce(text, '')))) AS key,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::HUGEINT AS source_size,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::HUGEINT AS w FROM d GROUP BY source),
+o AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(w) OVER (ORDER BY source_size * 3.0 / w, source DESC NULLS LAST
+           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS shared,
+         coalesce(sum(3 * source_size) OVER (ORDER BY source_size * 3.0 / w, source DESC NULLS LAST
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given FROM s),
+c AS (SELECT *, w * (total - given) > 3 * source_size * shared AS full_ FROM o),
+t AS (
+  SELECT source, source_size, CASE WHEN full_ THEN (3 * source_size)::DOUBLE ELSE
+    (w * (max(total) OVER () - coalesce(sum(3 * source_size) FILTER (full_) OVER (), 0)))::DOUBLE
+      / (sum(w) FILTER (NOT full_) OVER ())::DOUBLE END AS target FROM c),
+k AS (
+  SELECT doc_id, size, source_size, target, target / nullif(source_size::DOUBLE, 0) AS rate,
+         row_number() OVER (PARTITION BY d.source ORDER BY size, key) AS place,
+         ('0x' || substr(md5(concat('13:', coalesce(d.source, ''))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
+       (size * coalesce(floor(rate * place + u) - floor(rate * (place - 1) + u), 0))::BIGINT AS taken
+FROM k
+"""
+
+ORACLES = {"op11_centroid_clusters": CENTROID_CLUSTERS, "op12_spelling_groups": SPELLING_GROUPS, "op13_source_mix": SOURCE_MIX,
+           "op1_warc": WARC, "op3_sharding": SHARDING, "op5_host_quality": HOST_QUALITY, "op8_block_anchors": BLOCK_ANCHORS, "op9_suffix_dedup": SUFFIX_DEDUP}

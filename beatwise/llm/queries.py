@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import block_repeats, suffix_repeats
+from .centroids import cluster
 from .decontaminate import find_leaks
 from .host_quality import judge_hosts
+from .mixing import mix_sources
 from .pieces import encode_decode
 from .pseudo_likelihood import score_documents
 from .secrets import scan
 from .shards import assign_shards
 from .simhash import near_duplicates
+from .spellings import LOSES_LETTER, spelling_variants
 from .warc import archive_folder, mark_revisits, read_archives, write_archives
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -96,6 +99,25 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector, with what its cluster adds up to."""
+    found = cluster(_read(spark, sf_dir, "embeddings"), dimensions=64, k=40, rounds=5, seed=2, keep=["vec_id"])
+    return found.select("vec_id", F.col("cluster.number").alias("cluster"), F.col("cluster.distance").alias("distance"),
+                        F.col("cluster.inertia").alias("cluster_inertia"), F.col("cluster.total_inertia").alias("inertia"),
+                        F.col("cluster.centroid_sha256").alias("centroid_sha256"))
+
+
+def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its more frequent form and the root of its forms."""
+    return spelling_variants(_read(spark, sf_dir, "documents"), loses_letter=LOSES_LETTER)
+
+
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    mixed = mix_sources(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.select("doc_id", *[F.col(f"mix.{c}").alias(c) for c in ("size", "source_size", "target", "taken")])
+
+
 QUERIES = {
     "op1_warc": warc,
     "op2_pseudo_likelihood": pseudo_likelihood,
@@ -107,4 +129,7 @@ QUERIES = {
     "op8_block_anchors": block_anchors,
     "op9_suffix_dedup": suffix_dedup,
     "op10_secret_scan": secret_scan,
+    "op11_centroid_clusters": centroid_clusters,
+    "op12_spelling_groups": spelling_groups,
+    "op13_source_mix": source_mix,
 }

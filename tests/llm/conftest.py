@@ -10,6 +10,7 @@ SF = "/root/testdata/sf0.001"
 DOCS = ("doc_id bigint, text string, lang string, source string, n_chars bigint, `row` string, id bigint, chunk int, "
         "key string, hash bigint, size int, words array<string>, fp bigint, label double, kept string")
 PAGES = "page_id bigint, url string, html string, digest string, size int, id string"
+VECTORS = "vec_id bigint, embedding array<float>, label int, cluster string, mix int, id int, `row` string, vec string"
 ITEMS = "item_id bigint, text string, id string, block int, words string"
 
 
@@ -49,8 +50,19 @@ def messy_items(docs):
             (5, texts[2], "i", 1, "w"), (5, texts[2], "i", 1, "w"), (6, "single", "i", 1, "w")]
 
 
-def write_tables(spark, folder, docs, pages, items):
-    for name, rows, schema in (("documents", docs, DOCS), ("pages", pages, PAGES), ("benchmark", items, ITEMS)):
+def messy_vectors():
+    rng = random.Random(11)
+    make = lambda: [rng.gauss(0, 1) for _ in range(64)]
+    hot, inf, nan = make(), float("inf"), float("nan")
+    odd = [None, [], [1.0] * 63, [1.0] * 65, [None] * 64, [inf] * 64, hot[:-1] + [None], hot[:-1] + [nan], hot[:-1] + [-inf],
+           hot[:-1] + [3e38], [0.0] * 64, [-0.0] * 64, [-1e-9] * 64, [500000.0] * 64, [-500000.0] * 64]
+    vectors = odd + [hot] * 60 + [make() for _ in range(80)]
+    return [(None if i % 31 == 7 else i % 120, v, 1, "c", 2, 3, "r", "v") for i, v in enumerate(vectors)]
+
+
+def write_tables(spark, folder, docs, pages, items, vectors):
+    for name, rows, schema in (("documents", docs, DOCS), ("pages", pages, PAGES), ("benchmark", items, ITEMS),
+                               ("embeddings", vectors, VECTORS)):
         spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
@@ -58,19 +70,19 @@ def write_tables(spark, folder, docs, pages, items):
 @pytest.fixture(scope="session")
 def messy(spark, tmp_path_factory):
     docs = messy_documents()
-    return write_tables(spark, tmp_path_factory.mktemp("messy"), docs, messy_pages(), messy_items(docs))
+    return write_tables(spark, tmp_path_factory.mktemp("messy"), docs, messy_pages(), messy_items(docs), messy_vectors())
 
 
 @pytest.fixture(scope="session")
 def empty(spark, tmp_path_factory):
-    return write_tables(spark, tmp_path_factory.mktemp("empty"), [], [], [])
+    return write_tables(spark, tmp_path_factory.mktemp("empty"), [], [], [], [])
 
 
 @pytest.fixture
 def duck():
     def connect(folder):
         con = duckdb.connect()
-        for t in ("documents", "pages", "benchmark"):
+        for t in ("documents", "pages", "benchmark", "embeddings"):
             path = f"{folder}/{t}.parquet"
             if os.path.exists(path):
                 files = f"{path}/*.parquet" if os.path.isdir(path) else path

@@ -82,4 +82,4 @@ def test_empty_documents(spark, empty):
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "simhash_dedup", "benchmark_decontamination", "secret_scans", "sentencepiece"]
-    assert {int(k.split("_")[0][2:]) for k in QUERIES} == set(range(1, 11))
+    assert {int(k.split("_")[0][2:]) for k in QUERIES} == set(range(1, 14))
