@@ -1,48 +1,44 @@
-"""Nearest-site assignment by great-circle distance, without a join.
-
-The sites are packed into search trees over the unit sphere and broadcast;
-every point descends the tree inside an Arrow-batched function, so the plan is
-map-only and lazy: no shuffle, no staged table, one answer whatever the sizes.
-
-A tree halves its sites again and again and keeps the bounding box of every
-half.  A point first takes the closest site of the leaf its way down ends in;
-that distance prunes every box that lies farther.  The work per point grows
-with the logarithm of the number of sites n for spread or clustered sites; for
-sites on a line seen from aside, whose distances hardly differ, about with the
-square root of n (21 leaves of 16 among 10,000 sites).
-
-Trees are bounded: above ``block_sites`` sites, the table is split by position
-into blocks of at most that many, each its own broadcast tree.  A point asks
-the blocks one after the other and passes its best distance on, so a block
-that lies farther costs one box test.
-
-Chord lengths only select; the distance reported and compared (ties go to the
-smaller site id) is the haversine of the candidates within rounding of the
-shortest chord.
+"""Nearest-site assignment by great-circle distance, as joins of cells.
+
+Points and sites live in cells of an octree around the unit sphere.  Level by
+level, every point cell keeps the site cells that can hold the nearest site of
+any of its points: those whose box is no farther than the closest box is at
+most.  Both boxes are the extents of what a cell holds.  The next level joins
+the kept pairs with the children of the site cell (pruned by the bound of the
+parent) and then of the point cell; work is per pair of cells, not of rows, and
+the bound shrinks with the cells, so a point meets few sites however many
+there are.  A point cell is done once its site cells hold at most
+``leaf_sites`` sites; its points are joined to those as one array.  Chord
+lengths only prune, with room for rounding; the distance reported and compared
+(ties go to the smaller site id) is the haversine.
+
+Everything that grows is a table: no site reaches the driver but the at most
+``leaf_sites`` of a site table that is known to be that small, which travel as
+one scalar and need no join; of each level the driver sees two counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from beatwise.functions.columns import EARTH_RADIUS_KM, to_double, unit_vector
-
-# Most sites in one broadcast tree (about 100 bytes each).
-BLOCK_SITES = 500_000
-# Sites of a leaf, and points searched together.
-LEAF = 16
-POINTS_AT_ONCE = 2048
-# Relative and absolute room for rounding in squared chords.
+from beatwise.functions.columns import haversine_km, to_double, unit_vector
+from beatwise.session import write_staged
+
+#: Sites that a point measures itself against, at most (but for sites within metres of each other).
+LEAF_SITES = 32
+#: Finest level: cells of 2 / 2**20 Earth radii (12 m).  Levels go down by two: 16 children on a surface.
+FINEST, STEP = 20, 2
+#: Copies of the children of a site cell that many point cells look at.
+SALTS = 8
+#: Points of a cell above which its points and their candidates are salted, this many points a salt.
+HOT_POINTS = 1_000_000
+#: Relative and absolute room for rounding in squared chords.
 MARGIN, SLACK = 1e-9, 1e-18
 
-_POINT = ["_id", "_lat", "_lon"]
+_AXES = ("x", "y", "z")
 
 
 def prepare_points(df: DataFrame, id_col: str, lat_col: str, lon_col: str,
@@ -61,137 +57,124 @@ def prepare_points(df: DataFrame, id_col: str, lat_col: str, lon_col: str,
     return out.filter(keep)
 
 
-def _sphere(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
-    p, l = np.radians(lat), np.radians(lon)
-    return np.stack((np.cos(p) * np.cos(l), np.cos(p) * np.sin(l), np.sin(p)), axis=1)
-
-
-def _arc_km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
-    p1, l1, p2, l2 = map(np.radians, (lat1, lon1, lat2, lon2))
-    a = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin((l2 - l1) / 2) ** 2
-    return 2 * EARTH_RADIUS_KM * np.arcsin(np.minimum(1.0, np.sqrt(a)))
-
-
-class SiteTree:
-    """Sites in a balanced tree of bounding boxes; the index of a site is its rank by id."""
-
-    def __init__(self, ids: pa.Array, lat: np.ndarray, lon: np.ndarray):
-        order = pc.sort_indices(ids, null_placement="at_start").to_numpy()
-        self.ids, self.lat, self.lon = ids.take(pa.array(order)), lat[order], lon[order]
-        # of sites at one place only the smallest id can be the answer
-        _, keep = np.unique(np.stack((self.lat, self.lon)), axis=1, return_index=True)
-        keep.sort()
-        xyz = _sphere(self.lat[keep], self.lon[keep])
-        self.depth = max(0, int(np.ceil(np.log2(len(keep) / LEAF))))
-        first_leaf = 2 ** self.depth - 1
-        self.low, self.high = np.full((2 * first_leaf + 1, 3), np.inf), np.full((2 * first_leaf + 1, 3), -np.inf)
-        self.leaf = np.full((first_leaf + 1, LEAF), -1, np.int64)
-        self.place = np.full((first_leaf + 1, LEAF, 3), np.inf)
-        waiting = [(0, np.arange(len(keep)))]
-        while waiting:
-            node, own = waiting.pop()
-            self.low[node], self.high[node] = xyz[own].min(axis=0), xyz[own].max(axis=0)
-            if node >= first_leaf:
-                self.leaf[node - first_leaf, :len(own)] = keep[own]
-                self.place[node - first_leaf, :len(own)] = xyz[own]
-                continue
-            axis, half = int(np.argmax(self.high[node] - self.low[node])), len(own) // 2
-            own = own[np.argpartition(xyz[own, axis], half)]
-            waiting += [(2 * node + 1, own[:half]), (2 * node + 2, own[half:])]
-
-    def _gap(self, spot: np.ndarray, node: np.ndarray) -> np.ndarray:
-        """Squared distance from points to boxes."""
-        off = np.maximum(np.maximum(self.low[node] - spot, spot - self.high[node]), 0.0)
-        return np.einsum("ij,ij->i", off, off)
-
-    def _chords(self, spot: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-        off = self.place[leaf] - spot[:, None, :]
-        return np.einsum("ijk,ijk->ij", off, off)
-
-    def nearest(self, lat: np.ndarray, lon: np.ndarray, within: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank of the nearest site and its distance; rank -1 where all are farther than ``within`` km."""
-        rank, km = np.full(len(lat), -1, np.int64), np.full(len(lat), np.nan)
-        for at in range(0, len(lat), POINTS_AT_ONCE):
-            part = slice(at, at + POINTS_AT_ONCE)
-            rank[part], km[part] = self._nearest(lat[part], lon[part], within[part])
-        return rank, km
-
-    def _nearest(self, lat, lon, within):
-        first_leaf, spot = 2 ** self.depth - 1, _sphere(lat, lon)
-        best = (2 * np.sin(np.minimum(within / (2 * EARTH_RADIUS_KM), np.pi / 2))) ** 2
-        room = lambda: best * (1 + MARGIN) + SLACK
-        node = np.zeros(len(lat), np.int64)
-        for _ in range(self.depth):
-            left = 2 * node + 1
-            node = np.where(self._gap(spot, left) <= self._gap(spot, left + 1), left, left + 1)
-        best = np.minimum(best, self._chords(spot, node - first_leaf).min(axis=1))
-        point, node = np.arange(len(lat)), np.zeros(len(lat), np.int64)
-        limit = room()
-        for level in range(self.depth + 1):
-            near = self._gap(spot[point], node) <= limit[point]
-            point, node = point[near], node[near]
-            if level < self.depth:
-                point, node = np.repeat(point, 2), np.stack((2 * node + 1, 2 * node + 2), axis=1).ravel()
-        chord = self._chords(spot[point], node - first_leaf)
-        np.minimum.at(best, point, chord.min(axis=1))
-        row, slot = np.nonzero(chord <= room()[point][:, None])
-        point, site = point[row], self.leaf[node[row] - first_leaf, slot]
-        km = _arc_km(lat[point], lon[point], self.lat[site], self.lon[site])
-        order = np.lexsort((site, km, point))
-        point, site, km = point[order], site[order], km[order]
-        first = np.flatnonzero(np.concatenate(([True], point[1:] != point[:-1]))) if len(point) else np.zeros(0, np.int64)
-        rank, found = np.full(len(lat), -1, np.int64), np.full(len(lat), np.nan)
-        rank[point[first]], found[point[first]] = site[first], km[first]
-        return rank, found
-
-
-def _blocks(sites: DataFrame, block_sites: int) -> Iterator[pa.Table]:
-    """Sites in tables of at most ``block_sites`` rows; usually one, read in one small job."""
-    table = sites.select(*_POINT).limit(block_sites + 1).toArrow()
-    if table.num_rows <= block_sites:
-        yield table
-        return
+def cell_at(level: int) -> Column:
+    """Cell of ``(_x, _y, _z)`` at a level: its three grid numbers in one long."""
+    grid = lambda a: F.least(F.floor((F.col(f"_{a}") + 1) * 2.0 ** (level - 1)), F.lit(2 ** level - 1)).cast("bigint")
+    x, y, z = map(grid, _AXES)
+    return F.shiftleft(x, 42).bitwiseOR(F.shiftleft(y, 21)).bitwiseOR(z)
+
+
+def _on_sphere(df: DataFrame) -> DataFrame:
     x, y, z = unit_vector("_lat", "_lon")
-    placed = sites.groupBy("_lat", "_lon").agg(F.min("_id").alias("_id")).withColumns({"_x": x, "_y": y, "_z": z})
-    waiting = [(placed, placed.count())]
-    while waiting:
-        part, n = waiting.pop()
-        if n <= block_sites:
-            yield part.select(*_POINT).toArrow()
-            continue
-        span = part.agg(*[(F.max(c) - F.min(c)).alias(c) for c in ("_x", "_y", "_z")]).first().asDict()
-        axis = max(span, key=span.get)
-        cut = part.approxQuantile(axis, [0.5], 0.02)[0]
-        below = part.filter(F.col(axis) < cut)
-        m = below.count()
-        if not 0 < m < n:  # the median is the smallest value
-            below = part.filter(F.col(axis) <= cut)
-            m = below.count()
-            above = part.filter(F.col(axis) > cut)
-        else:
-            above = part.filter(F.col(axis) >= cut)
-        if not 0 < m < n:
-            raise ValueError(f"cannot split {n} sites that share one place on the sphere")
-        waiting += [(below, m), (above, n - m)]
-
-
-def _search_udf(tree, kind: str):
-    @F.arrow_udf(kind)
-    def search(lat: pa.Array, lon: pa.Array, within: pa.Array) -> pa.Array:
-        sites = tree.value
-        far = within.fill_null(np.inf).to_numpy(zero_copy_only=False)
-        rank, km = sites.nearest(lat.to_numpy(zero_copy_only=False), lon.to_numpy(zero_copy_only=False), far)
-        index = pa.array(np.maximum(rank, 0), mask=rank < 0)
-        return pa.StructArray.from_arrays([pa.array(km), sites.ids.take(index)], ["d", "sid"], mask=pa.array(rank < 0))
-
-    return search
+    return df.withColumns({"_x": x, "_y": y, "_z": z})
+
+
+def _cells(df: DataFrame, level: int, name: str, parent: int | None = None) -> DataFrame:
+    """Cells of a level with the extents of their rows: ``name``, ``name_n``, ``name_box`` (and ``name_up``)."""
+    box = F.struct(*[f(f"_{a}").alias(f"{a}{end}") for a in _AXES for f, end in ((F.min, "0"), (F.max, "1"))])
+    above = [] if parent is None else [cell_at(parent).alias(f"{name}_up")]
+    return df.groupBy(cell_at(level).alias(name), *above).agg(F.count(F.lit(1)).alias(f"{name}_n"), box.alias(f"{name}_box"))
+
+
+def _squares(a: str, b: str, far: bool) -> Column:
+    """Square of the least (or, ``far``, the largest) chord between two boxes."""
+    total = F.lit(0.0)
+    for axis in _AXES:
+        ahead = F.col(f"{a}.{axis}{1 if far else 0}") - F.col(f"{b}.{axis}{0 if far else 1}")
+        behind = F.col(f"{b}.{axis}{1 if far else 0}") - F.col(f"{a}.{axis}{0 if far else 1}")
+        gap = F.greatest(ahead, behind) if far else F.greatest(ahead, behind, F.lit(0.0))
+        total = total + gap * gap
+    return total
+
+
+def _kept(pairs: DataFrame) -> DataFrame:
+    """Pairs ``(p, p_n, p_box, s, s_n, s_box)`` within the bound of their point cell, with bound and sites left."""
+    own = Window.partitionBy("p")
+    least = F.min(_squares("p_box", "s_box", far=True)).over(own)
+    bounded = pairs.withColumn("bound", least * (1 + MARGIN) + SLACK)
+    near = bounded.filter(_squares("p_box", "s_box", far=False) <= F.col("bound"))
+    return near.withColumn("left", F.sum("s_n").over(own))
+
+
+def _first_level(sites: DataFrame) -> int:
+    """Finest level at which the sites touch at most two cells along each axis."""
+    span = sites.agg(*[(F.max(f"_{a}") - F.min(f"_{a}")).alias(a) for a in _AXES]).first()
+    widest = max(span[a] for a in _AXES)
+    return min(FINEST, max(0, math.floor(math.log2(2 / widest)))) if widest > 0 else FINEST
+
+
+def _best(candidates: Column) -> Column:
+    """Closest of an array of sites, as ``struct<d, sid>``."""
+    far = lambda c: haversine_km("_lat", "_lon", c["lat"], c["lon"])
+    return F.array_min(F.transform(candidates, lambda c: F.struct(far(c).alias("d"), c["id"].alias("sid"))))
+
+
+def _measured(points: DataFrame, done: DataFrame, sites: DataFrame, level: int, hot: int, leaf_sites: int) -> DataFrame:
+    """Points whose cell is in ``done`` (its pairs), each with its closest site.
+
+    ``hot`` is the number of cells with more than ``HOT_POINTS`` points: at
+    most the points over that number, so their list may be broadcast.
+    """
+    places = sites.select(cell_at(level).alias("s"), F.struct(F.col("_lat").alias("lat"), F.col("_lon").alias("lon"),
+                                                              F.col("_id").alias("id")).alias("site"))
+    # one array a cell; only sites that the finest cells cannot part make more
+    parts = F.greatest(F.lit(1), F.ceil(F.col("left") / leaf_sites)) if level == FINEST else F.lit(1)
+    salts = (F.floor(F.col("p_n") / HOT_POINTS) + 1).cast("int")
+    # left outer: outer joins that keep the array's side small are still split by AQE on the points' side
+    rows = done.select("p", "s", parts.cast("int").alias("parts"), salts.alias("salts")).join(places, "s")
+    many = rows.groupBy("p", "salts", F.pmod(F.xxhash64("site"), F.col("parts")).alias("part")).agg(
+        F.collect_list("site").alias("sites"))
+    here = points.withColumn("p", cell_at(level))
+    key = ["p"]
+    if hot:
+        crowded = F.broadcast(done.filter(F.col("p_n") > HOT_POINTS).select("p", salts.alias("deal")).distinct())
+        salt = F.pmod(F.xxhash64("_row"), F.coalesce("deal", F.lit(1))).cast("int")
+        here = here.join(crowded, "p", "left").withColumn("salt", salt)
+        many, key = many.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))), ["p", "salt"]
+    best = here.join(many, key).select("_row", "_id", _best(F.col("sites")).alias("_best"))
+    if level < FINEST:
+        return best
+    return best.groupBy("_row", "_id").agg(F.min("_best").alias("_best"))
+
+
+def _searched(points: DataFrame, sites: DataFrame, leaf_sites: int) -> DataFrame:
+    """``(_id, _best)`` of every point, over the levels."""
+    spark = points.sparkSession
+    points = write_staged(_on_sphere(points).withColumn("_row", F.monotonically_increasing_id()), "points")
+    level, parts, pairs = _first_level(sites), [], None
+    while True:
+        if pairs is None:  # at most two cells along each axis: eight
+            top = _cells(sites, level, "s").agg(F.collect_list(F.struct("s", "s_n", "s_box"))).scalar()
+            pairs = _cells(points, level, "p").withColumn("_top", top).select("p", "p_n", "p_box", F.inline("_top"))
+        kept = write_staged(_kept(pairs), "pairs")
+        done = (F.col("left") <= leaf_sites) | F.lit(level >= FINEST)
+        open_pairs, hot = kept.agg(F.count_if(~done), F.count_if(done & (F.col("p_n") > HOT_POINTS))).first()
+        parts.append(_measured(points, kept.filter(done), sites, level, hot, leaf_sites))
+        if not open_pairs:
+            break
+        rest = kept.filter(~done)
+        points = write_staged(points.withColumn("p", cell_at(level)).join(
+            rest.select("p").distinct(), "p", "left_semi").drop("p"), "points")
+        below = min(FINEST, level + STEP)
+        salt = lambda c: F.pmod(F.xxhash64(c), F.lit(SALTS)).cast("int")
+        children = _cells(sites, below, "c", level).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        asks = rest.select("p", "p_box", "bound", F.col("s").alias("c_up"), salt("p").alias("salt"))
+        closer = asks.join(children, ["c_up", "salt"]).filter(_squares("p_box", "c_box", far=False) <= F.col("bound"))
+        closer = closer.select(F.col("p").alias("p_up"), F.col("c").alias("s"), F.col("c_n").alias("s_n"),
+                               F.col("c_box").alias("s_box"))
+        pairs = _cells(points, below, "p", level).join(closer, "p_up").drop("p_up")
+        level = below
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.select("_id", "_best")
 
 
 def nearest_site(points: DataFrame, sites: DataFrame, *,
                  point_id: str, point_lat: str, point_lon: str,
                  site_id: str, site_lat: str, site_lon: str,
                  coord_kind: str = "double", drop_zero_sites: bool = False,
-                 per_point_id: bool = True, block_sites: int = BLOCK_SITES,
+                 per_point_id: bool = True, leaf_sites: int = LEAF_SITES, few_sites: int | None = None,
                  distance_col: str = "distance") -> DataFrame:
     """Closest site of every point by great-circle distance (km).
 
@@ -202,27 +185,26 @@ def nearest_site(points: DataFrame, sites: DataFrame, *,
     non-finite or zero coordinates are skipped; sites too, but zero ones only
     with ``drop_zero_sites``.
 
-    Building reads the sites (a job over the site table); the points are read
-    when the result is.
+    Building runs a small job over the sites.  A table of at most
+    ``few_sites`` places (by default ``leaf_sites``) is then measured as a
+    whole in one lazy plan without a join; above that, building stages the
+    points and walks down the levels.
     """
-    if block_sites < 1:
-        raise ValueError("block_sites must be positive")
-    spark = points.sparkSession
+    if leaf_sites < 1:
+        raise ValueError("leaf_sites must be positive")
     found = prepare_points(points, point_id, point_lat, point_lon, coord_kind, True)
     located = prepare_points(sites, site_id, site_lat, site_lon, coord_kind, drop_zero_sites)
-    sid_type = sites.schema[site_id].dataType
-    best_type = StructType([StructField("d", DoubleType()), StructField("sid", sid_type)])
-    found = found.withColumn("_best", F.lit(None).cast(best_type))
-    any_site = False
-    for table in _blocks(located, block_sites):
-        if table.num_rows:
-            any_site = True
-            ids = table["_id"].combine_chunks()
-            tree = spark.sparkContext.broadcast(SiteTree(ids, table["_lat"].to_numpy(), table["_lon"].to_numpy()))
-            search = _search_udf(tree, best_type.simpleString())
-            found = found.withColumn("_best", F.least("_best", search("_lat", "_lon", F.col("_best.d"))))
-    # every point has a nearest site unless there is none (a filter on the result would search twice)
-    rows = (found if any_site else found.limit(0)).select("_id", "_best")
+    # of sites at one place only the smallest id can be the answer
+    places = located.groupBy("_lat", "_lon").agg(F.min("_id").alias("_id"))
+    few = leaf_sites if few_sites is None else few_sites
+    seen = places.limit(few + 1).count()
+    if seen <= few:
+        listed = places.agg(F.collect_list(F.struct(F.col("_lat").alias("lat"), F.col("_lon").alias("lon"),
+                                                    F.col("_id").alias("id")))).scalar()
+        found = (found if seen else found.limit(0)).withColumn("_sites", listed)
+        rows = found.select("_id", _best(F.col("_sites")).alias("_best"))
+    else:
+        rows = _searched(found, write_staged(_on_sphere(places), "sites"), leaf_sites)
     if per_point_id:
         rows = rows.groupBy("_id").agg(F.min("_best").alias("_best"))
     return rows.select(F.col("_id").alias(point_id), F.col("_best.sid").alias(site_id),

@@ -1,9 +1,10 @@
 """Incident load per nearest police station.
 
 Each located incident is assigned to its closest station by great-circle
-distance (``operators.nearest.nearest_site``: broadcast search trees, no
-join), repeated incident numbers keep their closest pair, and the stations
-are summarised by mean distance and incident count.
+distance (``operators.nearest.nearest_site``: joins of spherical cells),
+repeated incident numbers keep their closest pair, and the stations are
+summarised by mean distance and incident count.  The mean does not depend on
+the order of the rows (``operators.exact``).
 """
 
 from __future__ import annotations
@@ -11,14 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beatwise.operators.exact import exact_mean
 from beatwise.operators.nearest import nearest_site
 
 
 def _summary(nearest: DataFrame) -> DataFrame:
-    return (nearest.groupBy("DIVISION")
-            .agg(F.avg("distance").alias("average_distance"),
-                 F.count(F.lit(1)).alias("num_of_crimes"))
-            .orderBy(F.col("num_of_crimes").desc(), F.col("DIVISION").asc()))
+    means = exact_mean(nearest, ["DIVISION"], "distance", "average_distance", "num_of_crimes")
+    return means.orderBy(F.col("num_of_crimes").desc(), F.col("DIVISION").asc())
 
 
 def station_load(points: DataFrame, stations: DataFrame, *, coord_kind: str = "double",
@@ -51,9 +51,9 @@ def station_load_sql(spark: SparkSession, points: DataFrame, stations: DataFrame
     nearest = nearest_site(located, stations, point_id="DR_NO", point_lat="LAT", point_lon="LON",
                            site_id="DIVISION", site_lat="Y", site_lon="X", coord_kind=coord_type.lower(),
                            drop_zero_sites=True, per_point_id=False)
-    return spark.sql("""
-        WITH closest AS (SELECT min(struct(distance, DIVISION)) AS pick FROM {nearest} GROUP BY DR_NO)
-        SELECT pick.DIVISION, avg(pick.distance) AS average_distance, count(*) AS num_of_crimes
-        FROM closest GROUP BY pick.DIVISION
-        ORDER BY num_of_crimes DESC, DIVISION
+    closest = spark.sql("""
+        SELECT pick.DIVISION, pick.distance
+        FROM (SELECT min(struct(distance, DIVISION)) AS pick FROM {nearest} GROUP BY DR_NO)
     """, nearest=nearest)
+    return spark.sql("SELECT * FROM {means} ORDER BY num_of_crimes DESC, DIVISION", means=exact_mean(
+        closest, ["DIVISION"], "distance", "average_distance", "num_of_crimes"))

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the analyses assume; everything else is left to the cluster.
 DEFAULT_CONF = {
@@ -79,3 +79,13 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/staging/{name}-{uuid.uuid4().hex}"
+
+
+def write_staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh table under the shared checkpoint location and read it back.
+
+    Cuts the lineage: a lost executor costs only the tasks that ran on it.
+    """
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

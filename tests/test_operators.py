@@ -1,8 +1,8 @@
 import math
 import random
+import struct
+from fractions import Fraction
 
-import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +10,7 @@ from beatwise.functions.columns import haversine_km
 from beatwise.operators import (
     explode_features, flatten_properties, join_by_key, nearest_site, share_of_total, top_k_per_group,
 )
-from beatwise.operators.nearest import SiteTree
+from beatwise.operators import exact, nearest
 from tests.conftest import plan_text
 
 
@@ -104,9 +104,9 @@ LAYOUTS = ["spread", "line", "cluster_far", "single", "global", "dense", "uneven
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
-@pytest.mark.parametrize("block", [500_000, 25])
-def test_nearest_matches_brute_force(spark, layout, block):
-    rnd = random.Random(1000 * LAYOUTS.index(layout) + block % 1000)
+@pytest.mark.parametrize("leaf", [500, 7])
+def test_nearest_matches_brute_force(spark, layout, leaf):
+    rnd = random.Random(1000 * LAYOUTS.index(layout) + leaf % 1000)
     points = [(i, 33.7 + rnd.random() * 0.7, -118.7 + rnd.random() * 0.6) for i in range(1, 400)]
     if layout == "spread":
         sites = [(f"s{i:03d}", 33.7 + rnd.random() * 0.7, -118.7 + rnd.random() * 0.6) for i in range(40)]
@@ -128,7 +128,7 @@ def test_nearest_matches_brute_force(spark, layout, block):
     else:
         sites = [(f"s{i:03d}", rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(60)]
         points += [(1000 + i, rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(200)]
-    _check(_run(spark, points, sites, block_sites=block), _brute(points, sites))
+    _check(_run(spark, points, sites, leaf_sites=leaf), _brute(points, sites))
 
 
 def test_nearest_skips_bad_coordinates(spark):
@@ -163,15 +163,15 @@ def test_nearest_without_points_is_empty(spark):
     assert _run(spark, [(1, 0.0, 0.0)], [("A", 34.0, -118.0)]) == {}
 
 
-@pytest.mark.parametrize("block", [500_000, 2])
-def test_nearest_keeps_repeated_points(spark, block):
+@pytest.mark.parametrize("few", [32, 0])
+def test_nearest_keeps_repeated_points(spark, few):
     p = spark.createDataFrame([(1, 34.0, -118.0)] * 3 + [(2, 34.2, -118.2)], "DR_NO long, LAT double, LON double")
     s = spark.createDataFrame([("A", 34.0, -118.0), ("B", 34.2, -118.2), ("C", 40.0, -100.0)],
                               "DIVISION string, Y double, X double")
     args = dict(point_id="DR_NO", point_lat="LAT", point_lon="LON", site_id="DIVISION", site_lat="Y", site_lon="X")
-    rows = nearest_site(p, s, per_point_id=False, block_sites=block, **args).collect()
+    rows = nearest_site(p, s, per_point_id=False, few_sites=few, **args).collect()
     assert sorted((r.DR_NO, r.DIVISION) for r in rows) == [(1, "A")] * 3 + [(2, "B")]
-    assert nearest_site(p, s, block_sites=block, **args).count() == 2
+    assert nearest_site(p, s, few_sites=few, **args).count() == 2
 
 
 @pytest.mark.parametrize("bad", ["NaN", "Infinity", "-Infinity"])
@@ -187,27 +187,60 @@ def test_nearest_drops_non_finite_coordinates(spark, bad):
 
 def test_nearest_many_sites_at_one_place(spark):
     got = _run(spark, [(1, 34.0, -118.0), (2, 35.0, -118.0)],
-               [(f"s{i:04d}", 34.0, -118.0) for i in range(300)] + [("far", 35.0, -118.0)], block_sites=100)
+               [(f"s{i:04d}", 34.0, -118.0) for i in range(300)] + [("far", 35.0, -118.0)], few_sites=0)
     assert got[1][1] == "s0000" and got[2][1] == "far"
 
 
-def test_nearest_work_per_point_grows_slowly():
-    """Leaves opened per point stay few when sites on a line grow tenfold, for near and far points."""
-    rng = np.random.default_rng(1)
+def test_nearest_of_sites_that_no_cell_parts(spark):
+    """More sites within a metre than a candidate array holds."""
+    rnd = random.Random(8)
+    sites = [(f"s{i:03d}", 34.0 + rnd.random() * 1e-6, -118.0 + rnd.random() * 1e-6) for i in range(60)]
+    points = [(i, 34.0 + rnd.random() * 2e-6, -118.0 + rnd.random() * 2e-6) for i in range(50)] + [(99, 10.0, 10.0)]
+    _check(_run(spark, points, sites, leaf_sites=5), _brute(points, sites))
 
-    def opened(n, lat):
-        tree = SiteTree(pa.array(range(n)), 33.7 + 0.7 * np.arange(n) / n, -118.7 + 0.6 * np.arange(n) / n)
-        seen, chords = [], tree._chords
-        tree._chords = lambda spot, leaf: (seen.append(len(leaf)), chords(spot, leaf))[1]
-        tree.nearest(lat + rng.random(500) * 0.6, -118.7 + rng.random(500) * 0.6, np.full(500, np.inf))
-        return sum(seen) / 500
 
-    for lat in (33.7, 50.0):
-        few, many = opened(1000, lat), opened(10_000, lat)
-        assert many <= 4 * few and many < 40  # a tenth of the pairs' growth at most: 16 sites in each leaf
+def test_nearest_with_hot_cells(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "HOT_POINTS", 20)
+    rnd = random.Random(9)
+    sites = [(f"s{i:03d}", 33.7 + rnd.random() * 0.7, -118.7 + rnd.random() * 0.6) for i in range(150)]
+    points = [(i, 34.0, -118.5) for i in range(500)] + [(1000 + i, 33.7 + rnd.random(), -118.7 + rnd.random()) for i in range(100)]
+    _check(_run(spark, points, sites, leaf_sites=8), _brute(points, sites))
 
 
-def test_nearest_is_one_lazy_map_only_plan(spark):
+def _sites_met(spark, monkeypatch, n):
+    """Mean number of sites that a point measures itself against, among ``n``, and the pairs of cells looked at."""
+    met, pairs, write = [], [], nearest.write_staged
+
+    def staged(df, name):
+        out = write(df, name)
+        if name == "pairs":
+            pairs.append(out.count())
+        return out
+
+    def measured(points, done, *rest):
+        at = points.groupBy(nearest.cell_at(rest[1]).alias("p")).count()
+        left = done.select("p", "left").distinct()
+        met.extend((r["count"], r["left"]) for r in at.join(left, "p").collect())
+        return real(points, done, *rest)
+
+    real = nearest._measured
+    with monkeypatch.context() as m:
+        m.setattr(nearest, "write_staged", staged)
+        m.setattr(nearest, "_measured", measured)
+        p = spark.range(1, 2000).select(F.col("id").alias("DR_NO"), (33.7 + F.rand(1) * 0.7).alias("LAT"), (-118.7 + F.rand(2) * 0.6).alias("LON"))
+        s = spark.range(n).select(F.col("id").alias("DIVISION"), (33.7 + F.rand(3) * 0.7).alias("Y"), (-118.7 + F.rand(4) * 0.6).alias("X"))
+        out = nearest_site(p, s, point_id="DR_NO", point_lat="LAT", point_lon="LON", site_id="DIVISION", site_lat="Y", site_lon="X")
+        assert out.count() == 1999
+    return sum(a * b for a, b in met) / 1999, sum(pairs)
+
+
+def test_nearest_work_grows_far_less_than_the_sites(spark, monkeypatch):
+    (few, few_pairs), (many, many_pairs) = (_sites_met(spark, monkeypatch, n) for n in (100, 10_000))
+    assert few <= 32 and many <= 32  # a hundred times the sites
+    assert many_pairs < 20 * few_pairs
+
+
+def test_nearest_of_few_sites_is_one_lazy_plan_without_a_join(spark):
     p = spark.range(1, 2000).select(F.col("id").alias("DR_NO"), (33.7 + F.rand(1) * 0.7).alias("LAT"),
                                     (-118.7 + F.rand(2) * 0.6).alias("LON"))
     s = spark.range(25).select(F.col("id").cast("string").alias("DIVISION"), (33.7 + F.rand(3) * 0.7).alias("Y"),
@@ -215,11 +248,41 @@ def test_nearest_is_one_lazy_map_only_plan(spark):
     args = dict(point_id="DR_NO", point_lat="LAT", point_lon="LON", site_id="DIVISION", site_lat="Y", site_lon="X")
     out = nearest_site(p, s, per_point_id=False, **args)
     text = plan_text(out)
-    assert "Exchange" not in text and "Join" not in text and "FileScan" not in text and "ArrowEvalPython" in text
+    assert "Join" not in text and "FileScan" not in text and "Python" not in text
     assert out.count() == 1999
-    # with the pick per id: one partial aggregate before its shuffle
-    picked = plan_text(nearest_site(p, s, **args))
-    assert picked.count("Exchange") == 1 and picked.count("ArrowEvalPython") == text.count("ArrowEvalPython") == 1
+    # many sites: equi-joins of staged cells, nothing in Python, no pairs of all with all
+    text = plan_text(nearest_site(p, s, few_sites=0, leaf_sites=4, **args))
+    assert "Join" in text and "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
+
+
+# ---------------------------------------------------------------- exact means
+
+def _exact(values):
+    return float(sum(map(Fraction, values), Fraction(0)) / len(values)) if values else None
+
+
+def test_bins_hold_every_double(spark):
+    rnd = random.Random(12)
+    double = lambda: struct.unpack("<d", rnd.randbytes(8))[0]
+    groups = {g: [v for v in (double() for _ in range(6)) if math.isfinite(v) and abs(v) < 1e307] + [2.0 ** g, 0.0] for g in range(-1074, 1000, 3)}
+    rows = spark.createDataFrame([(g, v) for g, own in groups.items() for v in own], "g int, v double")
+    got = {r["g"]: r["mean"] for r in exact.exact_mean(rows, ["g"], "v", "mean", "n").collect()}
+    assert got == {g: _exact(own) for g, own in groups.items()}
+
+
+def test_exact_mean_is_the_same_in_any_order(spark):
+    rnd = random.Random(6)
+    rows = [(g, rnd.choice([1, -1]) * rnd.random() * 10.0 ** rnd.randrange(-12, 13)) for g in "abc" for _ in range(3000)]
+    rows += [("big", 1e300), ("big", 1.0), ("big", -1e300), ("none", None), ("nan", float("nan")), ("nan", 1.0),
+             ("inf", float("inf")), ("inf", 1.0), ("both", float("inf")), ("both", float("-inf")), ("zero", 0.0), ("zero", None),
+             ("tiny", 5e-324), ("tiny", 1.5e-323), (None, 2.0)]
+    want = {g: _exact([v for h, v in rows if h == g and v is not None]) for g in ("a", "b", "c", "big", "zero", "tiny", None)}
+    for parts in (1, 3, 17):
+        df = spark.createDataFrame(rows, "g string, v double").repartition(parts)
+        got = {r["g"]: r for r in exact.exact_mean(df, ["g"], "v", "mean", "n").collect()}
+        assert {g: got[g]["mean"] for g in want} == want
+        assert got["none"]["mean"] is None and got["none"]["n"] == 1 and got["zero"]["n"] == 2
+        assert math.isnan(got["nan"]["mean"]) and math.isnan(got["both"]["mean"]) and got["inf"]["mean"] == float("inf")
 
 
 def test_haversine_keeps_nan(spark):
