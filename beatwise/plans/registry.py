@@ -3,9 +3,9 @@
 Every query reads whole tables from ``sf_dir`` (or files Spark writes from
 them into the shared checkpoint folder) and returns a DataFrame.  Each
 ``ORACLE_SQL`` entry is the same computation written for DuckDB over the
-raw tables; column names match the Spark result.  Means of trigonometric
-values are rounded to 6 decimals on both sides, since summation order and
-libm differences show in the last digits.
+raw tables; column names match the Spark result.  Means of distances are
+rounded to 6 decimals on both sides: the mean itself is exact here, but the
+engines' trigonometric functions differ in the last digits.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from beatwise.plans import daypart, income, months, stations
 from beatwise.schemas import CENSUS_DOC_SCHEMA, INCIDENT_SCHEMA, INCOME_SCHEMA
 from beatwise.session import staging_path
 from beatwise.sources import readers, sinks, testdata
+from beatwise.sources.features import read_features
+from beatwise.sources.properties import read_properties
+from beatwise.sources.records import read_csv_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +111,13 @@ def daypart_share_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daypart.daypart_share(readers.read_parquet(spark, path), STREET)
 
 
+def daypart_share_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents whose locations hold quotes and line breaks, from a text scan of the 28-column CSV."""
+    path = _stage(spark, sf_dir, "incidents-quoted", lambda p: sinks.write_csv(testdata.with_line_breaks(
+        testdata.full_incidents(testdata.incidents_from_events(spark, sf_dir))), p))
+    return daypart.daypart_share(read_csv_records(spark, path, INCIDENT_SCHEMA), STREET)
+
+
 def parquet_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stage(spark, sf_dir, "orders-parquet",
                   lambda p: sinks.write_parquet(testdata.table(spark, sf_dir, "orders"), p))
@@ -174,6 +184,20 @@ def income_per_person_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return income.income_per_person_flat(readers.read_parquet(spark, path), inc)
 
 
+def income_per_person_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census documents read by byte ranges, many tasks a document."""
+    feature = CENSUS_DOC_SCHEMA["features"].dataType.elementType
+    features = read_features(spark, _census_docs(spark, sf_dir), feature).select("properties.*")
+    inc = readers.read_csv(spark, _income_csv(spark, sf_dir), INCOME_SCHEMA, sep=";")
+    return income.income_per_person_flat(features, inc)
+
+
+def income_per_person_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census properties with the schema that the features themselves have."""
+    inc = readers.read_csv(spark, _income_csv(spark, sf_dir), INCOME_SCHEMA, sep=";")
+    return income.income_per_person_flat(read_properties(spark, _census_docs(spark, sf_dir)), inc)
+
+
 def income_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``;`` money-table reader and cleaning, on customer balances (grows with the data)."""
     path = _stage(spark, sf_dir, "balances-csv", lambda p: sinks.write_csv(
@@ -236,6 +260,7 @@ QUERIES: dict[str, Query] = {
     "daypart_share_csv": daypart_share_csv,
     "daypart_share_text": daypart_share_text,
     "daypart_share_parquet": daypart_share_parquet,
+    "daypart_share_quoted": daypart_share_quoted,
     "parquet_rewrite": parquet_rewrite,
     "top_months": top_months,
     "top_months_parsed": top_months_parsed,
@@ -247,6 +272,8 @@ QUERIES: dict[str, Query] = {
     "income_join_shuffle_hash": _income_query("shuffle_hash"),
     "income_join_broadcast": _income_query("broadcast"),
     "income_per_person_parquet": income_per_person_parquet,
+    "income_per_person_ranges": income_per_person_ranges,
+    "income_per_person_inferred": income_per_person_inferred,
     "income_from_text": income_from_text,
     "income_csv_semicolon": income_csv_semicolon,
     "station_load": station_load,
@@ -385,6 +412,7 @@ ORACLE_SQL: dict[str, str] = {
     "daypart_share_csv": _DAYPART_SHARE,
     "daypart_share_text": _DAYPART_SCALED,
     "daypart_share_parquet": _DAYPART_SHARE,
+    "daypart_share_quoted": _DAYPART_SHARE,
     "parquet_rewrite": "SELECT * FROM orders",
     "top_months": _TOP_MONTHS,
     "top_months_parsed": _TOP_MONTHS,
@@ -396,6 +424,8 @@ ORACLE_SQL: dict[str, str] = {
     "income_join_shuffle_hash": _INCOME,
     "income_join_broadcast": _INCOME,
     "income_per_person_parquet": _INCOME,
+    "income_per_person_ranges": _INCOME,
+    "income_per_person_inferred": _INCOME,
     "income_from_text": _INCOME,
     "income_csv_semicolon": _INCOME_TABLE,
     "station_load": _station_oracle(_NATION_SITES),

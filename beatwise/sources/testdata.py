@@ -78,6 +78,14 @@ def full_incidents(rows: DataFrame) -> DataFrame:
                          for name in INCIDENT_COLUMNS])
 
 
+def with_line_breaks(incidents: DataFrame, column: str = "LOCATION") -> DataFrame:
+    """Incidents with quotes, separators and line breaks in a text column, by the row's number."""
+    kind = F.pmod(F.xxhash64("DR_NO"), F.lit(4))
+    broken = F.when(kind == 0, F.concat(F.lit('at "the corner"\n, '), column)).when(
+        kind == 1, F.concat(column, F.lit('\n\n"x",\n'))).otherwise(F.col(column))
+    return incidents.withColumn(column, broken)
+
+
 def census_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One census feature per customer: postal area = nation key,
     population = the customer's orders, housing units = 1.

@@ -48,7 +48,8 @@ def test_plan_shapes(spark):
         assert text.count("Exchange hashpartitioning") == 2
     for name in ("station_load", "station_load_sql", "station_load_suppliers"):
         text = plan_text(q[name](spark, SF))
-        assert "Join" not in text and "CartesianProduct" not in text  # the search itself is in this plan
+        assert "NestedLoop" not in text and "CartesianProduct" not in text
+        assert name == "station_load_suppliers" or "Join" not in text  # few sites: one array, measured as a whole
 
 
 @pytest.mark.parametrize("name,columns", [
