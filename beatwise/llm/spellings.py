@@ -8,8 +8,10 @@ tree of its own length and the tree of the next; boxes too far away are pruned,
 and of the words in the leaves that are reached the letters are compared in
 order.
 
-Letters are counted in 32 classes (code point modulo 32); merging classes only
-shortens distances, so no word is missed.
+Letters are counted in 32 classes (code point modulo 32), each up to 7; merging
+classes and stopping at 7 only shorten distances, so no word is missed.  The
+counts of a word are then 32 numbers of four bits, two machine words, and boxes
+and letters are compared as machine words too.
 
 Lengths with more words than a cell holds are cut by the top of a k-d tree,
 fitted to a bounded sample of the words (``SAMPLE`` per length); every word is
@@ -37,7 +39,7 @@ from .common import materialize, parts_for
 
 #: Fixed value: what words are made of; all letters have one byte in Latin-1.
 LETTERS = "A-Za-zÀ-ÿ"
-CLASSES = 32
+CLASSES, MOST = 32, 7
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
 #: An occurrence whose hash this divides loses a letter.
 LOSES_LETTER = 199
@@ -45,8 +47,8 @@ LOSES_LETTER = 199
 CELL_LETTERS = 1 << 20
 LEAF = 32
 SAMPLE = 4096
-#: Words that ask one part of a cell, searched together, and letters compared at once.
-PART_WORDS, AT_ONCE, COMPARE = 16_384, 256, 1 << 24
+#: Words that ask one part of a cell, searched together, and pairs compared at once.
+PART_WORDS, AT_ONCE, COMPARE = 16_384, 256, 1 << 20
 
 _FOUND = pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("best_n", pa.int64()), ("best", pa.string())])
 
@@ -70,31 +72,57 @@ def occurrences(df: DataFrame, id_col: str, text: str, min_length: int, loses_le
 
 
 def letter_counts(letters: np.ndarray) -> np.ndarray:
-    """Counts of letter classes for words of one length, one row of Latin-1 bytes each; at most 255."""
-    n, length = letters.shape
+    """Counts of letter classes for words of one length, one row of Latin-1 bytes each; at most 7."""
+    n = len(letters)
     place = (np.arange(n, dtype=np.int64)[:, None] * CLASSES + (letters & (CLASSES - 1))).ravel()
     counts = np.bincount(place, minlength=n * CLASSES).reshape(n, CLASSES)
-    return np.minimum(counts, 255).astype(np.uint8)
+    return np.minimum(counts, MOST).astype(np.uint8)
+
+
+def packed_counts(counts: np.ndarray) -> np.ndarray:
+    """Rows of counts as two machine words each, four bits a count: shape (2, rows)."""
+    halves = counts[:, 0::2] | (counts[:, 1::2] << 4)
+    return np.ascontiguousarray(np.ascontiguousarray(halves).view("<u8").T)
+
+
+#: In every four bits: the spare bit, and what makes a count more than one.
+_SPARE, _MANY = np.uint64(0x8888888888888888), np.uint64(0x6666666666666666)
+
+
+def _above(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each count, what ``a`` is above ``b``, or 0."""
+    gap = (a | _SPARE) - b
+    wide = gap & _SPARE
+    return gap & (wide - (wide >> np.uint64(3)))
+
+
+def _at_most(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], room: int) -> np.ndarray:
+    """Whether the counts of ``a`` are above those of ``b`` by ``room`` (0 or 1) at most, summed over all."""
+    x, y = _above(a[0], b[0]), _above(a[1], b[1])
+    if not room:
+        return (x | y) == 0
+    return (np.bitwise_count(x) + np.bitwise_count(y) <= 1) & ((x | y) & _MANY == 0)
 
 
 class BoxTree:
-    """A complete binary tree of boxes in a heap: node i has the children 2i + 1 and 2i + 2."""
+    """A complete binary tree of boxes in a heap: node i has the children 2i + 1 and 2i + 2.
+
+    ``low`` and ``high`` are packed counts, shape (2, nodes).
+    """
 
     def __init__(self, low: np.ndarray, high: np.ndarray):
         self.low, self.high = low, high
-        self.depth = int(math.log2(len(low) + 1)) - 1
+        self.depth = int(math.log2(low.shape[1] + 1)) - 1
 
     def reach(self, counts: np.ndarray, fewer: int, more: int) -> tuple[np.ndarray, np.ndarray]:
         """``(row, leaf)`` for leaves that may hold a vector with at most ``fewer`` counts taken away and ``more`` added."""
-        row, node = np.arange(len(counts)), np.zeros(len(counts), np.int64)
+        row, node = np.arange(counts.shape[1]), np.zeros(counts.shape[1], np.int64)
         for level in range(self.depth + 1):
-            x = counts[row]
-            add, take = self.low[node], self.high[node]
-            add = (np.maximum(add, x) - x).sum(axis=1, dtype=np.uint16)
-            near = add <= more
-            row, node, x, take = row[near], node[near], x[near], take[near]
-            near = (x - np.minimum(take, x)).sum(axis=1, dtype=np.uint16) <= fewer
-            row, node = row[near], node[near]
+            for room, over in ((more, False), (fewer, True)):
+                box = self.high if over else self.low
+                x, edge = (counts[0][row], counts[1][row]), (box[0][node], box[1][node])
+                near = _at_most(x, edge, room) if over else _at_most(edge, x, room)
+                row, node = row[near], node[near]
             if level < self.depth:
                 row = np.repeat(row, 2)
                 node = np.stack((2 * node + 1, 2 * node + 2), axis=1).ravel()
@@ -108,7 +136,7 @@ def word_tree(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, BoxTree]:
     first_leaf = 2 ** depth - 1
     order, start = np.arange(n), np.zeros(2 * first_leaf + 1, np.int64)
     end = np.zeros(2 * first_leaf + 1, np.int64)
-    low, high = np.full((2 * first_leaf + 1, CLASSES), 255, np.uint8), np.zeros((2 * first_leaf + 1, CLASSES), np.uint8)
+    low, high = np.full((2 * first_leaf + 1, CLASSES), MOST, np.uint8), np.zeros((2 * first_leaf + 1, CLASSES), np.uint8)
     end[0] = n
     for node in range(2 * first_leaf + 1):
         a, b = start[node], end[node]
@@ -121,7 +149,7 @@ def word_tree(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, BoxTree]:
                 order[a:b] = order[a:b][np.argsort(own[:, axis], kind="stable")]
             start[2 * node + 1], end[2 * node + 1] = a, (a + b) // 2
             start[2 * node + 2], end[2 * node + 2] = (a + b) // 2, b
-    return order, np.append(start[first_leaf:], n), BoxTree(low, high)
+    return order, np.append(start[first_leaf:], n), BoxTree(packed_counts(low), packed_counts(high))
 
 
 class LengthSplits:
@@ -130,12 +158,12 @@ class LengthSplits:
     def __init__(self, counts: np.ndarray, depth: int):
         nodes = 2 ** depth - 1
         self.depth, self.axis, self.most = depth, np.zeros(nodes, np.int64), np.zeros(nodes, np.int64)
-        low, high = np.zeros((2 * nodes + 1, CLASSES), np.uint8), np.full((2 * nodes + 1, CLASSES), 255, np.uint8)
+        low, high = np.zeros((2 * nodes + 1, CLASSES), np.uint8), np.full((2 * nodes + 1, CLASSES), MOST, np.uint8)
         own = {0: counts}
         for node in range(nodes):
             part = own.pop(node)
             if len(part):  # the axis and count that halve the sample best
-                share = (part[:, :, None] <= np.arange(8)).mean(axis=0)
+                share = (part[:, :, None] <= np.arange(MOST)).mean(axis=0)
                 self.axis[node], self.most[node] = np.unravel_index(np.abs(share - 0.5).argmin(), share.shape)
             left = part[:, self.axis[node]] <= self.most[node]
             own[2 * node + 1], own[2 * node + 2] = part[left], part[~left]
@@ -143,8 +171,8 @@ class LengthSplits:
                 low[child], high[child] = low[node], high[node]
             at = self.axis[node]
             high[2 * node + 1, at] = min(high[node, at], self.most[node])
-            low[2 * node + 2, at] = max(low[node, at], min(255, self.most[node] + 1))
-        self.boxes = BoxTree(low, high)
+            low[2 * node + 2, at] = max(low[node, at], min(MOST, self.most[node] + 1))
+        self.boxes = BoxTree(packed_counts(low), packed_counts(high))
 
     def cell(self, counts: np.ndarray) -> np.ndarray:
         node = np.zeros(len(counts), np.int64)
@@ -158,6 +186,11 @@ def _letters(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
 
 
+def _names(letters: np.ndarray) -> np.ndarray:
+    """Words of one length as fixed-size strings, whose order is that of their code points."""
+    return np.ascontiguousarray(letters).view(f"S{letters.shape[1]}").ravel()
+
+
 def _by_length(words: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(length, places, letters)`` of the words of a batch."""
     coded = [w.encode("latin-1") for w in words.to_pylist()]
@@ -167,14 +200,44 @@ def _by_length(words: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield int(length), own, _letters([coded[i] for i in own])
 
 
-def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether rows of ``b`` are rows of ``a`` with one letter replaced, or, where longer, inserted."""
-    length = a.shape[1]
-    if b.shape[1] == length:
-        return (a != b).sum(axis=1) == 1
-    ahead = np.logical_and.accumulate(a == b[:, :-1], axis=1).sum(axis=1)
-    behind = np.logical_and.accumulate((a == b[:, 1:])[:, ::-1], axis=1).sum(axis=1)
-    return ahead + behind >= length
+def machine_words(letters: np.ndarray) -> np.ndarray:
+    """Letters of words of one length as machine words, the first letter lowest: shape (words, rows)."""
+    n, length = letters.shape
+    padded = np.zeros((n, -(-length // 8) * 8), np.uint8)
+    padded[:, :length] = letters
+    return np.ascontiguousarray(padded.view("<u8").T)
+
+
+_LOW7, _HIGH = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
+
+
+def _differ(x: np.ndarray) -> np.ndarray:
+    """The top bit of every byte of ``x`` that is not zero."""
+    return (((x & _LOW7) + _LOW7) | x) & _HIGH
+
+
+def one_edit(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, longer: bool) -> np.ndarray:
+    """Which pairs of columns ``i`` of ``a`` and ``j`` of ``b`` are one replaced letter apart or, if ``longer``, one inserted in ``b``."""
+    if not longer:
+        left = np.bitwise_count(_differ(a[0][i] ^ b[0][j]))
+        place = np.flatnonzero(left <= 1)  # nearly all pairs end at their first eight letters
+        left = left[place]
+        for k in range(1, len(b)):
+            left = left + np.bitwise_count(_differ(a[k][i[place]] ^ b[k][j[place]]))
+        return place[left == 1]
+    # up to the first difference the words agree; from there on b without that letter must be a
+    place, open_ = np.arange(len(i)), np.ones(len(i), bool)
+    for k in range(len(b)):
+        own, other = (a[k][i[place]] if k < len(a) else np.zeros(len(place), np.uint64)), b[k][j[place]]
+        after = other >> np.uint64(8)
+        if k + 1 < len(b):
+            after = after | (b[k + 1][j[place]] << np.uint64(56))
+        first = _differ(own ^ other)
+        lowest = first & (~first + np.uint64(1))
+        moved = _differ(own ^ after)
+        fits = np.where(open_, (first == 0) | (moved < lowest), moved == 0)
+        place, open_ = place[fits], (open_ & (first == 0))[fits]
+    return place
 
 
 def _best(own: np.ndarray, n: np.ndarray, rank: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,23 +248,22 @@ def _best(own: np.ndarray, n: np.ndarray, rank: np.ndarray, size: int) -> tuple[
     return who, np.bincount(own, minlength=size)[who], order[first]
 
 
-def search(letters: np.ndarray, n: np.ndarray, first: np.ndarray, boxes: BoxTree, asking: np.ndarray
-           ) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row of ``asking``, row of the tree's ``letters``) that are one edit apart; askers are as long or one shorter."""
-    longer = letters.shape[1] - asking.shape[1]
+def search(words: np.ndarray, length: int, first: np.ndarray, boxes: BoxTree, asking: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of the letters ``asking``, column of the tree's machine ``words``) one edit apart; askers are as long or one shorter."""
+    longer = length - asking.shape[1]
     asked, found = [], []
     for at in range(0, len(asking), AT_ONCE):
         part = asking[at:at + AT_ONCE]
-        row, leaf = boxes.reach(letter_counts(part), 1 - longer, 1)
+        own = machine_words(part)
+        row, leaf = boxes.reach(packed_counts(letter_counts(part)), 1 - longer, 1)
         size = first[leaf + 1] - first[leaf]
-        step = max(1, COMPARE // (LEAF * letters.shape[1]))
+        step = max(1, COMPARE // LEAF)
         for k in range(0, len(row), step):
-            own = np.repeat(row[k:k + step], size[k:k + step])
-            begin = np.repeat(first[leaf[k:k + step]] - np.concatenate(([0], np.cumsum(size[k:k + step])[:-1])),
-                              size[k:k + step])
-            other = begin + np.arange(len(own))
-            near = one_edit(part[own], letters[other])
-            asked.append(own[near] + at)
+            many = size[k:k + step]
+            ask = np.repeat(row[k:k + step], many)
+            other = np.repeat(first[leaf[k:k + step]] - np.cumsum(many) + many, many) + np.arange(len(ask))
+            near = one_edit(own, ask, words, other, bool(longer))
+            asked.append(ask[near] + at)
             found.append(other[near])
     none = np.zeros(0, np.int64)
     return np.concatenate(asked or [none]), np.concatenate(found or [none])
@@ -224,23 +286,24 @@ def _search_part(asks: pa.Table, trees: pa.Table) -> pa.Table:
     tree = trees.to_pylist()[0]
     n, first = np.frombuffer(tree["n"], np.int64), np.frombuffer(tree["first"], np.int64)
     letters = np.frombuffer(tree["letters"], np.uint8).reshape(len(n), -1)
-    box = np.frombuffer(tree["boxes"], np.uint8).reshape(2, -1, CLASSES)
-    boxes, out = BoxTree(box[0], box[1]), []
-    names = np.array([w.tobytes().decode("latin-1") for w in letters], object)
+    box = np.frombuffer(tree["boxes"], np.uint64).reshape(2, 2, -1)
+    boxes, packed, out = BoxTree(box[0], box[1]), machine_words(letters), []
+    names = _names(letters)
     rank = np.argsort(np.argsort(names, kind="stable"), kind="stable")
     words, counts = asks["word"].combine_chunks(), asks["n"].to_numpy()
     for length, place, asking in _by_length(words):
-        own, other = search(letters, n, first, boxes, asking)
+        own, other = search(packed, letters.shape[1], first, boxes, asking)
         own_n = counts[place]
         who, many, best = _best(own, n[other], rank[other], len(asking))
-        text = np.array([w.tobytes().decode("latin-1") for w in asking], object)
+        text = _names(asking)
         out.append((text[who], many, n[other][best], names[other][best]))
         if length < letters.shape[1]:  # the longer words do not ask for shorter ones themselves
             place_of = np.argsort(np.argsort(text, kind="stable"), kind="stable")
             who, many, best = _best(other, own_n[own], place_of[own], len(letters))
             out.append((names[who], many, own_n[own][best], text[own][best]))
-    columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-    return pa.table([pa.array(c.tolist(), t) for c, t in zip(columns, _FOUND.types, strict=True)], schema=_FOUND)
+    plain = lambda c: [x.decode("latin-1") for x in c.tolist()] if c.dtype.kind == "S" else c
+    tables = [pa.table([pa.array(plain(c), t) for c, t in zip(row, _FOUND.types, strict=True)], schema=_FOUND) for row in out]
+    return pa.concat_tables(tables)
 
 
 def near_words(words: DataFrame, cell_letters: int = CELL_LETTERS, part_words: int = PART_WORDS) -> DataFrame:
@@ -272,7 +335,7 @@ def near_words(words: DataFrame, cell_letters: int = CELL_LETTERS, part_words: i
                 seen = letter_counts(letters)
                 for to in (length, length + 1):
                     top = splits.get(to)
-                    row, leaf = top.boxes.reach(seen, length + 1 - to, 1) if top else (np.arange(len(place)), 0)
+                    row, leaf = top.boxes.reach(packed_counts(seen), length + 1 - to, 1) if top else (np.arange(len(place)), 0)
                     asked = batch.take(pa.array(place[row]))
                     cell = np.full(len(row), to << 24, np.int64) + leaf
                     deal = (row + length) % parts.get(to, 1)

@@ -71,12 +71,36 @@ def slow_near(a, b):
     return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text("abé", min_size=1, max_size=6), st.text("abé", min_size=1, max_size=7))
-def test_one_edit(a, b):
-    if len(b) - len(a) in (0, 1):
-        x, y = (np.frombuffer(w.encode("latin-1"), np.uint8)[None, :] for w in (a, b))
-        assert bool(spellings.one_edit(x, y)[0]) == slow_near(a, b)
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("abé", min_size=1, max_size=19), min_size=1, max_size=8), st.integers(0, 1), st.randoms())
+def test_one_edit(words, longer, rng):
+    """Words of one length against words as long, or one longer, made from them and others."""
+    size = len(words[0])
+    a = [(w * 20)[:size] for w in words]
+    b = []
+    for w in a:
+        at = rng.randrange(size + longer)
+        b.append(w[:at] + rng.choice("abé") + w[at + 1 - longer:])
+        b.append(("b" + w + "ab")[:size + longer])
+        b.append(w[::-1] + "a" * longer)
+    code = lambda own: np.frombuffer("".join(own).encode("latin-1"), np.uint8).reshape(len(own), -1)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(a)), np.arange(len(b))))
+    near = spellings.one_edit(spellings.machine_words(code(a)), i, spellings.machine_words(code(b)), j, bool(longer))
+    assert {(x, y) for x, y in zip(i[near].tolist(), j[near].tolist(), strict=True)} == {
+        (x, y) for x in range(len(a)) for y in range(len(b)) if slow_near(a[x], b[y])}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 7), min_size=32, max_size=32), min_size=2, max_size=6), st.integers(0, 1), st.integers(0, 1))
+def test_boxes_prune_by_summed_counts(rows, fewer, more):
+    x = np.array(rows, np.uint8)
+    low, high = np.minimum(x[0], x[1])[None], np.maximum(x[0], x[1])[None]
+    x = np.concatenate((x, low, np.minimum(high + np.eye(32, dtype=np.uint8)[:3], 7), np.maximum(low, 1) - np.eye(32, dtype=np.uint8)[:3]))
+    tree = spellings.BoxTree(spellings.packed_counts(low), spellings.packed_counts(high))
+    row, _ = tree.reach(spellings.packed_counts(x), fewer, more)
+    wide = x.astype(int)
+    want = np.flatnonzero((np.maximum(low - wide, 0).sum(axis=1) <= more) & (np.maximum(wide - high, 0).sum(axis=1) <= fewer))
+    assert row.tolist() == want.tolist()
 
 
 def some_words(seed, n, letters="abcdeé"):
@@ -105,7 +129,7 @@ def test_tree_visits_few_leaves_of_a_large_length():
     letters = rng.integers(97, 123, (20000, 12)).astype(np.uint8)
     counts = spellings.letter_counts(letters)
     _, first, boxes = spellings.word_tree(counts)
-    row, _ = boxes.reach(counts[:200], 1, 1)
+    row, _ = boxes.reach(spellings.packed_counts(counts[:200]), 1, 1)
     assert len(row) / 200 < 0.25 * (len(first) - 1)
 
 
