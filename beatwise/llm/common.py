@@ -19,16 +19,18 @@ SPACES = r"[\x20\x09-\x0D]+"
 _staged: dict[str, list[str]] = {}
 
 
-def materialize(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, files: int | None = None, parts: list[str] | None = None) -> DataFrame:
     """Write ``df`` to a fresh table in the shared checkpoint folder and read it back.
 
     Cuts the lineage without ``localCheckpoint``: a lost executor only costs
     the tasks that were running on it.  ``files`` bounds the number of files
-    of a table known to be small.  ``staged_tables_removed`` cleans up.
+    of a table known to be small; ``parts`` are columns to lay it out by.
+    ``staged_tables_removed`` cleans up.
     """
     path = staging_path(df.sparkSession, f"llm-{name}")
     _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    (df.coalesce(files) if files else df).write.parquet(path)
+    writer = (df.coalesce(files) if files else df).write
+    (writer.partitionBy(*parts) if parts else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

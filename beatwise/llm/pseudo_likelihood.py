@@ -12,20 +12,27 @@ per slice of the parameters and in two levels, so no task and not the driver
 sees more than a model's size per group of tasks.  Every text of the corpus is
 counted and trained on.
 
-Words outside the vocabulary share hashed tokens.  Inside its token each of
-them has its own share: P(word) = P(token | context) x P(word | token), the
-latter from the counts of every word of the corpus, smoothed towards a spelling
-of uniform bytes with as much weight as the token has distinct words.  Counts
-stay a table; words meet them in a join.  An unseen word has only its spelling.
+The number of tokens grows with the square root of the number of different
+words.  Words without a token of their own share hashed ones.  Inside its token
+each of them has its own share: P(word) = P(token | context) x P(word | token),
+the latter from the counts of every word of the corpus, smoothed towards a
+spelling of uniform bytes with as much weight as the token has distinct words.
+An unseen word has only its spelling.
+
+Texts are split and coded once; training and scoring read the codes, a round
+only its own part.  Counts stay a table: a run of texts of bounded size asks
+once for each of its different rare words, and sums the answers per text.
 
 Defined results: null and empty text: no tokens, score 0; beyond a text's ends
 stands a padding token; repeated rows are scored each; an empty corpus leaves
-the initial network; a model of two parts, without shares, scores tokens only.
+the initial network; a model of two parts, without shares, scores tokens only;
+a text without tokens has a null ``per_token``.
 """
 
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -33,22 +40,33 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import materialize, pack
 
-#: Model bounds: digits of a token code, own tokens of frequent words, context on each side, hidden units.
-DIGIT = 32
-TOKENS = DIGIT * DIGIT
-FREQUENT = 3 * TOKENS // 4
-REACH, HIDDEN = 2, 24
+#: Digits of a token code at least (a code has two), context on each side, hidden units.
+DIGIT, REACH, HIDDEN = 32, 2, 24
 #: Training: rounds of averaging, tokens of a step, step size.
 ROUNDS, BATCH, RATE, SEED = 3, 4096, 0.08, 42
-#: Slices the parameters are averaged in, and tasks that meet on the first level.
+#: Slices the parameters are averaged in, and tasks that meet on each level.
 SLICES, GROUP = 32, 64
-PAD = TOKENS
 OFFSETS = [*range(-REACH, 0), *range(1, REACH + 1)]
+#: Bytes of text whose rare words are asked for together.
+RUN_BYTES = 16 << 20
+
+
+class Vocabulary(NamedTuple):
+    """Tokens of frequent words, and the number of digits of a token code; the other tokens are shared."""
+
+    own: dict[bytes, int]
+    digit: int = DIGIT
+
+    @property
+    def tokens(self) -> int:
+        """Number of tokens, and the token of what is beyond a text's ends."""
+        return self.digit * self.digit
 
 
 def split(text: str | None) -> list[bytes]:
@@ -71,24 +89,22 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return counted.groupBy("word").agg(F.sum("count").alias("count"))
 
 
-def vocabulary(counted: DataFrame, size: int = FREQUENT) -> dict[bytes, int]:
-    """The ``size`` most frequent words (ties by word): a bounded number reaches the driver."""
-    rows = counted.orderBy(F.desc("count"), "word").limit(size).collect()
-    return {bytes(r["word"]): i for i, r in enumerate(rows)}
+def vocabulary(counted: DataFrame) -> Vocabulary:
+    """The most frequent words (ties by word) for three quarters of the tokens, which are as many as the square root of all words."""
+    digit = max(DIGIT, math.ceil(counted.count() ** 0.25))
+    rows = counted.orderBy(F.desc("count"), "word").limit(3 * digit * digit // 4).collect()
+    return Vocabulary({bytes(r["word"]): i for i, r in enumerate(rows)}, digit)
 
 
-def encode(text: str | None, words: dict[bytes, int], spare: int | None = None) -> np.ndarray:
+def encode(text: str | None, words: Vocabulary) -> np.ndarray:
     """Token of every word of a whole text."""
-    return _encode(split(text), words, spare)
+    return _encode(split(text), words)
 
 
-def _encode(found: list[bytes], words: dict[bytes, int], spare: int | None = None) -> np.ndarray:
-    first = len(words) if spare is None else spare
-    tokens, room = [], TOKENS - first
-    for w in found:
-        token = words.get(w)
-        tokens.append(first + xxhash.xxh64_intdigest(w) % room if token is None else token)
-    return np.array(tokens, np.int64)
+def _encode(found: list[bytes], words: Vocabulary) -> np.ndarray:
+    first, own = len(words.own), words.own
+    room, digest = words.tokens - first, xxhash.xxh64_intdigest
+    return np.array([first + digest(w) % room if (token := own.get(w)) is None else token for w in found], np.int64)
 
 
 #: Shares are added as whole numbers of this unit, so that sums do not depend on the order.
@@ -99,18 +115,23 @@ SPELL = math.log(257)
 
 class Shares(NamedTuple):
     """P(word | shared token): ``floor`` is the log of an unseen word's share for each token, less ``SPELL``
-    a byte; ``gains`` (word, gain in ``UNIT``) is what each counted word has above that."""
+    a byte; ``gains`` (hash of the word, gain in ``UNIT``) is what each counted word has above that."""
 
     floor: np.ndarray
     gains: DataFrame
 
 
-def word_shares(counted: DataFrame, words: dict[bytes, int]) -> Shares:
+def _signed(word: bytes) -> int:
+    value = xxhash.xxh64_intdigest(word)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def word_shares(counted: DataFrame, words: Vocabulary) -> Shares:
     """Shares of all words outside the vocabulary; two numbers a token reach the driver."""
-    first = len(words)
+    first = len(words.own)
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        running, distinct = np.zeros(TOKENS, np.int64), np.zeros(TOKENS, np.int64)
+        running, distinct = np.zeros(words.tokens, np.int64), np.zeros(words.tokens, np.int64)
         for batch in batches:
             tokens = _encode(batch["word"].to_pylist(), words)
             np.add.at(running, tokens, batch["count"].to_numpy())
@@ -120,11 +141,11 @@ def word_shares(counted: DataFrame, words: dict[bytes, int]) -> Shares:
 
     found = counted.mapInArrow(totals, "token bigint, running bigint, distinct bigint").groupBy("token").agg(
         F.sum("running").alias("running"), F.sum("distinct").alias("distinct")).collect()
-    weight, running = np.ones(TOKENS), np.zeros(TOKENS)
+    weight, running = np.ones(words.tokens), np.zeros(words.tokens)
     for r in found:
         weight[r["token"]] += r["distinct"]
         running[r["token"]] = r["running"]
-    prior = np.log(weight) + math.log(TOKENS - first) - SPELL
+    prior = np.log(weight) + math.log(words.tokens - first) - SPELL
     floor = prior - np.log(running + weight)
 
     def gain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,33 +153,33 @@ def word_shares(counted: DataFrame, words: dict[bytes, int]) -> Shares:
             found = batch["word"].to_pylist()
             tokens, size = _encode(found, words), np.fromiter(map(len, found), np.int64, len(found))
             above = np.logaddexp(0, np.log(batch["count"].to_numpy()) - prior[tokens] + SPELL * size)
-            tail = tokens >= first
-            yield pa.RecordBatch.from_pydict({"word": batch["word"].filter(pa.array(tail)),
+            tail = np.flatnonzero(tokens >= first)
+            yield pa.RecordBatch.from_pydict({"mark": np.fromiter((_signed(found[i]) for i in tail), np.int64, len(tail)),
                                               "gain": np.rint(above[tail] / UNIT).astype(np.int64)})
 
-    return Shares(floor, materialize(counted.mapInArrow(gain, "word binary, gain bigint"), "shares"))
+    return Shares(floor, materialize(counted.mapInArrow(gain, "mark bigint, gain bigint"), "shares"))
 
 
 class WindowNet:
     """Tables for each context place, tanh, and a softmax head for each digit; all float32 in one vector."""
 
-    SHAPES = {"tables": (len(OFFSETS), TOKENS + 1, HIDDEN), "bias": (HIDDEN,), "first": (HIDDEN, DIGIT),
-              "first_bias": (DIGIT,), "second": (HIDDEN, DIGIT), "second_bias": (DIGIT, DIGIT)}
-    SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
-
-    def __init__(self, vector: np.ndarray | None = None):
+    def __init__(self, digit: int = DIGIT, vector: np.ndarray | None = None):
+        self.digit, self.shapes = digit, {
+            "tables": (len(OFFSETS), digit * digit + 1, HIDDEN), "bias": (HIDDEN,), "first": (HIDDEN, digit),
+            "first_bias": (digit,), "second": (HIDDEN, digit), "second_bias": (digit, digit)}
+        size = sum(math.prod(s) for s in self.shapes.values())
         if vector is None:
-            vector = np.random.default_rng(SEED).normal(0, 0.1, self.SIZE).astype(np.float32)
+            vector = np.random.default_rng(SEED).normal(0, 0.1, size).astype(np.float32)
         self.vector, at = np.array(vector, np.float32), 0
-        for name, shape in self.SHAPES.items():
-            n = int(np.prod(shape))
+        for name, shape in self.shapes.items():
+            n = math.prod(shape)
             setattr(self, name, self.vector[at:at + n].reshape(shape))
             at += n
 
-    @staticmethod
-    def contexts(tokens: np.ndarray) -> np.ndarray:
+    def contexts(self, tokens: np.ndarray) -> np.ndarray:
         """Tokens around each token of one text: a row per place."""
-        padded = np.concatenate((np.full(REACH, PAD), tokens, np.full(REACH, PAD)))
+        beyond = np.full(REACH, self.digit * self.digit)
+        padded = np.concatenate((beyond, tokens, beyond))
         return np.stack([padded[REACH + o:REACH + o + len(tokens)] for o in OFFSETS])
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
@@ -168,22 +189,33 @@ class WindowNet:
         return np.tanh(total + self.bias)
 
     @staticmethod
-    def _softmax(x: np.ndarray) -> np.ndarray:
-        x -= x.max(axis=1, keepdims=True)
+    def _exponents(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials of the rows, scaled alike, and their sums (a product with ones is the fastest sum of short rows)."""
+        x -= x.max(initial=0)
         np.exp(x, out=x)
-        x /= x.sum(axis=1, keepdims=True)
+        return x, np.maximum(x @ np.ones(x.shape[1], x.dtype), np.float32(1e-30))
+
+    @classmethod
+    def _softmax(cls, x: np.ndarray) -> np.ndarray:
+        x, total = cls._exponents(x)
+        x /= total[:, None]
         return x
 
+    @classmethod
+    def _log_softmax(cls, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Log of each row's softmax at one place."""
+        x, total = cls._exponents(x)
+        return np.log(np.maximum(x[np.arange(len(x)), at], np.float32(1e-30)) / total)
+
     def log_probabilities(self, context: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Log-probability of each token given its context."""
-        h, (a, b), rows = self.hidden(context), np.divmod(tokens, DIGIT), np.arange(len(tokens))
-        p = self._softmax(h @ self.first + self.first_bias)[rows, a]
-        q = self._softmax(h @ self.second + self.second_bias[a])[rows, b]
-        return np.log(np.maximum(p, 1e-30)) + np.log(np.maximum(q, 1e-30))
+        h, (a, b) = self.hidden(context), np.divmod(tokens, self.digit)
+        return self._log_softmax(h @ self.first + self.first_bias, a) + self._log_softmax(
+            h @ self.second + self.second_bias[a], b)
 
     def train(self, context: np.ndarray, tokens: np.ndarray, seen: WindowNet) -> None:
         """One step of adaptive gradient descent; ``seen`` sums the squared gradients."""
-        h, (a, b), n = self.hidden(context), np.divmod(tokens, DIGIT), len(tokens)
+        h, (a, b), n = self.hidden(context), np.divmod(tokens, self.digit), len(tokens)
         rows, scale = np.arange(n), np.float32(1 / n)
         p = self._softmax(h @ self.first + self.first_bias)
         q = self._softmax(h @ self.second + self.second_bias[a])
@@ -207,17 +239,17 @@ class WindowNet:
 
 
 def _runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(ids, kind="stable")
-    ordered = ids[order]
+    small = ids.astype(np.uint16) if ids.size and ids.max() < 1 << 16 else ids  # sorts by radix
+    order = np.argsort(small, kind="stable")
+    ordered = small[order]
     return order, np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
 
 
-def _steps(texts: Iterator[str | None], words: dict[bytes, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _steps(texts: Iterator[np.ndarray], net: WindowNet) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Contexts and tokens of about ``BATCH`` tokens at a time, texts one after the other."""
     held, size = [], 0
-    for text in texts:
-        tokens = encode(text, words)
-        context = WindowNet.contexts(tokens)
+    for tokens in texts:
+        context = net.contexts(tokens)
         for at in range(0, len(tokens), BATCH):
             held.append((context[:, at:at + BATCH], tokens[at:at + BATCH]))
             size += len(held[-1][1])
@@ -228,6 +260,77 @@ def _steps(texts: Iterator[str | None], words: dict[bytes, int]) -> Iterator[tup
         yield np.concatenate([c for c, _ in held], axis=1), np.concatenate([t for _, t in held])
 
 
+class _Codes(dict):
+    """Tokens of frequent words; a rare word gets -1, -2, ... in the order of its first occurrence."""
+
+    def __init__(self, own: dict[bytes, int]):
+        super().__init__(own)
+        self.hashes, self.sizes = array("Q"), array("q")
+
+    def __missing__(self, word: bytes) -> int:
+        self.hashes.append(xxhash.xxh64_intdigest(word))
+        self.sizes.append(len(word))
+        self[word] = code = -len(self.hashes)
+        return code
+
+    def facts(self, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and length of rare words, by their numbers from 0."""
+        if not len(rare):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.frombuffer(self.hashes, np.uint64)[rare], np.frombuffer(self.sizes, np.int64)[rare]
+
+
+def coded(docs: DataFrame, text: str, words: Vocabulary, keep: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """``docs`` once split and coded, staged by training round: ``row``, ``id``, ``tokens``, ``run``, ``rare``, ``marks``, ``bytes``.
+
+    Rare words are numbered inside a run of texts of about ``RUN_BYTES``;
+    ``rare`` are the numbers of a text's rare words, ``bytes`` their length,
+    ``marks`` (with the last text of a run) the hashes of all of them.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+    packed = pack(docs, keep, text=F.col(text), id=F.monotonically_increasing_id(),
+                  round=F.coalesce(F.pmod(F.xxhash64(F.col(text)), F.lit(rounds)), F.lit(0)).cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        width = np.uint16 if known.tokens < 1 << 16 else np.uint32
+        first, room = len(known.own), known.tokens - len(known.own)
+        for batch in batches:
+            out, start, held = {k: [] for k in ("tokens", "run", "rare", "marks", "bytes")}, None, 0
+            codes, ids = _Codes(known.own), batch["id"].to_pylist()
+            for k, (t, i) in enumerate(zip(batch["text"], ids, strict=True)):
+                start = i if start is None else start
+                body = t.as_py()
+                found = np.array([codes[w] for w in split(body)], np.int64)
+                outside = np.flatnonzero(found < 0)
+                rare = -1 - found[outside]
+                mark, size = codes.facts(rare)
+                found[outside] = first + (mark % np.uint64(room)).astype(np.int64)
+                held += len(body or "")
+                out["tokens"].append(found.astype(width).tobytes())
+                out["rare"].append(rare.astype(np.int32).tobytes())
+                out["bytes"].append(int(size.sum()))
+                out["run"].append(start)
+                last = held >= RUN_BYTES or k + 1 == len(ids)
+                out["marks"].append(codes.hashes.tobytes() if last else None)
+                if last:
+                    codes, start, held = _Codes(known.own), None, 0
+            kinds = {"tokens": pa.binary(), "run": pa.int64(), "rare": pa.binary(), "marks": pa.binary(), "bytes": pa.int64()}
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["id"], batch["round"], *[pa.array(out[c], kinds[c]) for c in out]],
+                                             ["row", "id", "round", *out])
+
+    schema = StructType([*(packed.schema[c] for c in ("row", "id", "round"))]).add("tokens", "binary").add("run", "long").add(
+        "rare", "binary").add("marks", "binary").add("bytes", "long")
+    return materialize(packed.select("row", "text", "id", "round").mapInArrow(run, schema), "coded", parts=["round"])
+
+
+def _tokens(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[np.ndarray]:
+    width = np.uint16 if words.tokens < 1 << 16 else np.uint32
+    for batch in batches:
+        for t in batch["tokens"]:
+            yield np.frombuffer(t.as_py(), width).astype(np.int64)
+
+
 def _weighted_sum(table: pa.Table) -> tuple[int, np.ndarray]:
     """Sum of rows ``(task, tokens, part)`` in task order, so that it does not depend on the shuffle."""
     table = table.sort_by("task")
@@ -235,19 +338,18 @@ def _weighted_sum(table: pa.Table) -> tuple[int, np.ndarray]:
     return sum(table["tokens"].to_pylist()), total
 
 
-def train_round(docs: DataFrame, text: str, words: dict[bytes, int], vector: np.ndarray) -> np.ndarray:
+def train_round(codes: DataFrame, words: Vocabulary, vector: np.ndarray) -> np.ndarray:
     """Parameters after every task has trained on its texts, averaged by tokens."""
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((words, vector))
-    cuts = np.linspace(0, WindowNet.SIZE, SLICES + 1).astype(int)
+    shared = codes.sparkSession.sparkContext.broadcast((words, vector))
+    cuts = np.linspace(0, len(vector), SLICES + 1).astype(int)
     kind = "slice int, task int, tokens bigint, part binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         known, start = shared.value
-        net, seen, n = WindowNet(start), WindowNet(np.zeros(WindowNet.SIZE)), 0
-        for step, tokens in _steps((t.as_py() for batch in batches for t in batch["text"]), known):
+        net, seen, n = WindowNet(known.digit, start), WindowNet(known.digit, np.zeros(len(start))), 0
+        for step, tokens in _steps(_tokens(batches, known), net):
             net.train(step, tokens, seen)
             n += len(tokens)
         if n:
@@ -264,8 +366,11 @@ def train_round(docs: DataFrame, text: str, words: dict[bytes, int], vector: np.
         return pa.table({"slice": pa.array([table["slice"][0].as_py()], pa.int32()), "task": pa.array([task], pa.int32()),
                          "tokens": pa.array([n], pa.int64()), "part": pa.array([part.tobytes()], pa.binary())})
 
-    trained = docs.select(F.col(text).alias("text")).mapInArrow(run, kind)
-    level = trained.groupBy("slice", F.floor(F.col("task") / GROUP).alias("set")).applyInArrow(add, kind)
+    level = codes.select("tokens").mapInArrow(run, kind)
+    tasks = max(1, len(codes.inputFiles()))  # at least one file a task wrote, so about as many tasks; sets of GROUP at each level
+    while tasks > 1:
+        level = level.groupBy("slice", F.floor(F.col("task") / GROUP).alias("set")).applyInArrow(add, kind)
+        tasks = math.ceil(tasks / GROUP)
     rows = level.groupBy("slice").applyInArrow(add, kind).collect()  # one model's size
     if not rows:
         return vector
@@ -273,78 +378,101 @@ def train_round(docs: DataFrame, text: str, words: dict[bytes, int], vector: np.
     return np.concatenate([np.frombuffer(r["part"], np.float64) / r["tokens"] for r in rows]).astype(np.float32)
 
 
-def train(docs: DataFrame, text: str, words: dict[bytes, int], rounds: int = ROUNDS) -> np.ndarray:
-    """Parameters from all texts: each is in exactly one round."""
-    vector = WindowNet().vector
+def train(codes: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Parameters from all coded texts: each is in exactly one round, which reads no other."""
+    vector = WindowNet(words.digit).vector
     for k in range(rounds):
-        part = docs.filter(F.pmod(F.xxhash64(F.col(text)), F.lit(rounds)) == k)
-        vector = train_round(part, text, words, vector)
+        vector = train_round(codes.filter(F.col("round") == k), words, vector)
     return vector
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[dict[bytes, int], np.ndarray]:
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]:
     """Vocabulary and parameters from all texts."""
-    words = vocabulary(word_counts(docs, text))
-    return words, train(docs, text, words, rounds)
+    words = vocabulary(materialize(word_counts(docs, text), "words"))
+    return words, train(coded(docs, text, words, [text], rounds), words, rounds)
 
 
-def fit_words(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[dict[bytes, int], np.ndarray, Shares]:
+def fit_words(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray, Shares]:
     """As ``fit``, with the shares of the words outside the vocabulary."""
+    return _fit(docs, text, rounds, [text])[0]
+
+
+def _fit(docs: DataFrame, text: str, rounds: int, keep: list[str] | None) -> tuple[tuple, DataFrame]:
+    """A model of three parts, and the coded texts it was trained on."""
     counted = materialize(word_counts(docs, text), "words")
     words = vocabulary(counted)
-    return words, train(docs, text, words, rounds), word_shares(counted, words)
+    codes = coded(docs, text, words, keep, rounds)
+    return (words, train(codes, words, rounds), word_shares(counted, words)), codes
 
 
-def score(text: Column, words: dict[bytes, int], vector: np.ndarray, spark, floor: np.ndarray | None = None) -> Column:
-    """Struct ``tokens`` and ``log_probability`` of each whole text; with ``floor`` every word counts as
-    unseen inside its token, and ``tail`` lists the words outside the vocabulary."""
-    shared = spark.sparkContext.broadcast((words, vector, floor))
-    kind = "tokens:bigint,log_probability:double" + (",tail:array<binary>" if floor is not None else "")
+def token_scores(codes: DataFrame, words: Vocabulary, vector: np.ndarray, floor: np.ndarray | None) -> DataFrame:
+    """``codes`` with ``n`` and ``log_probability`` of their tokens; with ``floor`` rare words count as unseen inside theirs."""
+    shared = codes.sparkSession.sparkContext.broadcast((words, vector, floor))
 
-    @F.arrow_udf(f"struct<{kind}>")
-    def run(texts: pa.Array) -> pa.Array:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, parameters, unseen = shared.value
-        net, counts, sums, tails = WindowNet(parameters), [], [], []
-        for t in texts:
-            found = split(t.as_py())
-            tokens = _encode(found, known)
-            context, total = WindowNet.contexts(tokens), 0.0
-            for at in range(0, len(tokens), BATCH):
-                total += float(net.log_probabilities(context[:, at:at + BATCH], tokens[at:at + BATCH]).sum(dtype=np.float64))
-            if unseen is not None:
-                outside = np.flatnonzero(tokens >= len(known))
-                tails.append([found[i] for i in outside.tolist()])
-                total += float(unseen[tokens[outside]].sum()) - SPELL * sum(map(len, tails[-1]))
-            counts.append(len(tokens))
-            sums.append(total)
-        columns = {"tokens": pa.array(counts, pa.int64()), "log_probability": pa.array(sums, pa.float64())}
-        if unseen is not None:
-            columns["tail"] = pa.array(tails, pa.list_(pa.binary()))
-        return pa.StructArray.from_arrays(list(columns.values()), list(columns))
-
-    return run(text)
+        net, first = WindowNet(known.digit, parameters), len(known.own)
+        for batch in batches:
+            counts, sums, spelled = [], [], batch["bytes"].to_pylist()
+            for tokens, size in zip(_tokens([batch], known), spelled, strict=True):
+                context, total = net.contexts(tokens), 0.0
+                for at in range(0, len(tokens), BATCH):
+                    total += float(net.log_probabilities(context[:, at:at + BATCH], tokens[at:at + BATCH]).sum(dtype=np.float64))
+                if unseen is not None:
+                    total += float(unseen[tokens[tokens >= first]].sum()) - SPELL * size
+                counts.append(len(tokens))
+                sums.append(total)
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["id"], pa.array(counts, pa.int64()), pa.array(sums, pa.float64())],
+                                             ["row", "id", "n", "log_probability"])
+
+    schema = StructType([codes.schema["row"], codes.schema["id"]]).add("n", "long").add("log_probability", "double")
+    return codes.select("row", "id", "tokens", "bytes").mapInArrow(run, schema)
+
+
+def rare_gains(codes: DataFrame, gains: DataFrame) -> DataFrame:
+    """``(id, gain)`` of every text with rare words: what they have above unseen words."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, marks in zip(batch["run"].to_pylist(), batch["marks"].to_pylist(), strict=True):
+                found = np.frombuffer(marks, np.int64)
+                for at in range(0, len(found), 1 << 16):
+                    part = found[at:at + (1 << 16)]
+                    yield pa.RecordBatch.from_pydict({"run": np.full(len(part), start), "place": np.arange(at, at + len(part), dtype=np.int32),
+                                                      "mark": part})
+
+    def add(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        rare = [np.frombuffer(r, np.int32) for r in texts["rare"].to_pylist()]
+        gain = np.zeros(max((int(r.max()) + 1 for r in rare if len(r)), default=0), np.int64)
+        gain[answers["place"].to_numpy()] = answers["gain"].to_numpy()
+        return pa.table({"id": texts["id"].combine_chunks() if texts.num_rows else pa.array([], pa.int64()),
+                         "gain": pa.array([int(gain[r].sum()) for r in rare], pa.int64())})
+
+    asked = codes.filter(F.octet_length("marks") > 0).select("run", "marks").mapInArrow(ask, "run bigint, place int, mark bigint")
+    answers = asked.join(gains.hint("shuffle_hash"), "mark").select("run", "place", "gain")
+    texts = codes.filter(F.octet_length("rare") > 0).select("run", "id", "rare")
+    return texts.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(add, "id bigint, gain bigint")
 
 
 def score_documents(docs: DataFrame, text: str = "text", out: str = "score", model: tuple | None = None,
                     keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with the struct ``out`` (replaced if there).
+    """``docs`` (or its columns ``keep``) with the struct ``out`` (replaced if there): ``tokens``, ``log_probability``, ``per_token``.
 
     ``model`` is what ``fit_words`` returns, or ``fit`` for the score of the
-    tokens; without it ``fit_words`` runs on all of ``docs``.  The words joined
-    are the rare ones, outside the vocabulary, so no key of the join is hot.
+    tokens; without it a model is fitted to all of ``docs``.  A rare word is a
+    key of the join once per run of texts that holds it, however often it occurs.
     """
-    words, vector, *shares = model or fit_words(docs, text)
     names = keep or docs.columns
-    if not shares:
-        return docs.withColumn(out, score(F.col(text), words, vector, docs.sparkSession)).select(
-            *dict.fromkeys([*names, out]))
-    floor, gains = shares[0]
-    rows = pack(docs, keep, score=score(F.col(text), words, vector, docs.sparkSession, floor),
-                id=F.monotonically_increasing_id())
-    rows = materialize(rows, "scored")
-    asked = rows.select("id", F.explode("score.tail").alias("word"))
-    found = asked.join(gains.hint("shuffle_hash"), "word").groupBy("id").agg(F.sum("gain").alias("gain"))
-    joined = rows.select("row", "id", "score.tokens", "score.log_probability").join(found, "id", "left")
-    total = F.col("log_probability") + F.coalesce("gain", F.lit(0)) * F.lit(UNIT)
-    scored = F.struct(F.col("tokens"), total.alias("log_probability"))
-    return joined.select(*[F.col("row").getField(c).alias(c) for c in names if c != out], scored.alias(out))
+    if model is None:
+        model, codes = _fit(docs, text, ROUNDS, keep)
+    else:
+        codes = coded(docs, text, model[0], keep)
+    words, vector, *shares = model
+    scored = token_scores(codes, words, vector, shares[0].floor if shares else None)
+    total = F.col("log_probability")
+    if shares:
+        found = rare_gains(codes, shares[0].gains).withColumnRenamed("id", "found")
+        scored = scored.join(found, scored["id"] == found["found"], "left")
+        total = total + F.coalesce("gain", F.lit(0)) * F.lit(UNIT)
+    result = F.struct(F.col("n").alias("tokens"), total.alias("log_probability"), (total / F.nullif("n", F.lit(0))).alias("per_token"))
+    return scored.select(*[F.col("row").getField(c).alias(c) for c in names if c != out], result.alias(out))

@@ -40,7 +40,8 @@ def pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summed log-probability of every document under a network trained on all of them."""
     scored = score_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     return scored.select("doc_id", F.col("score.tokens").alias("n_tokens"),
-                         F.round("score.log_probability", 3).alias("log_probability"))
+                         F.round("score.log_probability", 3).alias("log_probability"),
+                         F.round("score.per_token", 6).alias("per_token"))
 
 
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
