@@ -12,6 +12,14 @@ Sub-packages:
 * ``plans`` – the four analyses, each in DataFrame and SQL form.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from beatwise.session import get_session, staging_path
 
+# Ship this package's functions by value with each task, so Python workers
+# need not have the package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["get_session", "staging_path"]

@@ -29,6 +29,10 @@ from beatwise.plans import daypart, income, months, stations
 from beatwise.schemas import CENSUS_DOC_SCHEMA, INCIDENT_SCHEMA, INCOME_SCHEMA, STATION_SCHEMA
 from beatwise.session import get_session
 from beatwise.sources import readers, sinks
+from beatwise.sources.checks import write_observed
+from beatwise.sources.features import read_features
+from beatwise.sources.properties import read_properties
+from beatwise.sources.records import read_csv_records
 
 
 # Rows of a result per postal area that are printed.
@@ -40,6 +44,8 @@ def _incidents(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return readers.read_parquet(spark, *args.incidents)
     if args.incident_format == "text":
         return readers.read_csv_lines(spark, args.incidents, INCIDENT_SCHEMA)
+    if args.incident_format == "records":
+        return read_csv_records(spark, args.incidents, INCIDENT_SCHEMA)
     return readers.read_csv(spark, args.incidents, INCIDENT_SCHEMA)
 
 
@@ -68,10 +74,19 @@ def _income(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     inc = readers.read_csv(spark, args.income, INCOME_SCHEMA, sep=";")
     if args.census_format == "parquet":
         return income.income_per_person_flat(readers.read_parquet(spark, args.census), inc, args.join)
+    if args.census_format in ("ranges", "inferred"):
+        return income.income_per_person_flat(_census(spark, args.census, args.census_format == "inferred"), inc, args.join)
     docs = readers.read_feature_docs(spark, args.census, CENSUS_DOC_SCHEMA)
     return income.income_per_person(docs, inc, args.join)
 
 
+def _census(spark: SparkSession, path: str, inferred: bool = False) -> DataFrame:
+    """Properties of census features, a document read by many tasks."""
+    if inferred:
+        return read_properties(spark, path)
+    return read_features(spark, path, CENSUS_DOC_SCHEMA["features"].dataType.elementType).select("properties.*")
+
+
 def _stations(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     inc = _incidents(spark, args)
     sites = readers.read_csv(spark, args.stations, STATION_SCHEMA)
@@ -92,7 +107,7 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--cluster", action="store_true")
         if incidents:
             c.add_argument("--incidents", nargs="+", required=name != "convert")
-            c.add_argument("--incident-format", choices=("csv", "text", "parquet"), default="csv")
+            c.add_argument("--incident-format", choices=("csv", "text", "records", "parquet"), default="csv")
         return c
 
     d = command("daypart")
@@ -107,7 +122,7 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--income", required=True)
     i.add_argument("--join", choices=("merge", "shuffle_hash", "broadcast"), default=None)
     i.add_argument("--text", action="store_true")
-    i.add_argument("--census-format", choices=("geojson", "parquet"), default="geojson")
+    i.add_argument("--census-format", choices=("geojson", "ranges", "inferred", "parquet"), default="geojson")
     i.add_argument("--income-header", default="Zip Code")
     s = command("stations")
     s.add_argument("--stations", required=True)
@@ -126,10 +141,9 @@ def main(argv: Sequence[str] | None = None) -> list:
         parser.error("convert takes either --incidents or --census")
     spark = get_session(args.master, app_name=f"beatwise-{args.command}", cluster=args.cluster)
     if args.command == "convert":
-        if args.census:
-            readers.ingest_census(spark, args.census, CENSUS_DOC_SCHEMA, args.output)
-        else:
-            sinks.write_parquet(_incidents(spark, args), args.output)
+        rows = _census(spark, args.census) if args.census else _incidents(spark, args)
+        for name, figure in write_observed(rows, args.output).items():
+            print(f"{name}={figure}")
         return []
     if args.command == "income":  # a row per postal area: as many as the data has
         sinks.write_csv(_income(spark, args), args.output, single_file=args.single_file)

@@ -8,20 +8,13 @@ columnar batches rather than one at a time.
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from beatwise.functions.columns import DAY_PART_DEFAULT, DAY_PARTS
 
-# Ship this package's functions by value with each task, so Python workers
-# need not have the package installed or on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
-
 
 def day_part_py(value) -> str:
     """Plain-Python day part of one HHMM value."""

@@ -20,7 +20,7 @@ from beatwise.functions.columns import haversine_km
 from beatwise.plans import daypart, income, months, stations
 from beatwise.schemas import CENSUS_DOC_SCHEMA, INCIDENT_SCHEMA, INCOME_SCHEMA
 from beatwise.session import staging_path
-from beatwise.sources import readers, sinks, testdata
+from beatwise.sources import checks, layout, readers, sinks, testdata
 from beatwise.sources.features import read_features
 from beatwise.sources.properties import read_properties
 from beatwise.sources.records import read_csv_records
@@ -34,6 +34,8 @@ INCIDENT_TEXT_SCHEMA = StructType([StructField(c, StringType())
 ROUND_DIGITS = 6
 
 _staged: dict[tuple[str, str, str], str] = {}
+# Catalog names of the bucketed tables, by their folder.
+_tables: dict[str, str] = {}
 
 
 def _stage(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
@@ -118,6 +120,13 @@ def daypart_share_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daypart.daypart_share(read_csv_records(spark, path, INCIDENT_SCHEMA), STREET)
 
 
+def daypart_share_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents laid out by premise: the filter picks a folder."""
+    path = _stage(spark, sf_dir, "incidents-by-premise", lambda p: layout.write_partitioned(
+        testdata.incidents_from_events(spark, sf_dir), p, "Premis Desc"))
+    return daypart.daypart_share(readers.read_parquet(spark, path), STREET)
+
+
 def parquet_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stage(spark, sf_dir, "orders-parquet",
                   lambda p: sinks.write_parquet(testdata.table(spark, sf_dir, "orders"), p))
@@ -198,6 +207,34 @@ def income_per_person_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return income.income_per_person_flat(read_properties(spark, _census_docs(spark, sf_dir)), inc)
 
 
+def income_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census and income in sorted buckets of the postal code: summed and joined without a shuffle."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs, money = _census_docs(spark, sf_dir), _income_csv(spark, sf_dir)
+    tables: dict[str, str] = {}
+
+    def table(name: str, key: str, rows: Callable[[], DataFrame]) -> DataFrame:
+        def write(path: str) -> None:
+            tables[name] = layout.write_bucketed(rows(), path, key, buckets)
+        path = _stage(spark, sf_dir, f"{name}-{buckets}-buckets", write)
+        return spark.table(_tables.setdefault(path, tables.get(name, "")))
+
+    features = table("census", income.ZIP, lambda: income.census_from_docs(
+        readers.read_feature_docs(spark, docs, CENSUS_DOC_SCHEMA)))
+    inc = table("income", "Zip_Code", lambda: readers.read_csv(spark, money, INCOME_SCHEMA, sep=";"))
+    return income.income_per_person_flat(features, inc, "merge")
+
+
+def income_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer balances as ``;`` lines of which some are short or hold no money: rows per reason, and good ones."""
+    path = _stage(spark, sf_dir, "balances-broken", lambda p: testdata.broken_balance_lines(spark, sf_dir).write.text(p))
+    rows = checks.checked(checks.read_csv_checked(spark, path, INCOME_SCHEMA, sep=";", header=False),
+                          {"money": checks.bad_money("Estimated_Median_Income")})
+    good, rejected, _ = checks.write_checked(rows, staging_path(spark, "balances-checked"))
+    counts = good.select(F.lit("good").alias("reason")).unionByName(rejected.select(F.explode("reasons").alias("reason")))
+    return counts.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def income_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``;`` money-table reader and cleaning, on customer balances (grows with the data)."""
     path = _stage(spark, sf_dir, "balances-csv", lambda p: sinks.write_csv(
@@ -261,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "daypart_share_text": daypart_share_text,
     "daypart_share_parquet": daypart_share_parquet,
     "daypart_share_quoted": daypart_share_quoted,
+    "daypart_share_partitioned": daypart_share_partitioned,
     "parquet_rewrite": parquet_rewrite,
     "top_months": top_months,
     "top_months_parsed": top_months_parsed,
@@ -274,6 +312,8 @@ QUERIES: dict[str, Query] = {
     "income_per_person_parquet": income_per_person_parquet,
     "income_per_person_ranges": income_per_person_ranges,
     "income_per_person_inferred": income_per_person_inferred,
+    "income_bucketed": income_bucketed,
+    "income_rejected": income_rejected,
     "income_from_text": income_from_text,
     "income_csv_semicolon": income_csv_semicolon,
     "station_load": station_load,
@@ -346,6 +386,12 @@ _INCOME_TABLE = """
     FROM customer
 """
 
+_INCOME_REJECTED = """
+    SELECT CASE WHEN c_custkey % 11 = 0 THEN 'malformed' WHEN c_custkey % 7 = 0 THEN 'money' ELSE 'good' END AS reason,
+           COUNT(*) AS n
+    FROM customer GROUP BY reason
+"""
+
 _POINTS = """
     SELECT c_custkey AS DR_NO,
            33.7e0 + (c_custkey % 997) / 997e0 * 0.7e0 AS LAT,
@@ -413,6 +459,7 @@ ORACLE_SQL: dict[str, str] = {
     "daypart_share_text": _DAYPART_SCALED,
     "daypart_share_parquet": _DAYPART_SHARE,
     "daypart_share_quoted": _DAYPART_SHARE,
+    "daypart_share_partitioned": _DAYPART_SHARE,
     "parquet_rewrite": "SELECT * FROM orders",
     "top_months": _TOP_MONTHS,
     "top_months_parsed": _TOP_MONTHS,
@@ -426,6 +473,8 @@ ORACLE_SQL: dict[str, str] = {
     "income_per_person_parquet": _INCOME,
     "income_per_person_ranges": _INCOME,
     "income_per_person_inferred": _INCOME,
+    "income_bucketed": _INCOME,
+    "income_rejected": _INCOME_REJECTED,
     "income_from_text": _INCOME,
     "income_csv_semicolon": _INCOME_TABLE,
     "station_load": _station_oracle(_NATION_SITES),

@@ -137,6 +137,14 @@ def balance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_balance_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``balance_rows`` as ``;`` lines, every 11th customer's cut short, every 7th other's without an amount."""
+    rows, key = balance_rows(spark, sf_dir), F.col("Zip_Code").cast("bigint")
+    money = F.when(key % 7 == 0, "n/a").otherwise(F.col("Estimated_Median_Income"))
+    whole = F.concat_ws(";", "Zip_Code", F.concat(F.lit('"'), "Community", F.lit('"')), money)
+    return rows.select(F.when(key % 11 == 0, F.col("Zip_Code")).otherwise(whole).alias("value"))
+
+
 def incident_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as located incidents: ``DR_NO``, ``LAT``, ``LON``."""
     c = table(spark, sf_dir, "customer")

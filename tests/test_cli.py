@@ -64,7 +64,7 @@ def test_cli_income(spark, files):
     base = ["income", "--census", f"{files}/blocks.geojson", "--income", f"{files}/income.csv"]
     rows = [tuple(r) for r in cli.main([*base, "--output", f"{files}/q3"])]
     assert rows == [("90001", 25000.0)]
-    for extra in (["--join", "merge"], ["--join", "shuffle_hash"], ["--text"]):
+    for extra in (["--join", "merge"], ["--join", "shuffle_hash"], ["--text"], ["--census-format", "ranges"], ["--census-format", "inferred"]):
         assert [tuple(r) for r in cli.main([*base, *extra, "--output", f"{files}/q3x"])] == rows
 
 
@@ -86,13 +86,19 @@ def test_cli_drop_unparsed(spark, files):
         assert None not in {r.year for r in cli.main([*base, *form, "--drop-unparsed"])}
 
 
-def test_cli_stations_and_convert(spark, files):
+def test_cli_stations_and_convert(spark, files, capsys):
     base = ["stations", "--incidents", f"{files}/a.csv", f"{files}/b.csv", "--stations", f"{files}/stations.csv"]
     rows = {r.DIVISION: r.num_of_crimes for r in cli.main([*base, "--output", f"{files}/q4"])}
     assert rows == {"Central": 2, "West": 1}
     sql = {r.DIVISION: r.num_of_crimes for r in cli.main([*base, "--sql", "--float", "--output", f"{files}/q4s"])}
     assert sql == rows
+    capsys.readouterr()
     cli.main(["convert", "--incidents", f"{files}/a.csv", f"{files}/b.csv", "--output", f"{files}/pq"])
+    said = dict(x.split("=", 1) for x in capsys.readouterr().out.splitlines() if "=" in x)
+    assert int(said["rows"]) == spark.read.parquet(f"{files}/pq").count() and int(said["nulls:DR_NO"]) == 0
+    by_records = cli.main(["daypart", "--incidents", f"{files}/a.csv", f"{files}/b.csv", "--incident-format", "records",
+                           "--output", f"{files}/q1r"])
     from_parquet = cli.main(["daypart", "--incidents", f"{files}/pq", "--incident-format", "parquet",
                              "--output", f"{files}/q1p"])
     assert {r.day_part: r.crime_count for r in from_parquet} == {"Morning": 2, "Afternoon": 1}
+    assert by_records == from_parquet
