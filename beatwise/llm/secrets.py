@@ -27,6 +27,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import materialize, pack
 
@@ -34,21 +35,28 @@ from .common import materialize, pack
 RUN = "[A-Za-z0-9+/_-]"
 CREDENTIAL_WORDS = ("password passwd passphrase pwd secret token api[_-]?key access[_-]?key private[_-]?key authorization auth "
                     "credential bearer")
-#: A credential word with its suffix, and what stands between it and its value.
-_NAME = "(?i:" + "|".join(CREDENTIAL_WORDS.split()) + ")(?:[0-9]+|(?i:s))?(?:[_-][A-Za-z0-9_-]*)?"
-_ASSIGN = _NAME + r"[\"']?\s*(?:=>|:=|==?|:)\s*"
-_SCHEME = r"(?:(?i:bearer|basic|token)\s+)?"
-_VALUE = r"(?:\"[^\s\"]+|'[^\s']+|[^\s\"']\S*(?<![,;.)\]}>\"']))"
+#: Names are looked at once, as whole runs: each loop takes all it can and gives nothing back, and a name starts where its
+#: run starts, so that the time to match a text grows with its length only.
+_WORD = "[A-Za-z0-9_-]"
+#: A credential word with its suffix, at the end of a name or before a - or _.
+_CREDENTIAL = "(?i:" + "|".join(CREDENTIAL_WORDS.split()) + ")(?:[0-9]++|(?i:s))?+(?![A-Za-z0-9])"
+_OPERATOR = r"[\"']?\s*+(?:=>|:=|==?|:)\s*+"
+#: The name of a credential and what stands between it and its value.
+_ASSIGN = rf"(?={_WORD}*?{_CREDENTIAL}){_WORD}++{_OPERATOR}"
+_SCHEME = r"(?:(?i:bearer|basic|token)\s++)?+"
+_VALUE = r"(?:\"[^\s\"]++|'[^\s']++|[^\s\"']\S*(?<![,;.)\]}>\"']))"
 #: What stands before a value inside its match; the rest is the candidate.
 PREFIX = rf"^(?:{_ASSIGN}{_SCHEME}[\"']?|(?i:bearer)[ \t]+|://[^\s/:@]*:)"
 #: No repeated group: Java's would recurse once a part.
 DOTTED = r"[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{6,}[A-Za-z0-9_.-]*(?<!\.)"
 CANDIDATE = "|".join([
-    rf"(?=[paPAsStTcCbB]){_ASSIGN}{_SCHEME}{_VALUE}",
-    rf"(?i:bearer)[ \t]+(?=[^\s0-9]*[0-9]){RUN}[A-Za-z0-9+/_.=~-]*",
-    r"://[^\s/:@]*:[^\s\"'<>]+(?=@)",
-    rf"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z._-]*[0-9]){DOTTED}",
-    rf"(?<!{RUN})(?=[A-Za-z+/_-]*[0-9])(?!{RUN}*{_ASSIGN}){RUN}{{12,}}"])
+    rf"(?<!{_WORD})(?={_WORD}++[\"']?\s*+[:=]){_ASSIGN}{_SCHEME}{_VALUE}",
+    rf"(?i:bearer)[ \t]++(?=[^\s0-9]*+[0-9]){RUN}[A-Za-z0-9+/_.=~-]*+",
+    r"://[^\s/:@]*+:[^\s\"'<>/]+(?=@)",
+    rf"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z._-]*+[0-9]){DOTTED}",
+    rf"(?<!{RUN})(?=[A-Za-z+/_-]*+[0-9])(?!(?={RUN}++[\"']?\s*+[:=])(?={RUN}*?{_CREDENTIAL})){RUN}{{12,}}+"])
+#: Where a run of token characters begins or ends.
+BORDER = rf"(?<={RUN})(?!{RUN})|(?<!{RUN})(?={RUN})"
 SAMPLE_WORDS = "test tests example examples sample mock fixture fixtures docs dummy"
 KEY_FORM = (r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}|"
             r"sk-[A-Za-z0-9]{20,}|[sr]k_(live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|xox[abp]-[A-Za-z0-9-]{10,}|"
@@ -69,30 +77,41 @@ FEATURES = ["size", "digit_share", "upper_share", "letter_digit", "case_changes"
             "word_before", "word_after"]
 
 
+def _cut(body: Column) -> Column:
+    """A text cut at its candidates: ``parts``, one more than ``found``."""
+    return F.struct(F.split(body, CANDIDATE).alias("parts"),
+                    F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)).alias("found"))
+
+
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``df`` plus a column that is worked out once a row, wherever it is used (also inside a function of an array)."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def candidates(df: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
-    """One row per candidate place: ``key``, ``path``, ``offset``, ``candidate``, ``before``, ``after``.
+    """One row per candidate place: ``key``, ``path``, ``row``, ``place``, ``offset``, ``candidate``, ``before``, ``after``.
 
-    ``df`` has a column ``key``.  A text is cut at every candidate form, so
-    each piece knows its neighbours; whole texts are read, never prefixes.
+    ``df`` has a column ``key``; ``row`` and ``place`` number rows and a row's
+    places.  A text is cut at every candidate, so each piece knows its
+    neighbours; whole texts are read, never prefixes.  The table is staged.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    cut = df.select("key", F.col(path).alias("path"), body.alias("body"),
-                    F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)).alias("found"))
-    cut = cut.filter(F.size("found") > 0).select("key", "path", "found", F.split("body", CANDIDATE).alias("parts"))
+    some = df.select("key", F.col(path).alias("path"), body.alias("body")).filter(F.col("body").rlike(CANDIDATE))
+    cut = _once(some, _cut(F.col("body")), "cut").select(
+        "key", "path", F.monotonically_increasing_id().alias("row"), "cut.parts", "cut.found")
     before = lambda i: F.concat(F.when(i > 0, F.get("found", i - 1)).otherwise(""), F.get("parts", i))
     places = F.transform("found", lambda m, i: F.struct(
         m.alias("match"), F.char_length(F.regexp_extract(m, PREFIX, 0)).alias("skip"),
         F.substring(before(i), -CONTEXT, CONTEXT).alias("before"),
         F.substring(F.concat(F.get("parts", i + 1), F.coalesce(F.get("found", i + 1), F.lit(""))), 1, CONTEXT).alias("after"),
         (F.char_length(F.get("parts", i)) + F.char_length(m)).alias("chars")))
-    cut = cut.select("key", "path", places.alias("places"))
-    ends = F.aggregate("places", F.array(F.lit(0)), lambda a, y: F.concat(a, F.array(F.element_at(a, -1) + y.chars)))
-    placed = cut.withColumn("ends", ends).select("key", "path", F.explode(F.transform("places", lambda x, i: F.struct(
-        (F.get("ends", i + 1) - F.char_length(x.match) + x.skip).alias("offset"),
-        F.substr(x.match, x.skip + 1).alias("candidate"),
-        F.substring(F.concat(x.before, F.substr(x.match, F.lit(1), x.skip)), -CONTEXT, CONTEXT).alias("before"),
-        x.after.alias("after")))).alias("place"))
-    return placed.select("key", "path", "place.candidate", "place.offset", "place.before", "place.after")
+    each = materialize(cut.select("key", "path", "row", F.posexplode(places).alias("place", "x")), "places")
+    end = F.sum("x.chars").over(Window.partitionBy("row").orderBy("place"))
+    return each.select(
+        "key", "path", "row", "place", (end - F.char_length("x.match") + F.col("x.skip")).cast("int").alias("offset"),
+        F.substr("x.match", F.col("x.skip") + 1).alias("candidate"),
+        F.substring(F.concat("x.before", F.substr("x.match", F.lit(1), F.col("x.skip"))), -CONTEXT, CONTEXT).alias("before"),
+        F.col("x.after").alias("after"))
 
 
 def frequent_words(df: DataFrame, text: str = "text", size: int = DICTIONARY_WORDS) -> DataFrame:
@@ -103,7 +122,7 @@ def frequent_words(df: DataFrame, text: str = "text", size: int = DICTIONARY_WOR
 
 
 #: A credential word, assigned or a scheme, right before; or the user of a URL.
-NAMED = rf"({_ASSIGN}{_SCHEME}[\"']?|(?i:bearer)\s+|://[^\s/:@]*:)$"
+NAMED = rf"((?<!{_WORD}){_ASSIGN}{_SCHEME}[\"']?|(?i:bearer)\s+|://[^\s/:@]*:)$"
 
 
 def _share(pattern: str) -> Column:
@@ -147,7 +166,7 @@ def weak_labels(found: DataFrame) -> DataFrame:
     digits = c.rlike("^[0-9]+$")
     secret = named & ~digits & c.rlike("[0-9]") & (F.char_length(c) >= LONG) & ~c.rlike(REFERENCE)
     beside = F.col("before").rlike(r"[=:\"'][ \t]*$") | F.col("after").rlike("^[\"']")
-    other = (digits & ~named) | (named & c.rlike(REFERENCE)) | ~(named | beside | F.col("before").rlike(f"{_NAME}\\W*$"))
+    other = (digits & ~named) | (named & c.rlike(REFERENCE)) | ~(named | beside | F.col("before").rlike(rf"{_CREDENTIAL}{_WORD}*\W*$"))
     return found.withColumn("label", F.when(c.rlike(KEY_FORM) | secret, 1.0).when(other, 0.0))
 
 
@@ -193,7 +212,7 @@ def scan(df: DataFrame, text: str = "text", path: str = "source", labelled: Data
     the findings label themselves by ``weak_labels``.
     """
     dictionary = materialize(frequent_words(df, text), "dictionary")
-    found = materialize(with_features(candidates(df, text, path), dictionary), "candidates")
+    found = materialize(with_features(materialize(candidates(df, text, path), "candidates"), dictionary), "features")
     known = weak_labels(found) if labelled is None else with_features(
         labelled.drop("label"), dictionary).join(
             labelled.select("key", "candidate", "offset", "label"), ["key", "candidate", "offset"])
@@ -207,18 +226,31 @@ def mask_secrets(df: DataFrame, text: str = "text", path: str = "source", mask:
 
     Verdicts join back on a hash of text and path, so equal rows share
     theirs and no row is lost or repeated; only texts with secrets are touched.
+    A text is put together again from its candidates and what lies between.
     """
     packed = pack(df, key=F.xxhash64(F.col(text), F.col(path)), text=F.col(text), path=F.col(path))
-    verdicts = scan(packed.select("key", "text", "path"), "text", "path", labelled).filter("is_secret")
-    # short ones where they were found, the last place first; then long ones at all places, the longest first
-    everywhere = (F.char_length("candidate") >= LONG) & F.col("candidate").rlike("[0-9]")
-    literal = lambda c: F.concat(F.lit("\\Q"), F.replace(c, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-    form = F.when(everywhere, F.concat(F.lit(f"(?<!{RUN})"), literal(F.col("candidate")), F.lit(f"(?!{RUN})"))).otherwise(
-        F.concat(F.lit("(?<="), literal(F.col("before")), F.lit(")"), literal(F.col("candidate"))))
-    turn = F.when(everywhere, -F.char_length("candidate")).otherwise(-F.col("offset"))
-    secrets = verdicts.groupBy("key").agg(F.sort_array(F.collect_set(F.struct(
-        everywhere.alias("long"), turn.alias("turn"), form.alias("form")))).alias("found"))
-    masked = F.aggregate("found", F.col("text"), lambda t, s: F.regexp_replace(t, s.form, F.lit(mask)))
-    joined = packed.join(secrets, "key", "left").withColumn(
-        "text", F.when(F.col("found").isNotNull(), masked).otherwise(F.col("text")))
-    return joined.select(*[(F.col("text") if c == text else F.col("row").getField(c)).alias(c) for c in df.columns])
+    scored = scan(packed.select("key", "text", "path"), "text", "path", labelled)
+    # of a text the verdicts in order of its places, and the runs that are masked wherever they stand
+    long = F.col("is_secret") & (F.char_length("candidate") >= LONG) & F.col("candidate").rlike("[0-9]")
+    verdicts = scored.groupBy("key").agg(
+        F.sort_array(F.collect_set(F.struct("place", "is_secret"))).alias("places"),
+        F.collect_set(F.when(long, F.col("candidate"))).alias("long"), F.max("is_secret").alias("any"))
+    verdicts = verdicts.filter("any").select("key", "long", F.transform("places", lambda p: p["is_secret"]).alias("flags"))
+    joined = packed.join(verdicts, "key", "left")
+    at = _once(joined, F.when(F.col("flags").isNotNull(), _cut(F.col("text"))), "cut").select(
+        "row", "text", "long", "flags", "cut.parts", "cut.found")
+    runs = lambda s: F.split(s, BORDER)
+    after = lambda m: F.substr(m, F.char_length(F.regexp_extract(m, PREFIX, 0)) + 1)
+    # long secrets found again outside the places that are masked anyway
+    rest = F.flatten(F.concat(F.transform("parts", runs), F.transform("found", lambda m, i: F.when(
+        F.get("flags", i), F.array().cast("array<string>")).otherwise(F.concat(F.array(after(m)), runs(m))))))
+    again = _once(at, F.when(F.col("flags").isNotNull(), F.array_intersect(rest, "long")), "again")
+    clean = lambda s: F.when(F.size("again") == 0, s).otherwise(F.array_join(F.transform(
+        runs(s), lambda r: F.when(F.array_contains("again", r), F.lit(mask)).otherwise(r)), ""))
+    lead = lambda m: F.regexp_extract(m, PREFIX, 0)
+    hidden = lambda m, i: F.get("flags", i) | F.array_contains("again", after(m))
+    masked = F.array_join(F.transform("parts", lambda p, i: F.concat(clean(p), F.coalesce(F.when(
+        hidden(F.get("found", i), i), F.concat(lead(F.get("found", i)), F.lit(mask))).otherwise(
+            clean(F.get("found", i))), F.lit("")))), "")
+    out = again.withColumn("text", F.when(F.col("flags").isNotNull(), masked).otherwise(F.col("text")))
+    return out.select(*[(F.col("text") if c == text else F.col("row").getField(c)).alias(c) for c in df.columns])

@@ -3,9 +3,13 @@
 import hashlib
 import math
 import random
+import re
+import string
+import time
 import uuid
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from beatwise.llm import pseudo_likelihood as lm
@@ -123,16 +127,108 @@ def test_values_of_any_form_are_candidates_and_masked(spark):
     assert all(masked[i] == t for i, t in enumerate(texts) if t.startswith("commit"))
 
 
+def slow_findings(text):
+    """Places by Python's own expressions: (offset, candidate, before, after); a context reaches over one neighbour."""
+    text, found = text or "", []
+    spans = [m.span() for m in re.finditer(secrets.CANDIDATE, text, re.ASCII)]
+    for k, (a, b) in enumerate(spans):
+        lead = re.match(secrets.PREFIX, text[a:b], re.ASCII)
+        at = a + (len(lead[0]) if lead else 0)
+        back = max(at - secrets.CONTEXT, spans[k - 1][0] if k else 0)
+        ahead = min(b + secrets.CONTEXT, spans[k + 1][1] if k + 1 < len(spans) else len(text))
+        found.append((at, text[at:b], text[back:at], text[b:ahead]))
+    return found
+
+
+def slow_features(candidate, before, after, path, dictionary):
+    n, pairs = len(candidate), list(zip(candidate, candidate[1:], strict=False))
+    digit, upper, lower = (lambda c: c in "0123456789"), (lambda c: "A" <= c <= "Z"), (lambda c: "a" <= c <= "z")
+    letter = lambda c: upper(c) or lower(c)
+    runs = [r for r in re.split("[^a-z]+", candidate.lower()) if len(r) >= 4]
+    last = re.search(r"([^\W\d_]+)[\W\d_]*$", before)
+    first = re.search(r"^[\W\d_]*([^\W\d_]+)", after)
+    return {"size": n, "digit_share": sum(map(digit, candidate)) / n, "upper_share": sum(map(upper, candidate)) / n,
+            "letter_digit": sum((digit(a) and letter(b)) or (letter(a) and digit(b)) for a, b in pairs) / n,
+            "case_changes": sum((lower(a) and upper(b)) or (upper(a) and lower(b)) for a, b in pairs) / n,
+            "consonant_runs": len(re.findall("(?i)[bcdfghjklmnpqrstvwxz]{3,}", candidate)) / n,
+            "hex_only": float(all(c in string.hexdigits for c in candidate)), "digits_only": float(all(map(digit, candidate))),
+            "covered": sum(len(r) for r in runs if r in dictionary) / n, "path_depth": (path or "").count("/"),
+            "path_sample": float(any(w in (path or "").lower() for w in secrets.SAMPLE_WORDS.split())),
+            "assigned": float(re.search(r"[=:]\s*[\"']?$", before) is not None), "quoted": float(re.search("[\"']$", before) is not None),
+            "word_before": len(last[1]) if last else 0, "word_after": len(first[1]) if first else 0}
+
+
+def mixed_texts(seed, n):
+    rng = random.Random(seed)
+    pick = ["token", "_", "api_key", " = ", ": ", '"', "'", "://a:", "@", ".", "abcdefgh1", "Xy9zQ-", "bearer ", "password=", "9f86d081884c",
+            " ", "\n", "é", "\U0001F600", "/", "+", ",", "house", "eyJhbGci.eyJzdWI1.", "1234567890123456"]
+    return ["".join(rng.choice(pick) for _ in range(rng.randrange(1, 60))) for _ in range(n)]
+
+
+def test_findings_and_features_equal_plain_python(spark):
+    texts = [*mixed_texts(5, 400), None, ""]
+    docs = spark.createDataFrame([(i, t, [None, "src/a.py", "docs/Example/x"][i % 3]) for i, t in enumerate(texts)],
+                                 "key bigint, text string, source string")
+    dictionary = spark.createDataFrame([("house",), ("token",)], "word string")
+    got = {}
+    for r in secrets.with_features(secrets.candidates(docs), dictionary).collect():
+        got.setdefault(r["key"], []).append((r["offset"], r["candidate"], r["before"], r["after"]))
+        want = slow_features(r["candidate"], r["before"], r["after"], r["path"], {"house", "token"})
+        assert {k: r[k] for k in want} == pytest.approx(want), r
+    assert {k: sorted(v) for k, v in got.items()} == {i: f for i, t in enumerate(texts) if (f := slow_findings(t))}
+    assert sum(map(len, got.values())) > 200
+
+
+def slow_mask(text, flags):
+    """Places with a verdict, then long ones among all other places and runs of token characters."""
+    places = [(a, c) for a, c, _, _ in slow_findings(text)]
+    long = {c for (_, c), f in zip(places, flags, strict=True) if f and len(c) >= secrets.LONG and re.search("[0-9]", c)}
+    out, at = [], 0
+    clean = lambda s: re.sub(f"(?<!{secrets.RUN}){secrets.RUN}+", lambda m: "[SECRET]" if m[0] in long else m[0], s)
+    for m, (a, c), f in zip(re.finditer(secrets.CANDIDATE, text, re.ASCII), places, flags, strict=True):
+        out.append(clean(text[at:m.start()]))
+        out.append(text[m.start():a] + "[SECRET]" if f or c in long else clean(m[0]))
+        at = m.end()
+    return "".join(out) + clean(text[at:])
+
+
+def test_masks_equal_plain_python(spark, monkeypatch):
+    """The verdict of a finding is given by its text, place by place."""
+    texts = mixed_texts(6, 300) + ["password=abc12345 and abc12345, xabc12345 abc12345/x é abc12345"]
+    verdict = lambda c: F.pmod(F.xxhash64("candidate", "offset"), F.lit(2)) == 0
+    monkeypatch.setattr(secrets.SecretForest, "__init__", lambda self, labelled: None)
+    monkeypatch.setattr(secrets.SecretForest, "score", lambda self, df: df.withColumns({"probability": F.lit(1.0), "is_secret": verdict(df)}))
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "key bigint, text string, source string")
+    flags = {}
+    for r in secrets.candidates(docs).withColumn("f", verdict(None)).collect():
+        flags.setdefault(r["key"], []).append((r["offset"], r["f"]))
+    for r in secrets.mask_secrets(docs).collect():
+        t = texts[r["key"]]
+        assert r["text"] == (slow_mask(t, [f for _, f in sorted(flags[r["key"]])]) if r["key"] in flags else t), t
+
+
+def test_time_grows_with_the_length_only(spark):
+    """A megabyte of beginnings of names, of URLs, or of candidates takes seconds."""
+    key = hashlib.sha1(b"q").hexdigest()
+    texts = ["token_" * 170_000, "://a:" * 200_000, "token=," * 150_000, "token " * 170_000, "a" * 1_000_000 + "1:", "token:" + " " * 1_000_000,
+             " ".join(f"{i:05d}{key[:12]}" for i in range(80_000)), 'token="' + key + '" ' + f"{key} " * 25_000]
+    began = time.time()
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "key bigint, text string, source string")
+    out = {r["key"]: r["text"] for r in secrets.mask_secrets(docs).collect()}
+    assert time.time() - began < 20 * len(texts)  # quadratic matching takes hours
+    assert out[0] == texts[0] and out[1] == texts[1] and out[3] == texts[3] and key not in out[7] and out[7].count("[SECRET]") == 25_001
+
+
 def slow_score(text, words, vector):
     """Probability of each token from explicit sums over both digits."""
-    net, tokens = lm.WindowNet(vector), lm.encode(text, words).tolist()
+    net, tokens = lm.WindowNet(words.digit, vector), lm.encode(text, words).tolist()
     total = 0.0
     for t, token in enumerate(tokens):
         h = np.zeros(lm.HIDDEN)
         for k, o in enumerate(lm.OFFSETS):
-            h += net.tables[k][tokens[t + o] if 0 <= t + o < len(tokens) else lm.PAD]
+            h += net.tables[k][tokens[t + o] if 0 <= t + o < len(tokens) else words.tokens]
         h = np.tanh(h + net.bias)
-        a, b = divmod(token, lm.DIGIT)
+        a, b = divmod(token, words.digit)
         first, second = h @ net.first + net.first_bias, h @ net.second + net.second_bias[a]
         total += math.log(math.exp(first[a]) / sum(map(math.exp, first))) + math.log(math.exp(second[b]) / sum(map(math.exp, second)))
     return len(tokens), total
@@ -154,7 +250,7 @@ def structured(seed, n):
 def test_scores_equal_plain_sums_and_beat_single_words_on_held_out_texts(spark):
     docs = spark.createDataFrame(structured(1, 4000), "doc_id bigint, text string").repartition(2)
     words, vector = lm.fit(docs)
-    assert set(words) == {w.encode() for w in WORDS}
+    assert set(words.own) == {w.encode() for w in WORDS}
     held = structured(2, 40) + [(900, None), (901, ""), (902, "unseen words only Here"), (903, "the " * 9000)]
     got = {r["doc_id"]: r for r in lm.score_documents(
         spark.createDataFrame(held, "doc_id bigint, text string"), model=(words, vector)).collect()}
@@ -169,9 +265,10 @@ def test_scores_equal_plain_sums_and_beat_single_words_on_held_out_texts(spark):
 
 
 def test_gradients_descend(spark):
-    net, seen = lm.WindowNet(), lm.WindowNet(np.zeros(lm.WindowNet.SIZE))
+    net = lm.WindowNet()
+    seen = lm.WindowNet(vector=np.zeros(len(net.vector)))
     tokens = np.array([1, 2, 3, 4] * 200)
-    context = lm.WindowNet.contexts(tokens)
+    context = net.contexts(tokens)
     before = net.log_probabilities(context, tokens).mean()
     for _ in range(30):
         net.train(context, tokens, seen)
@@ -179,19 +276,44 @@ def test_gradients_descend(spark):
 
 
 def test_every_text_is_trained_on(spark):
-    """The averaged rounds weigh by tokens: all tokens of the corpus arrive."""
+    """The averaged rounds weigh by tokens: all tokens of the corpus arrive, each text in one round."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     total = sum(len((r["text"] or "").split()) for r in docs.collect())
-    parts = [docs.filter(F.pmod(F.xxhash64("text"), F.lit(lm.ROUNDS)) == k) for k in range(lm.ROUNDS)]
-    assert sum(p.count() for p in parts) == docs.count()
-    assert sum(r["score"]["tokens"] for r in lm.score_documents(docs, model=({}, lm.WindowNet().vector)).collect()) == total
+    words = lm.Vocabulary({})
+    codes = lm.coded(docs, "text", words, ["doc_id"])
+    assert codes.count() == docs.count() and {r["round"] for r in codes.select("round").collect()} == set(range(lm.ROUNDS))
+    assert codes.agg(F.sum(F.octet_length("tokens"))).first()[0] == 2 * total
+    scored = lm.score_documents(docs, model=(words, lm.WindowNet().vector))
+    assert sum(r["score"]["tokens"] for r in scored.collect()) == total
+
+
+def test_the_vocabulary_grows_with_the_words(spark):
+    for n, digit in ((10, 32), (2_000_000, 38)):
+        counted = spark.range(n).select(F.col("id").cast("string").cast("binary").alias("word"), F.lit(1).cast("long").alias("count"))
+        words = lm.vocabulary(counted)
+        assert words.digit == digit and len(words.own) == min(n, 3 * digit * digit // 4)
+    net = lm.WindowNet(words.digit)
+    context, tokens = net.contexts(np.array([5, 1400, 7])), np.array([5, 1400, 7])
+    assert net.log_probabilities(context, tokens).shape == (3,)
+
+
+def test_rare_words_cross_runs_of_texts(spark, monkeypatch):
+    """Texts in many small runs score as in one; equal texts score alike."""
+    docs = spark.createDataFrame([(i, f"common rare{i % 7} odd{i} common") for i in range(60)], "doc_id bigint, text string").coalesce(1)
+    model = lm.fit_words(docs)
+    model = (lm.Vocabulary({b"common": 0}), model[1], lm.word_shares(lm.word_counts(docs), lm.Vocabulary({b"common": 0})))
+    whole = {r["doc_id"]: r["score"]["log_probability"] for r in lm.score_documents(docs, model=model).collect()}
+    monkeypatch.setattr(lm, "RUN_BYTES", 50)
+    assert lm.coded(docs, "text", model[0]).select("run").distinct().count() > 10
+    parts = {r["doc_id"]: r["score"]["log_probability"] for r in lm.score_documents(docs, model=model).collect()}
+    assert parts == whole
 
 
 def test_words_outside_the_vocabulary_are_scored_themselves(spark):
     """More words than own tokens: rare known words beat unseen garbage, in the sum that plain counts give."""
     rng = random.Random(9)
     spell = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
-    common, rare = [spell(6) for _ in range(lm.FREQUENT)], sorted({spell(7) for _ in range(3000)})
+    common, rare = [spell(6) for _ in range(3 * lm.DIGIT ** 2 // 4)], sorted({spell(7) for _ in range(3000)})
     texts = [" ".join(common) for _ in range(12)] + [" ".join(rng.sample(rare, 600)) for _ in range(20)]
     junk = [" ".join(spell(7) for _ in range(60)) for _ in range(10)]
     rows = list(enumerate(texts + junk))
@@ -203,11 +325,11 @@ def test_words_outside_the_vocabulary_are_scored_themselves(spark):
         counts[w] = counts.get(w, 0) + 1
     bucket = {}
     for w in counts:
-        if w.encode() not in words:
+        if w.encode() not in words.own:
             bucket.setdefault(int(lm.encode(w, words)[0]), []).append(w)
 
     def share(w):
-        token, room = int(lm.encode(w, words)[0]), lm.TOKENS - len(words)
+        token, room = int(lm.encode(w, words)[0]), words.tokens - len(words.own)
         inside = bucket.get(token, [])
         weight = len(inside) + 1
         return math.log((counts.get(w, 0) + weight * room * 257.0 ** -(len(w) + 1)) / (sum(counts[x] for x in inside) + weight))
@@ -219,8 +341,9 @@ def test_words_outside_the_vocabulary_are_scored_themselves(spark):
     assert got.columns == ["doc_id", "text", "id", "score"]
     for r in got.collect():
         n, want = slow_score(r["text"], words, vector)
-        want += sum(share(w) for w in (r["text"] or "").split() if w.encode() not in words)
+        want += sum(share(w) for w in (r["text"] or "").split() if w.encode() not in words.own)
         assert r["score"]["tokens"] == n and abs(r["score"]["log_probability"] - want) <= 1e-3 * max(1, n)
+        assert r["score"]["per_token"] == (r["score"]["log_probability"] / n if n else None)
     by_id = {r["doc_id"]: r["score"]["log_probability"] for r in got.collect()}
     assert by_id[2] < by_id[1] - 50 * math.log(20)
     whole = {r["doc_id"]: r["score"] for r in lm.score_documents(docs, keep=["doc_id"]).collect()}
