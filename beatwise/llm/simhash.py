@@ -91,10 +91,12 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
-                    max_bits: int = 2, keep: list[str] | None = None) -> DataFrame:
+                    max_bits: int = 2, keep: list[str] | None = None, root: str | None = None) -> DataFrame:
     """Columns of ``df`` (or those in ``keep``) plus ``fingerprint`` (hex) and ``component_id``.
 
     ``component_id`` is the smallest id that links reach, itself included.
+    ``root`` names a further column: a number that a component's rows share,
+    whether they have ids or not, and no other's.
     """
     keep = [c for c in keep or df.columns if c.lower() not in ("fingerprint", "component_id")]
     marked = materialize(pack(df, keep, id=F.col(id_col), fp=_fingerprint_udf(shingle)(F.col(text).cast("binary"))),
@@ -105,7 +107,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     rooted = prints.join(roots, prints.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     best = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(best, "root").select("fp", "component_id")
+    classes = rooted.join(best, "root").select("fp", "component_id", "root")
     return marked.join(classes, "fp").select(
         *[F.col("row").getField(c).alias(c) for c in keep],
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
+        *([F.col("root").alias(root)] if root else []))

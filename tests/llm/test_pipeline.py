@@ -9,7 +9,7 @@ from beatwise.llm.oracles import ORACLES
 from beatwise.llm.queries import QUERIES
 
 from .conftest import SF
-from .test_brute_force import LIBRARY, slow_components, slow_fingerprint, slow_leaks
+from .test_brute_force import LIBRARY, slow_fingerprint, slow_leaks
 
 
 def read(spark, folder):
@@ -33,15 +33,11 @@ def test_stages(spark, duck, request, kind):
     assert kept.columns == docs.columns and kept.schema == docs.schema
     want = con.sql(f"SELECT doc_id FROM ({ORACLES['op5_host_quality']}) WHERE kept").fetchall()
     assert sorted(map(repr, [(r["doc_id"],) for r in kept.select("doc_id").collect()])) == sorted(map(repr, want))
-    # near-duplicates: one row per component, unless it has no id
+    # near-duplicates: one row per component, with its smallest id
     rows = kept.select("doc_id", "text").collect()
     first = corpus_pipeline.simhash_dedup(spark, kept, folder)
     assert first.columns == docs.columns
-    components = slow_components([(r["doc_id"], slow_fingerprint(r["text"])) for r in rows])
-    stay = {c for _, _, c in components if c is not None}
-    got = [r["doc_id"] for r in first.select("doc_id").collect()]
-    assert sorted(x for x in got if x is not None) == sorted(stay)
-    assert got.count(None) == sum(c is None for _, _, c in components)
+    one_of_each(rows, first.select("doc_id", "text").collect())
     # benchmark
     clean = corpus_pipeline.benchmark_decontamination(spark, first, folder)
     rows = [(r["doc_id"], r["text"]) for r in first.select("doc_id", "text").collect()]
@@ -63,6 +59,51 @@ def test_stages(spark, duck, request, kind):
         assert list(r["ids"]) == LIBRARY.encode(after[r["doc_id"]] or "") and r["n_tokens"] == len(r["ids"])
 
 
+def one_of_each(rows, left):
+    """``left`` has one of ``rows`` for each component over all pairs of texts, with the component's smallest id."""
+    prints = [slow_fingerprint(r["text"]) for r in rows]
+    distinct = sorted(set(prints))
+    root = {fp: fp for fp in distinct}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(distinct):
+        for b in distinct[i + 1:]:
+            if (a ^ b).bit_count() <= 2:
+                root[find(a)] = find(b)
+    own, ids = {}, {}
+    for r, fp in zip(rows, prints, strict=True):
+        own.setdefault(find(fp), []).append((r["doc_id"], r["text"]))
+        ids.setdefault(find(fp), []).append(r["doc_id"])
+    kept = [(find(slow_fingerprint(r["text"])), r["doc_id"], r["text"]) for r in left]
+    assert sorted(k for k, _, _ in kept) == sorted(own)
+    for k, i, text in kept:
+        assert (i, text) in own[k] and i == min((x for x in ids[k] if x is not None), default=None)
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Ids that repeat with other texts, groups without ids, and many equal rows."""
+    a, b, c, d = ("alpha beta gamma delta " * 9, "one two three four five " * 9, "red green blue black " * 9, "x y z w v u " * 9)
+    rows = [(2, a, 1), (2, b, 1), (5, b, 1), (7, c, 1), (None, d, 1), (None, d, 2), (None, d + " ", 1), (3, c, 1), (None, c, 1), (8, None, 1),
+            (None, "", 1)] + [(9, a + "tail of another kind of text " * 9, 1)] * 300
+    docs = spark.createDataFrame([(i, t, n, "x") for i, t, n in rows], "doc_id bigint, text string, n int, root string").repartition(5)
+    left = corpus_pipeline.simhash_dedup(spark, docs, "")
+    assert left.columns == docs.columns
+    got = left.collect()
+    one_of_each([r.asDict() for r in docs.collect()], got)
+    assert sorted((r["doc_id"], r["text"][:5]) for r in got if r["text"] and r["doc_id"]) == [(2, "alpha"), (2, "one t"), (3, "red g"), (9, "alpha")]
+    assert sum(r["text"] is not None and r["text"].startswith("x y") for r in got) == 1
+
+
+def test_verdicts_take_no_name_of_a_column(spark):
+    docs = spark.createDataFrame([(1, "word " * 5 + "other words of a text that goes on and on with no end in sight for now " * 2, "en", "s", 9, "mine", "too")],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint, __verdict string, verdict string")
+    assert corpus_pipeline.quality_rules(spark, docs, "").columns == docs.columns
+
+
 def test_run_equals_its_stages(spark):
     docs = read(spark, SF)
     for _, stage in corpus_pipeline.STAGES:
