@@ -9,7 +9,6 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from beatwise.llm.common import remove, staged_tables_removed
 from beatwise.llm.decontaminate import remove_leaked
@@ -24,26 +23,26 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that their own rules and their host's verdict keep."""
-    return judge_hosts(docs, out="__verdict").filter("__verdict.kept").drop("__verdict")
+    verdict = max(("verdict", *docs.columns), key=len) + "_"  # no column's name
+    return judge_hosts(docs, out=verdict).filter(F.col(f"`{verdict}`.kept")).drop(verdict)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: a row with the group's smallest id.
+    """One document of each near-duplicate group: a row with the group's smallest id, or any if none has one.
 
-    Groups are found on ids and text hashes; the texts are shuffled once, to
-    keep the chosen rows.  Of rows that repeat the smallest id one stays, by
-    the hash of its columns.  A group without any id keeps all its rows.
+    Groups are found on ids and hashes of rows; the texts are shuffled once,
+    to keep the chosen rows.  Of several rows with the smallest id the one
+    with the smallest hash of all its columns stays; rows equal in all columns
+    meet in each task before the shuffle and are one.
     """
-    mark = F.xxhash64("text")
-    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), mark.alias("mark"), "text")
-    classes = near_duplicates(rows.select("id", "mark", "text"), id_col="id", shingle=3, max_bits=2, keep=["id", "mark"])
-    named = classes.filter("id = component_id").groupBy("id").agg(F.min("mark").alias("mark"))
-    nameless = classes.filter("id IS NULL AND component_id IS NULL").select("id", "mark").distinct()
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), "text").withColumn("mark", F.xxhash64("doc"))
+    classes = near_duplicates(rows.select("id", "mark", "text"), id_col="id", shingle=3, max_bits=2,
+                              keep=["id", "mark"], root="root")
+    least = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "mark")).alias("least")
     place = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("none")), "mark").alias("place")
-    stay = named.unionByName(nameless).select(place)
-    chosen = rows.select("doc", "id", place).join(stay, "place")
-    turn = F.row_number().over(Window.partitionBy("place").orderBy(F.xxhash64("doc")))
-    return chosen.withColumn("turn", turn).filter("turn = 1 OR id IS NULL").select("doc.*")
+    stay = classes.groupBy("root").agg(least).select("least.*").select(place)
+    once = rows.select("doc", place).groupBy("place").agg(F.first("doc").alias("doc"))
+    return once.join(stay, "place").select("doc.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
