@@ -32,13 +32,12 @@ a text without tokens has a null ``per_token``.
 from __future__ import annotations
 
 import math
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,7 +70,26 @@ class Vocabulary(NamedTuple):
 
 def split(text: str | None) -> list[bytes]:
     """Words of a whole text, in lower case."""
-    return (text or "").lower().encode("utf-8", "replace").split()
+    return words_in(pa.array([text], pa.string()))[0].cast(pa.binary()).to_pylist()
+
+
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts one after the other, in lower case, and how many each has; ASCII white space separates."""
+    lists = pc.ascii_split_whitespace(pc.utf8_lower(texts.cast(pa.large_string()).fill_null("")))
+    flat, edges = lists.values, lists.offsets.to_numpy()
+    there = pc.not_equal(flat, "")  # none at either end of a text
+    seen = np.concatenate(([0], np.cumsum(there.to_numpy(zero_copy_only=False))))
+    return flat.filter(there), seen[edges[1:]] - seen[edges[:-1]]
+
+
+def runs_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``RUN_BYTES``."""
+    size = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin, done = 0, 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(size, done + RUN_BYTES, "right")))
+        yield begin, end
+        begin, done = end, size[end - 1]
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -79,11 +97,10 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = Counter()
-            for t in batch["text"]:
-                found.update(split(t.as_py()))
-            yield pa.RecordBatch.from_pydict({"word": pa.array(found.keys(), pa.binary()),
-                                              "count": pa.array(found.values(), pa.int64())})
+            for a, b in runs_of(batch["text"]):
+                found = words_in(batch["text"].slice(a, b - a))[0].value_counts()
+                yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()).cast(pa.binary()), found.field("counts")],
+                                                 ["word", "count"])
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "word binary, count bigint")
     return counted.groupBy("word").agg(F.sum("count").alias("count"))
@@ -260,26 +277,6 @@ def _steps(texts: Iterator[np.ndarray], net: WindowNet) -> Iterator[tuple[np.nda
         yield np.concatenate([c for c, _ in held], axis=1), np.concatenate([t for _, t in held])
 
 
-class _Codes(dict):
-    """Tokens of frequent words; a rare word gets -1, -2, ... in the order of its first occurrence."""
-
-    def __init__(self, own: dict[bytes, int]):
-        super().__init__(own)
-        self.hashes, self.sizes = array("Q"), array("q")
-
-    def __missing__(self, word: bytes) -> int:
-        self.hashes.append(xxhash.xxh64_intdigest(word))
-        self.sizes.append(len(word))
-        self[word] = code = -len(self.hashes)
-        return code
-
-    def facts(self, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and length of rare words, by their numbers from 0."""
-        if not len(rare):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.frombuffer(self.hashes, np.uint64)[rare], np.frombuffer(self.sizes, np.int64)[rare]
-
-
 def coded(docs: DataFrame, text: str, words: Vocabulary, keep: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` once split and coded, staged by training round: ``row``, ``id``, ``tokens``, ``run``, ``rare``, ``marks``, ``bytes``.
 
@@ -294,28 +291,31 @@ def coded(docs: DataFrame, text: str, words: Vocabulary, keep: list[str] | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         width = np.uint16 if known.tokens < 1 << 16 else np.uint32
-        first, room = len(known.own), known.tokens - len(known.own)
+        first, own, room = len(known.own), known.own, known.tokens - len(known.own)
+        kinds = {"tokens": pa.binary(), "run": pa.int64(), "rare": pa.binary(), "marks": pa.binary(), "bytes": pa.int64()}
         for batch in batches:
-            out, start, held = {k: [] for k in ("tokens", "run", "rare", "marks", "bytes")}, None, 0
-            codes, ids = _Codes(known.own), batch["id"].to_pylist()
-            for k, (t, i) in enumerate(zip(batch["text"], ids, strict=True)):
-                start = i if start is None else start
-                body = t.as_py()
-                found = np.array([codes[w] for w in split(body)], np.int64)
-                outside = np.flatnonzero(found < 0)
-                rare = -1 - found[outside]
-                mark, size = codes.facts(rare)
-                found[outside] = first + (mark % np.uint64(room)).astype(np.int64)
-                held += len(body or "")
-                out["tokens"].append(found.astype(width).tobytes())
-                out["rare"].append(rare.astype(np.int32).tobytes())
-                out["bytes"].append(int(size.sum()))
-                out["run"].append(start)
-                last = held >= RUN_BYTES or k + 1 == len(ids)
-                out["marks"].append(codes.hashes.tobytes() if last else None)
-                if last:
-                    codes, start, held = _Codes(known.own), None, 0
-            kinds = {"tokens": pa.binary(), "run": pa.int64(), "rare": pa.binary(), "marks": pa.binary(), "bytes": pa.int64()}
+            out, ids = {k: [] for k in kinds}, batch["id"].to_numpy()
+            for begin, end in runs_of(batch["text"]):
+                flat, count = words_in(batch["text"].slice(begin, end - begin))
+                coded = flat.dictionary_encode()
+                distinct, place = coded.dictionary.cast(pa.string()).cast(pa.binary()).to_pylist(), coded.indices.to_numpy()
+                # what each different word of the run is: its token, and if it is rare its number, hash and length
+                token = np.fromiter((own.get(w, -1) for w in distinct), np.int64, len(distinct))
+                rare = np.flatnonzero(token < 0)
+                marks = np.fromiter((xxhash.xxh64_intdigest(distinct[i]) for i in rare), np.uint64, len(rare))
+                token[rare] = first + (marks % np.uint64(room)).astype(np.int64)
+                number, size = np.full(len(distinct), -1, np.int32), np.zeros(len(distinct), np.int64)
+                number[rare] = np.arange(len(rare))
+                size[rare] = [len(distinct[i]) for i in rare]
+                tokens, numbers, sizes = token.astype(width)[place], number[place], np.concatenate(([0], np.cumsum(size[place])))
+                edge = np.concatenate(([0], np.cumsum(count)))
+                for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                    own_numbers = numbers[a:b]
+                    out["tokens"].append(tokens[a:b].tobytes())
+                    out["rare"].append(own_numbers[own_numbers >= 0].tobytes())
+                    out["bytes"].append(int(sizes[b] - sizes[a]))
+                out["run"] += [int(ids[begin])] * (end - begin)
+                out["marks"] += [None] * (end - begin - 1) + [marks.tobytes()]
             yield pa.RecordBatch.from_arrays([batch["row"], batch["id"], batch["round"], *[pa.array(out[c], kinds[c]) for c in out]],
                                              ["row", "id", "round", *out])
 
