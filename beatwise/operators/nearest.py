@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatwise.functions.columns import haversine_km, to_double, unit_vector
+from beatwise.functions.columns import EARTH_RADIUS_KM, to_double, unit_vector
 from beatwise.session import write_staged
 
 #: Sites that a point measures itself against, at most (but for sites within metres of each other).
@@ -104,9 +104,20 @@ def _first_level(sites: DataFrame) -> int:
 
 
 def _best(candidates: Column) -> Column:
-    """Closest of an array of sites, as ``struct<d, sid>``."""
-    far = lambda c: haversine_km("_lat", "_lon", c["lat"], c["lon"])
-    return F.array_min(F.transform(candidates, lambda c: F.struct(far(c).alias("d"), c["id"].alias("sid"))))
+    """Closest of an array of sites by haversine, as ``struct<d, sid>``.
+
+    In two steps, since inside a function of an array a value that is named
+    three times is worked out three times.
+    """
+    p1, l1 = F.radians("_lat"), F.radians("_lon")
+
+    def half(c: Column) -> Column:
+        p2, l2 = F.radians(c["lat"]), F.radians(c["lon"])
+        return F.sqrt(F.pow(F.sin((p2 - p1) / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin((l2 - l1) / 2), 2))
+
+    halves = F.transform(candidates, lambda c: F.struct(half(c).alias("h"), c["id"].alias("sid")))
+    far = lambda x: 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), x["h"]))
+    return F.array_min(F.transform(halves, lambda x: F.struct(far(x).alias("d"), x["sid"].alias("sid"))))
 
 
 def _measured(points: DataFrame, done: DataFrame, sites: DataFrame, level: int, hot: int, leaf_sites: int) -> DataFrame:
