@@ -132,14 +132,15 @@ def _share(pattern: str) -> Column:
 def with_features(found: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Add the feature columns; ``dictionary`` is a bounded table of words, small enough to broadcast."""
     runs = F.filter(F.split(F.lower("candidate"), "[^a-z]+"), lambda r: F.char_length(r) >= 4)
-    distinct = found.select("candidate").distinct()
-    covered = distinct.select("candidate", F.explode(runs).alias("word")).join(
-        F.broadcast(dictionary), "word").groupBy("candidate").agg(F.sum(F.char_length("word")).alias("chars"))
+    digest = F.sha2(F.col("candidate").cast("binary"), 256)  # a word beside a long candidate must not carry it along
+    distinct = found.select("candidate").distinct().select(digest.alias("candidate_digest"), runs.alias("runs"))
+    covered = distinct.select("candidate_digest", F.explode("runs").alias("word")).join(
+        F.broadcast(dictionary), "word").groupBy("candidate_digest").agg(F.sum(F.char_length("word")).alias("chars"))
     any_of = lambda words: "(?i)(" + "|".join(words.split()) + ")"
     before_words = F.regexp_extract("before", r"([\p{L}]+)[^\p{L}]*$", 1)
     after_words = F.regexp_extract("after", r"^[^\p{L}]*([\p{L}]+)", 1)
     path = F.coalesce("path", F.lit(""))
-    return found.join(covered, "candidate", "left").select(
+    return found.join(covered, digest == F.col("candidate_digest"), "left").select(
         *found.columns,
         F.char_length("candidate").cast("double").alias("size"),
         _share("[0-9]").alias("digit_share"), _share("[A-Z]").alias("upper_share"),

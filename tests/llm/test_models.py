@@ -219,6 +219,18 @@ def test_time_grows_with_the_length_only(spark):
     assert out[0] == texts[0] and out[1] == texts[1] and out[3] == texts[3] and key not in out[7] and out[7].count("[SECRET]") == 25_001
 
 
+def test_words_of_a_long_candidate_do_not_carry_it(spark):
+    """Many dictionary words in one candidate of a quarter of a megabyte: the time grows with its length only."""
+    long = "token=," * 37_500
+    found = secrets.candidates(held([f"token={long}", f'token = "{"token-" * 3}7" and password: {"a" * 20}'], spark))
+    began = time.time()
+    rows = secrets.with_features(found, spark.createDataFrame([("token",), ("other",)], "word string")).collect()
+    assert time.time() - began < 8  # 250,000 bytes for each of 37,500 words take more
+    for r in rows:
+        assert r["covered"] == 5 * r["candidate"].count("token") / len(r["candidate"])
+    assert sorted(len(r["candidate"]) for r in rows)[-1] > 200_000
+
+
 def slow_score(text, words, vector):
     """Probability of each token from explicit sums over both digits."""
     net, tokens = lm.WindowNet(words.digit, vector), lm.encode(text, words).tolist()
