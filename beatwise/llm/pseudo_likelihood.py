@@ -192,6 +192,14 @@ class WindowNet:
             n = math.prod(shape)
             setattr(self, name, self.vector[at:at + n].reshape(shape))
             at += n
+        self._held: dict[str, np.ndarray] = {}
+
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """An array of no certain content, the same memory in every step: the first touch of new memory costs more than the sums in it."""
+        size, held = math.prod(shape), self._held.get(name)
+        if held is None or held.size < size:
+            held = self._held[name] = np.empty(size, np.float32)
+        return held[:size].reshape(shape)
 
     def contexts(self, tokens: np.ndarray) -> np.ndarray:
         """Tokens around each token of one text: a row per place."""
@@ -199,60 +207,76 @@ class WindowNet:
         padded = np.concatenate((beyond, tokens, beyond))
         return np.stack([padded[REACH + o:REACH + o + len(tokens)] for o in OFFSETS])
 
+    def _rows(self, table: np.ndarray, at: np.ndarray, name: str) -> np.ndarray:
+        return table.take(at, axis=0, out=self._room(name, len(at), table.shape[1]), mode="clip")
+
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        total = self.tables[0][context[0]]
+        """Hidden units of each token, good until the next step."""
+        total = self._rows(self.tables[0], context[0], "hidden")
         for table, place in zip(self.tables[1:], context[1:], strict=True):
-            total += table[place]
-        return np.tanh(total + self.bias)
-
-    @staticmethod
-    def _exponents(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exponentials of the rows, scaled alike, and their sums (a product with ones is the fastest sum of short rows)."""
-        x -= x.max(initial=0)
-        np.exp(x, out=x)
-        return x, np.maximum(x @ np.ones(x.shape[1], x.dtype), np.float32(1e-30))
-
-    @classmethod
-    def _softmax(cls, x: np.ndarray) -> np.ndarray:
-        x, total = cls._exponents(x)
-        x /= total[:, None]
-        return x
-
-    @classmethod
-    def _log_softmax(cls, x: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Log of each row's softmax at one place."""
-        x, total = cls._exponents(x)
-        return np.log(np.maximum(x[np.arange(len(x)), at], np.float32(1e-30)) / total)
-
-    def log_probabilities(self, context: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-        """Log-probability of each token given its context."""
-        h, (a, b) = self.hidden(context), np.divmod(tokens, self.digit)
-        return self._log_softmax(h @ self.first + self.first_bias, a) + self._log_softmax(
-            h @ self.second + self.second_bias[a], b)
+            total += self._rows(table, place, "units")
+        total += self.bias
+        return np.tanh(total, out=total)
+
+    def _exponents(self, h: np.ndarray, a: np.ndarray, ends: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For both digits the exponentials of the logits, those of a piece of text scaled alike, and their sums by row
+        (a product with ones is the fastest sum of short rows)."""
+        first = np.matmul(h, self.first, out=self._room("first", len(h), self.digit))
+        first += self.first_bias
+        second = np.matmul(h, self.second, out=self._room("second", len(h), self.digit))
+        second += self._rows(self.second_bias, a, "digits")
+        found, ones = [], np.ones(self.digit, np.float32)
+        for x in (first, second):
+            total, pieces = np.empty(len(x), np.float32), list(zip([0, *ends[:-1]], ends, strict=True))
+            for begin, end in pieces:
+                x[begin:end] -= x[begin:end].max(initial=0)
+            np.exp(x, out=x)
+            for begin, end in pieces:
+                np.matmul(x[begin:end], ones, out=total[begin:end])
+            found.append((x, np.maximum(total, np.float32(1e-30), out=total)))
+        return found
+
+    def log_probabilities(self, context: np.ndarray, tokens: np.ndarray, ends: list[int] | None = None) -> np.ndarray:
+        """Log-probability of each token given its context; a piece of text, which ends at each of ``ends``, has the same beside any other."""
+        h, digits, rows = self.hidden(context), np.divmod(tokens, self.digit), np.arange(len(tokens))
+        first, second = (np.log(np.maximum(x[rows, at], np.float32(1e-30)) / total) for (x, total), at in zip(
+            self._exponents(h, digits[0], ends or [len(tokens)]), digits, strict=True))
+        return first + second
 
     def train(self, context: np.ndarray, tokens: np.ndarray, seen: WindowNet) -> None:
         """One step of adaptive gradient descent; ``seen`` sums the squared gradients."""
         h, (a, b), n = self.hidden(context), np.divmod(tokens, self.digit), len(tokens)
         rows, scale = np.arange(n), np.float32(1 / n)
-        p = self._softmax(h @ self.first + self.first_bias)
-        q = self._softmax(h @ self.second + self.second_bias[a])
-        p[rows, a] -= 1
-        q[rows, b] -= 1
-        back = (p @ self.first.T + q @ self.second.T) * (1 - h * h)
+        for (x, total), at in zip(found := self._exponents(h, a, [n]), (a, b), strict=True):
+            x /= total[:, None]
+            x[rows, at] -= 1
+        (p, _), (q, _) = found
+        back, units = self._room("back", n, HIDDEN), self._room("units", n, HIDDEN)
+        np.matmul(p, self.first.T, out=back)
+        back += np.matmul(q, self.second.T, out=units)
+        back *= np.subtract(1, np.multiply(h, h, out=units), out=units)
         second_bias = np.zeros_like(self.second_bias)
         order, runs = _runs(a)
-        second_bias[a[order[runs]]] = np.add.reduceat(q[order], runs)
+        second_bias[a[order[runs]]] = np.add.reduceat(self._rows(q, order, "digits"), runs)
         for name, g in (("first", h.T @ p), ("first_bias", p.sum(axis=0)), ("second", h.T @ q),
                         ("second_bias", second_bias), ("bias", back.sum(axis=0))):
-            self._step(getattr(self, name), getattr(seen, name), slice(None), g * scale)
+            value, squares = getattr(self, name), getattr(seen, name)
+            value -= self._change(squares, g * scale)
         for place, ids in enumerate(context):
             order, runs = _runs(ids)
-            self._step(self.tables[place], seen.tables[place], ids[order[runs]], np.add.reduceat(back[order], runs) * scale)
+            gradient, at = np.add.reduceat(self._rows(back, order, "units"), runs), ids[order[runs]]
+            gradient *= scale
+            value, squares = self.tables[place], seen.tables[place].take(at, axis=0)
+            value[at] = value.take(at, axis=0) - self._change(squares, gradient)
+            seen.tables[place][at] = squares
 
     @staticmethod
-    def _step(value: np.ndarray, seen: np.ndarray, at, gradient: np.ndarray) -> None:
-        seen[at] += gradient * gradient
-        value[at] -= np.float32(RATE) * gradient / (np.sqrt(seen[at]) + np.float32(1e-6))
+    def _change(squares: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+        """What a step takes from values whose squared gradients sum to ``squares`` before it."""
+        squares += gradient * gradient
+        size = np.sqrt(squares)
+        size += np.float32(1e-6)
+        return np.divide(np.float32(RATE) * gradient, size, out=size)
 
 
 def _runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,19 +286,26 @@ def _runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
 
 
-def _steps(texts: Iterator[np.ndarray], net: WindowNet) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Contexts and tokens of about ``BATCH`` tokens at a time, texts one after the other."""
-    held, size = [], 0
+def _steps(texts: Iterator[np.ndarray], net: WindowNet) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
+    """Contexts and tokens of about ``BATCH`` tokens at a time, texts one after the other, and where their pieces end."""
+    beyond, held, sizes, size = np.full(REACH, net.digit * net.digit), [], [], 0
+
+    def step() -> tuple[np.ndarray, np.ndarray, list[int]]:
+        padded, ends = np.concatenate(held), np.cumsum(sizes)
+        at = np.arange(ends[-1]) + np.repeat(REACH * np.arange(1, 2 * len(sizes), 2), sizes)
+        return np.stack([padded.take(at + o) for o in OFFSETS]), padded.take(at), ends.tolist()
+
     for tokens in texts:
-        context = net.contexts(tokens)
+        padded = np.concatenate((beyond, tokens, beyond))
         for at in range(0, len(tokens), BATCH):
-            held.append((context[:, at:at + BATCH], tokens[at:at + BATCH]))
-            size += len(held[-1][1])
+            sizes.append(min(BATCH, len(tokens) - at))
+            held.append(padded[at:at + sizes[-1] + 2 * REACH])
+            size += sizes[-1]
             if size >= BATCH:
-                yield np.concatenate([c for c, _ in held], axis=1), np.concatenate([t for _, t in held])
-                held, size = [], 0
-    if size:
-        yield np.concatenate([c for c, _ in held], axis=1), np.concatenate([t for _, t in held])
+                yield step()
+                held, sizes, size = [], [], 0
+    if sizes:
+        yield step()
 
 
 def coded(docs: DataFrame, text: str, words: Vocabulary, keep: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
@@ -290,7 +321,7 @@ def coded(docs: DataFrame, text: str, words: Vocabulary, keep: list[str] | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        width = np.uint16 if known.tokens < 1 << 16 else np.uint32
+        width = _width(known)
         first, own, room = len(known.own), known.own, known.tokens - len(known.own)
         kinds = {"tokens": pa.binary(), "run": pa.int64(), "rare": pa.binary(), "marks": pa.binary(), "bytes": pa.int64()}
         for batch in batches:
@@ -324,8 +355,12 @@ def coded(docs: DataFrame, text: str, words: Vocabulary, keep: list[str] | None
     return materialize(packed.select("row", "text", "id", "round").mapInArrow(run, schema), "coded", parts=["round"])
 
 
+def _width(words: Vocabulary) -> type[np.unsignedinteger]:
+    return np.uint16 if words.tokens < 1 << 16 else np.uint32
+
+
 def _tokens(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[np.ndarray]:
-    width = np.uint16 if words.tokens < 1 << 16 else np.uint32
+    width = _width(words)
     for batch in batches:
         for t in batch["tokens"]:
             yield np.frombuffer(t.as_py(), width).astype(np.int64)
@@ -349,8 +384,8 @@ def train_round(codes: DataFrame, words: Vocabulary, vector: np.ndarray) -> np.n
 
         known, start = shared.value
         net, seen, n = WindowNet(known.digit, start), WindowNet(known.digit, np.zeros(len(start))), 0
-        for step, tokens in _steps(_tokens(batches, known), net):
-            net.train(step, tokens, seen)
+        for context, tokens, _ in _steps(_tokens(batches, known), net):
+            net.train(context, tokens, seen)
             n += len(tokens)
         if n:
             whole = net.vector.astype(np.float64) * n
@@ -411,17 +446,19 @@ def token_scores(codes: DataFrame, words: Vocabulary, vector: np.ndarray, floor:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, parameters, unseen = shared.value
-        net, first = WindowNet(known.digit, parameters), len(known.own)
+        net, inside = WindowNet(known.digit, parameters), np.zeros(known.tokens)
+        if unseen is not None:
+            inside[len(known.own):] = unseen[len(known.own):]
         for batch in batches:
-            counts, sums, spelled = [], [], batch["bytes"].to_pylist()
-            for tokens, size in zip(_tokens([batch], known), spelled, strict=True):
-                context, total = net.contexts(tokens), 0.0
-                for at in range(0, len(tokens), BATCH):
-                    total += float(net.log_probabilities(context[:, at:at + BATCH], tokens[at:at + BATCH]).sum(dtype=np.float64))
-                if unseen is not None:
-                    total += float(unseen[tokens[tokens >= first]].sum()) - SPELL * size
-                counts.append(len(tokens))
-                sums.append(total)
+            counts = pc.divide(pc.binary_length(batch["tokens"]), _width(known)().itemsize).to_numpy(zero_copy_only=False)
+            found = []
+            for context, tokens, ends in _steps(_tokens([batch], known), net):
+                whole, rare = net.log_probabilities(context, tokens, ends), inside.take(tokens)
+                found += [float(whole[a:b].sum(dtype=np.float64) + rare[a:b].sum()) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            sums = np.zeros(len(counts))
+            np.add.at(sums, np.repeat(np.arange(len(counts)), -(-counts // BATCH)), found)
+            if unseen is not None:
+                sums -= SPELL * batch["bytes"].to_numpy()
             yield pa.RecordBatch.from_arrays([batch["row"], batch["id"], pa.array(counts, pa.int64()), pa.array(sums, pa.float64())],
                                              ["row", "id", "n", "log_probability"])
 

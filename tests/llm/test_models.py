@@ -1,11 +1,13 @@
 """Secret scan and language model: held-out accuracy, places, masks, and scores against plain loops."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
 import string
 import time
+import tracemalloc
 import uuid
 
 import numpy as np
@@ -287,6 +289,36 @@ def test_gradients_descend(spark):
     assert net.log_probabilities(context, tokens).mean() > before + 4
 
 
+def test_steps_use_the_same_memory_again():
+    """After the first steps neither training nor scoring takes new memory for the rows of a step but for a few numbers a row."""
+    tokens = np.random.default_rng(3).integers(0, lm.DIGIT ** 2, lm.BATCH)
+    net, seen = lm.WindowNet(), lm.WindowNet(vector=np.zeros(len(lm.WindowNet().vector)))
+    context, peaks = net.contexts(tokens), []
+    for step in (lambda: net.train(context, tokens, seen), lambda: net.log_probabilities(context, tokens)):
+        step()
+        tracemalloc.start()
+        step()
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert max(peaks) < 1.5 * 4 * lm.BATCH * lm.DIGIT, peaks
+
+
+def test_a_text_scores_the_same_beside_any_other():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, lm.DIGIT ** 2, n) for n in (7, 0, 300, 1, lm.BATCH + 5, 2 * lm.BATCH, 33)]
+    net, got, want = lm.WindowNet(), [], []
+    for context, tokens, ends in lm._steps(iter(texts), net):
+        for (a, b), values in zip(itertools.pairwise([0, *ends]), np.split(net.log_probabilities(context, tokens, ends), ends[:-1]), strict=True):
+            assert b - a == len(values)
+            got += [tokens[a:b].tolist()]
+            want += [values]
+    assert np.concatenate(got).tolist() == np.concatenate(texts).tolist()
+    assert [len(g) for g in got] == [7, 300, 1, lm.BATCH, 5, lm.BATCH, lm.BATCH, 33]
+    alone = [net.log_probabilities(net.contexts(t)[:, at:at + lm.BATCH], t[at:at + lm.BATCH]) for t in texts for at in range(0, len(t), lm.BATCH)]
+    for a, b in zip(alone, want, strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-6)
+
+
 def test_every_text_is_trained_on(spark):
     """The averaged rounds weigh by tokens: all tokens of the corpus arrive, each text in one round."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
