@@ -234,11 +234,12 @@ class PieceModel:
         return np.frombuffer(b"".join(packed), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
-        """Text of ids: marks become spaces, the first is dropped, byte pieces join to characters."""
+        """Text of ids: marks become spaces, the first is dropped, byte pieces join to characters; control pieces have no text."""
         surface = self.surface
         pieces = [surface[i] for i in ids.tolist()]
-        if pieces and pieces[0][:1] == b" " and self.piece[ids[0]] in self.ids:
-            pieces[0] = pieces[0][1:]
+        first = next((i for i, piece in enumerate(pieces) if piece), 0)
+        if pieces and pieces[first][:1] == b" " and self.piece[ids[first]] in self.ids:
+            pieces[first] = pieces[first][1:]
         try:
             return b"".join(pieces).decode()
         except UnicodeDecodeError:

@@ -198,6 +198,13 @@ def test_decoding_of_any_ids(ids):
     assert PIECES.decode(np.array(ids, np.int32)) == LIBRARY.decode(ids)
 
 
+def test_decoding_behind_control_pieces():
+    """The mark of the first piece with a text is dropped, also behind control pieces."""
+    for first in ([], [1], [2], [1, 1, 2], [0], [1, 0], [259], [1, 259], [1, 13], [1, 35], [1, 229], [378, 1]):
+        for ids in (first, first + [378], first + [378, 378], first + [259, 378]):
+            assert PIECES.decode(np.array(ids, np.int32)) == LIBRARY.decode(ids), ids
+
+
 def test_full_caches_change_nothing(monkeypatch):
     from beatwise.llm import pieces
 
